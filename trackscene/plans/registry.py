@@ -30,4 +30,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_match  # noqa: F401
+    from . import queries_match, queries_scenes  # noqa: F401
