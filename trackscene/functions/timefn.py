@@ -11,8 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
-EPOCH_NTZ = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-EPOCH_LTZ = F.expr("TIMESTAMP'1970-01-01 00:00:00+00:00'")
+
+
+def _epoch_ntz() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def _c(c) -> Column:
@@ -27,7 +29,7 @@ def micros_between(start, end) -> Column:
 def epoch_micros(c, dtype: DataType | None = None) -> Column:
     """Microseconds since 1970-01-01 (UTC wall clock for NTZ)."""
     if dtype is None or isinstance(dtype, TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, _c(c))
+        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c))
     return F.unix_micros(_c(c))
 
 
