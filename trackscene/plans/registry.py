@@ -30,4 +30,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_archives, queries_eval, queries_keys, queries_match, queries_scenes  # noqa: F401
+    from . import queries_archives, queries_eval, queries_keys, queries_match, queries_raster, queries_scenes  # noqa: F401
