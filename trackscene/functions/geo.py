@@ -91,36 +91,56 @@ def rings_from_mercator(rings) -> Column:
 
 
 # ---------------------------------------------------------------- D5
-def utm(lon, lat, epsg) -> dict[str, Column]:
-    """WGS84 lon/lat -> UTM easting/northing for EPSG 326zz (north) / 327zz (south).
-
-    Krueger series to third order in n (sub-millimetre inside a zone).
-    """
-    lon, lat, epsg = _c(lon), _c(lat), _c(epsg)
+def _utm_constants():
     n = WGS84_F / (2 - WGS84_F)
     big_a = WGS84_A / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64)
     alpha = [n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16,
              13 * n ** 2 / 48 - 3 * n ** 3 / 5,
              61 * n ** 3 / 240]
     k = 2 * math.sqrt(n) / (1 + n)
-    zone = epsg % 100
-    south = (epsg >= 32701) & (epsg <= 32760)
-    lam0 = F.radians(zone * 6 - 183)
-    phi = F.radians(lat)
+    return big_a, alpha, k
+
+
+def _utm_xi_eta(lon: Column, lat: Column, epsg: Column) -> tuple[Column, Column]:
+    big_a, alpha, k = _utm_constants()
+    lam0 = F.radians((epsg % 100) * 6 - 183)
     dlam = F.radians(lon) - lam0
-    sphi = F.sin(phi)
+    sphi = F.sin(F.radians(lat))
     t = F.sinh(F.atanh(sphi) - F.lit(k) * F.atanh(F.lit(k) * sphi))
-    xi = F.atan(t / F.cos(dlam))
-    eta = F.atanh(F.sin(dlam) / F.sqrt(F.lit(1.0) + t * t))
-    e_sum = eta
-    n_sum = xi
+    return F.atan(t / F.cos(dlam)), F.atanh(F.sin(dlam) / F.sqrt(F.lit(1.0) + t * t))
+
+
+def _utm_from_xi_eta(xi: Column, eta: Column, epsg: Column) -> dict[str, Column]:
+    big_a, alpha, _ = _utm_constants()
+    e_sum, n_sum = eta, xi
     for j, a_j in enumerate(alpha, start=1):
         e_sum = e_sum + F.lit(a_j) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         n_sum = n_sum + F.lit(a_j) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    easting = F.lit(UTM_FALSE_EASTING) + F.lit(UTM_K0 * big_a) * e_sum
-    northing = (F.when(south, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-                + F.lit(UTM_K0 * big_a) * n_sum)
-    return {"x": easting, "y": northing}
+    south = (epsg >= 32701) & (epsg <= 32760)
+    return {"x": F.lit(UTM_FALSE_EASTING) + F.lit(UTM_K0 * big_a) * e_sum,
+            "y": (F.when(south, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
+                  + F.lit(UTM_K0 * big_a) * n_sum)}
+
+
+def utm(lon, lat, epsg) -> dict[str, Column]:
+    """WGS84 lon/lat -> UTM easting/northing for EPSG 326zz (north) / 327zz (south).
+
+    Krueger series to third order in n (sub-millimetre inside a zone).  As one
+    expression the series repeats its inner terms; on DataFrames prefer
+    ``with_utm``, which materialises them once per row.
+    """
+    lon, lat, epsg = _c(lon), _c(lat), _c(epsg)
+    xi, eta = _utm_xi_eta(lon, lat, epsg)
+    return _utm_from_xi_eta(xi, eta, epsg)
+
+
+def with_utm(df, lon: str, lat: str, epsg: str, out_x: str = "utm_x", out_y: str = "utm_y"):
+    """D5 on a DataFrame: the shared terms (xi, eta) are computed in their own
+    projection, so the series stays small enough for whole-stage codegen."""
+    xi, eta = _utm_xi_eta(F.col(lon), F.col(lat), F.col(epsg))
+    d = df.withColumn("_utm_xi", xi).withColumn("_utm_eta", eta)
+    r = _utm_from_xi_eta(F.col("_utm_xi"), F.col("_utm_eta"), F.col(epsg))
+    return d.withColumn(out_x, r["x"]).withColumn(out_y, r["y"]).drop("_utm_xi", "_utm_eta")
 
 
 # ---------------------------------------------------------------- D8 / D9

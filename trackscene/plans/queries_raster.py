@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geo import UTM_FALSE_EASTING, UTM_FALSE_NORTHING_SOUTH, UTM_K0, WGS84_A, WGS84_F, utm
+from ..functions.geo import UTM_FALSE_EASTING, UTM_FALSE_NORTHING_SOUTH, UTM_K0, WGS84_A, WGS84_F, with_utm
 from ..operators import raster as rs
 from . import fixtures as fx
 from .fixtures import with_views
@@ -33,11 +35,27 @@ def grid(spark: SparkSession, d: str) -> DataFrame:
     s = fx.scenes(spark, d)
     zone = F.floor(((F.col("xmin") + F.col("xmax")) / 2 + 180) / 6) + 1
     g = s.select("api_id", "xmin", "ymax", (F.lit(32600) + zone).cast("int").alias("epsg"))
-    o = utm(F.col("xmin"), F.col("ymax"), F.col("epsg"))
-    return g.select("api_id", "epsg", o["x"].alias("x0"), o["y"].alias("y0"), F.lit(PIXEL).alias("pixel_size"),
+    g = with_utm(g, "xmin", "ymax", "epsg", "x0", "y0")
+    return g.select("api_id", "epsg", "x0", "y0", F.lit(PIXEL).alias("pixel_size"),
                     F.lit(GRID_N).alias("n_rows"), F.lit(GRID_N).alias("n_cols"))
 
 
+TILE_SCHEMA = ("api_id string, band string, tile_row int, tile_col int, tile_h int, tile_w int, "
+               "pixels array<bigint>")
+
+
+def _fill_tiles(batches):
+    """Formula pixels of each tile, vectorised with numpy inside the task."""
+    for pdf in batches:
+        px = []
+        for r0, c0, h, w, bno in zip(pdf["tile_row"] * TILE, pdf["tile_col"] * TILE, pdf["tile_h"], pdf["tile_w"],
+                                     pdf["bno"]):
+            rows = np.arange(r0, r0 + h, dtype=np.int64)[:, None]
+            cols = np.arange(c0, c0 + w, dtype=np.int64)[None, :]
+            px.append(((rows * 31 + cols * 17 + int(bno) * 7) % 10000).ravel())
+        yield pdf.drop(columns=["bno"]).assign(pixels=px)
+
+
 def tiles(spark: SparkSession, d: str) -> DataFrame:
     """Decoded band tiles of every scene, generated from the formula."""
     g = grid(spark, d).select("api_id")
@@ -49,10 +67,8 @@ def tiles(spark: SparkSession, d: str) -> DataFrame:
          .select("api_id", "_b.band", "_b.bno", "tile_row", "tile_col"))
     t = (t.withColumn("tile_h", F.least(F.lit(TILE), F.lit(GRID_N) - F.col("tile_row") * TILE))
          .withColumn("tile_w", F.least(F.lit(TILE), F.lit(GRID_N) - F.col("tile_col") * TILE)))
-    px = F.transform(F.sequence(F.lit(0), F.col("tile_h") * F.col("tile_w") - 1), lambda k: (
-        ((F.col("tile_row") * TILE + (k / F.col("tile_w")).cast("int")) * 31
-         + (F.col("tile_col") * TILE + k % F.col("tile_w")) * 17 + F.col("bno") * 7) % 10000).cast("bigint"))
-    return t.withColumn("pixels", px).drop("bno")
+    return t.select("api_id", "band", "tile_row", "tile_col", "tile_h", "tile_w", "bno").mapInPandas(
+        _fill_tiles, TILE_SCHEMA)
 
 
 def windows(spark: SparkSession, d: str) -> DataFrame:
