@@ -118,3 +118,34 @@ def test_augment_is_deterministic(spark):
     c = {r.id: r.augmented for r in raster.augment(df, "p", 2, 3, 3, seed=1, epoch=1).collect()}
     assert a == b and a != c
     assert all(min(v) >= 0 for v in a.values())
+
+
+def _tile_table(spark, n_rows, n_cols, tile, bands):
+    rows = []
+    for bi, b in enumerate(bands):
+        for tr in range((n_rows + tile - 1) // tile):
+            for tc in range((n_cols + tile - 1) // tile):
+                h, w = min(tile, n_rows - tr * tile), min(tile, n_cols - tc * tile)
+                r = np.arange(tr * tile, tr * tile + h)[:, None]
+                c = np.arange(tc * tile, tc * tile + w)[None, :]
+                rows.append(("S", b, tr, tc, h, w, ((r * 100 + c) * 10 + bi).ravel().tolist()))
+    return spark.createDataFrame(rows, "api_id string, band string, tile_row int, tile_col int, tile_h int, "
+                                       "tile_w int, pixels array<bigint>")
+
+
+def test_extract_patches_matches_numpy_boundless_read(spark):
+    n_rows, n_cols, tile, size = 37, 45, 16, 8
+    tiles = _tile_table(spark, n_rows, n_cols, tile, raster.TCI_BANDS)
+    wins = [(1, "S", -3, -5), (2, "S", 0, 0), (3, "S", 30, 40), (4, "S", 14, 15), (5, "S", 100, 100), (6, "S", 36, -7)]
+    w = spark.createDataFrame(wins, "id long, api_id string, row0 long, col0 long")
+    got = {r.id: r.bands for r in raster.extract_tci_patches(w, tiles, size=size, tile=tile).collect()}
+    full = np.zeros((3, n_rows, n_cols), dtype=np.int64)
+    for bi in range(3):
+        full[bi] = (np.arange(n_rows)[:, None] * 100 + np.arange(n_cols)[None, :]) * 10 + bi
+    for pid, _, r0, c0 in wins:
+        want = np.zeros((3, size, size), dtype=np.int64)
+        for i in range(size):
+            for j in range(size):
+                if 0 <= r0 + i < n_rows and 0 <= c0 + j < n_cols:
+                    want[:, i, j] = full[:, r0 + i, c0 + j]
+        assert np.array_equal(np.asarray(got[pid]), want.reshape(3, -1)), pid

@@ -116,6 +116,27 @@ def q_utc_sensing_time(spark: SparkSession, d: str) -> DataFrame:
                     parts["day"].cast("bigint").alias("day"))
 
 
+@register("scene_boxes", with_views("""
+SELECT api_id,
+       CASE WHEN k % 7 IN (0, 1, 2) THEN NULL ELSE least(xmin, xmax) END AS xmin,
+       CASE WHEN k % 7 IN (0, 1, 2) THEN NULL ELSE least(ymin, ymax) END AS ymin,
+       CASE WHEN k % 7 IN (0, 1, 2) THEN NULL ELSE greatest(xmin, xmax) END AS xmax,
+       CASE WHEN k % 7 IN (0, 1, 2) THEN NULL ELSE greatest(ymin, ymax) END AS ymax
+FROM (SELECT *, CAST(substr(api_id, 4) AS INTEGER) AS k FROM scenes) s""", "scenes"))
+def q_scene_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """B2 + D2 + C2: catalog rows carry the bbox as text (corners in any order,
+    some NULL, empty or unparsable); the footprint box is parsed back."""
+    s = fx.scenes(spark, d)
+    k = F.substring("api_id", 4, 10).cast("int")
+    txt = (F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 7 == 1, F.lit(""))
+           .when(k % 7 == 2, F.lit("[not, a, box]"))
+           .otherwise(F.concat(F.lit("["), F.col("xmax").cast("string"), F.lit(", "), F.col("ymin").cast("string"),
+                               F.lit(", "), F.col("xmin").cast("string"), F.lit(", "), F.col("ymax").cast("string"),
+                               F.lit("]"))))
+    cat = s.select("api_id", txt.alias("bbox"))
+    return sc.scene_boxes(cat).select("api_id", "xmin", "ymin", "xmax", "ymax")
+
+
 @register("point_columns", with_views("""
 SELECT id, mmsi, lon AS x, lat AS y FROM ais WHERE lon IS NOT NULL AND lat IS NOT NULL""", "ais"))
 def q_point_columns(spark: SparkSession, d: str) -> DataFrame:
