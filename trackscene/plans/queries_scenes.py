@@ -103,10 +103,9 @@ def q_scene_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("utc_sensing_time", with_views("""
-SELECT id, CAST(sensing_time AT TIME ZONE 'UTC' AS TIMESTAMP) AS sensing_time_without_tz,
-       CAST(sensing_time AS DATE) AS date, CAST(year(sensing_time) AS BIGINT) AS year,
-       CAST(month(sensing_time) AS BIGINT) AS month, CAST(day(sensing_time) AS BIGINT) AS day
-FROM idx""", extra={"idx": INDEX_SQL}))
+SELECT id, utc AS sensing_time_without_tz, CAST(utc AS DATE) AS date, CAST(year(utc) AS BIGINT) AS year,
+       CAST(month(utc) AS BIGINT) AS month, CAST(day(utc) AS BIGINT) AS day
+FROM (SELECT id, CAST(sensing_time AT TIME ZONE 'UTC' AS TIMESTAMP) AS utc FROM idx) t""", extra={"idx": INDEX_SQL}))
 def q_utc_sensing_time(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.timefn import calendar_parts
     s = sc.with_utc_wall_clock(scene_index_df(spark, d))
