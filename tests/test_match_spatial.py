@@ -139,3 +139,19 @@ def test_utm_central_meridian_and_known_point(spark):
     # 12E is 3 degrees west of the zone-33 meridian (15E): easting below 500 km, symmetric in lon
     assert 300000 < rows[1].x < 500000 and 6090000 < rows[1].y < 6100000
     assert abs(rows[2].x - 500000.0) < 1e-6 and 6340000 < rows[2].y < 6350000
+
+
+def test_materialised_tables_replace_per_scene(spark, scratch):
+    import os
+    from trackscene.operators import tables_build as tbl
+    ais, sc = fx.ais(spark, SF_SMALL), fx.scenes(spark, SF_SMALL)
+    cpath, ppath = os.path.join(scratch, "closest"), os.path.join(scratch, "pred")
+    closest = tbl.build_closest_table(ais, sc, cpath, fx.HALF_WINDOW_MIN)
+    assert closest.count() == 324  # FIXTURES.md: closest rows at sf0.001
+    pred = tbl.build_predictions_table(spark, cpath, ppath, digits=6)
+    assert pred.count() == 76
+    # rerun two scenes only: their partitions are replaced, nothing duplicates
+    tbl.build_closest_table(ais, sc.where("api_id IN ('S2_1', 'S2_2')"), cpath, fx.HALF_WINDOW_MIN)
+    assert spark.read.parquet(cpath).count() == 324
+    tbl.build_predictions_table(spark, cpath, ppath, digits=6)
+    assert spark.read.parquet(ppath).count() == 76
