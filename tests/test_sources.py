@@ -66,6 +66,8 @@ def test_read_archives_members_ids_and_quoted_newline(spark, scratch):
     got = {r["MMSI"]: r for r in df.collect()}
     assert sorted(got) == [1, 2, 3, 4]
     assert got[2]["Name"] == "two\nlines"
+    by_path = ps.read_archives(spark, scratch, by_path=True)
+    assert sorted(r["MMSI"] for r in by_path.collect()) == [1, 2, 3, 4]
     sensitive = ps.read_archives(spark, scratch, case_insensitive=False)
     assert sorted(r["MMSI"] for r in sensitive.collect()) == [1, 2, 4]
     ids = ps.with_row_id(df).select("MMSI", "id").collect()

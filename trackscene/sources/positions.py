@@ -3,8 +3,8 @@
 Parsing stays in Spark's CSV parser (``spark.read.csv`` / ``from_csv``) with
 the database's COPY rules: header skipped, RFC quotes, unquoted empty = NULL,
 quoted empty = '' , a bad value fails the load.  Archives are not splittable,
-so one task decompresses one archive and yields its records in bounded chunks;
-the rows are repartitioned afterwards.
+so the scan task that reads an archive decompresses it and yields its records
+in bounded chunks; archive bytes are never shuffled.
 """
 
 from __future__ import annotations
@@ -130,9 +130,14 @@ def archive_records(spark: SparkSession, path: str, *, suffix: str = ".csv", cas
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true")
     files = reader.load(path)
-    files = files.select("path") if by_path else files.select("path", "content")
-    n = max(1, spark.sparkContext.defaultParallelism)
-    files = files.repartition(n, "path")  # one archive per task slot, spread over the cluster
+    if by_path:
+        # only paths travel: spread the archives over all task slots
+        n = max(1, spark.sparkContext.defaultParallelism)
+        files = files.select("path").repartition(n, "path")
+    else:
+        # archive bytes are never shuffled: each scan task decodes the archives it read
+        # (an archive is one unsplittable file, so a large one is its own partition)
+        files = files.select("path", "content")
     return files.mapInPandas(_archive_reader(suffix, case_insensitive, chunk, by_path), ARCHIVE_LINES)
 
 
