@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (basename, ensure_trailing_slash, is_tci, label_from_path, label_index,
+from ..functions.text import (basename, is_tci, label_from_path, label_index,
                               ship_type_from_key, tci_base_name)
 from .archives import skip_existing
 
@@ -87,11 +87,3 @@ def training_manifest(keys: DataFrame, taxonomy: int | dict = 4, key_col: str =
     return (t.select(F.col(key_col).alias("key"), lab.alias("label"))
             .withColumn("label_idx", label_index(F.col("label"), taxonomy))
             .where(F.col("label_idx").isNotNull()))
-
-
-def class_prefix(prefix: str) -> str:
-    return prefix if prefix.endswith("/") else prefix + "/"
-
-
-__all__ = ["training_listing", "image_listing", "rebucket", "split_image_keys", "pair_images",
-           "training_manifest", "ensure_trailing_slash"]

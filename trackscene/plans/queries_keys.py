@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions.text import TAXONOMIES, join_key, label_from_path, patch_name, ship_type_from_key, slug
 from ..operators import manifests as mf
 from ..operators import match
-from . import fixtures as fx
 from .fixtures import with_views
 from .queries_match import CLOSEST_COLS, matched, predicted
 from .registry import register
