@@ -89,12 +89,23 @@ def test_point_in_polygon_with_hole_and_boundary(spark):
 
 
 def _ring(n, seed):
+    """A simple (star-shaped) ring: vertices by angle around a centre with every
+    angular gap below 180 degrees, so the centre stays in the kernel."""
     rng = np.random.default_rng(seed)
-    ang = np.sort(rng.uniform(0, 2 * math.pi, n))
+    ang = (np.arange(n) + rng.uniform(0.3, 0.7, n)) * (2 * math.pi / n)
     rad = rng.uniform(1.0, 5.0, n)
     return 7.3 + rad * np.cos(ang), -2.1 + rad * np.sin(ang)
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.integers(3, 40), st.integers(0, 10_000), st.sampled_from([0.5, 1.0, 2.5]))
+def test_signed_cell_pieces_sum_for_any_ring(n, seed, cell):
+    rng = np.random.default_rng(seed)  # arbitrary, possibly self-intersecting rings
+    xs, ys = rng.uniform(0, 6, n), rng.uniform(-3, 3, n)
+    parts = sum(spatial.ring_area(x, y) for _, _, rs, _ in spatial.split_polygon([xs], [ys], cell, 0.0) for x, y in rs)
+    assert math.isclose(spatial.ring_area(xs, ys), parts, rel_tol=1e-9, abs_tol=1e-9)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(3, 40), st.integers(0, 10_000), st.sampled_from([0.5, 1.0, 2.5]))
 def test_cell_pieces_sum_to_whole_area(n, seed, cell):

@@ -39,6 +39,19 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def cap_arrow_batch(spark: SparkSession, rows: int = 256) -> None:
+    """Array-heavy Python kernels (image patches of ~256 KB per row) need small
+    Arrow batches; lower ``maxRecordsPerBatch`` to ``rows`` if it is larger
+    (never raise it)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        cur = int(spark.conf.get(key, "10000"))
+    except ValueError:
+        cur = 10000
+    if cur <= 0 or cur > rows:
+        spark.conf.set(key, str(rows))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
