@@ -23,10 +23,10 @@ def test_query_matches_oracle(spark, con, name):
     assert r["status"] == "ok", r
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_query_without_oracle_runs(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0
+def test_queries_without_oracle_run(spark):
+    """Queries registered without an SQL twin (none at present) must at least run."""
+    for name in sorted(set(QUERIES) - set(ORACLE)):
+        assert QUERIES[name](spark, SF_SMALL).count() >= 0
 
 
 def test_entry_smoke(spark):
