@@ -37,3 +37,18 @@ def test_shuffled_plans_match_oracle(no_broadcast, name):
         assert "SortMergeJoin" in plan
     r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL, duck_con(SF_SMALL))
     assert r["status"] == "ok", r
+
+
+def test_salted_joins_equal_unsalted(no_broadcast):
+    from trackscene.operators import match, spatial
+    from trackscene.plans import fixtures as fx
+    spark = no_broadcast
+    a, s = fx.ais(spark, SF_SMALL), fx.scenes(spark, SF_SMALL)
+    m1 = match.match_window(a, s, fx.HALF_WINDOW_MIN).select("id", "api_id", "diff_us")
+    m4 = match.match_window(a, s, fx.HALF_WINDOW_MIN, salt=4).select("id", "api_id", "diff_us")
+    assert m1.exceptAll(m4).count() == 0 and m4.exceptAll(m1).count() == 0
+    pts = a.select("id", "lon", "lat")
+    w = fx.water_polygons(spark, SF_SMALL)
+    o1 = spatial.points_in_polygons(pts, w).select("id")
+    o4 = spatial.points_in_polygons(pts, w, salt=4, id_col="id").select("id")
+    assert o1.exceptAll(o4).count() == 0 and o4.exceptAll(o1).count() == 0 and o1.count() > 0

@@ -46,10 +46,14 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
                  ts: str = "ts", lon: str = "lon", lat: str = "lat",
                  scene_key: str = "api_id", scene_time: str = "sensing_time",
                  box: Sequence[str] = ("xmin", "ymin", "xmax", "ymax"),
-                 cell_size: float = 1.0) -> DataFrame:
+                 cell_size: float = 1.0, salt: int = 1, id_col: str = "id") -> DataFrame:
     """E2 (+D8, B5, B6): every (report, scene) with ``|ts - sensing_time| <= minutes``
     (inclusive) and the report inside the scene footprint box (inclusive).
 
+    ``salt > 1`` spreads hot (bucket, cell) keys over ``salt`` shuffle
+    partitions when the scene side is too large to broadcast: scene key rows are
+    replicated per salt, each report takes one salt from a hash of its id.
+
     Output: all position columns, ``scene_key``, ``scene_time``, ``rel``
     ('before' when ts <= sensing time, else 'after'), ``diff_us`` (signed,
     ts - sensing_time) and ``time_diff`` (absolute seconds).
@@ -78,11 +82,16 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
                                                   F.floor(F.col(_S + "xmax") / F.lit(cell_size)))))
           .withColumn("_cy", F.explode(F.sequence(F.floor(F.col(_S + "ymin") / F.lit(cell_size)),
                                                   F.floor(F.col(_S + "ymax") / F.lit(cell_size))))))
+    if salt > 1:
+        pos = pos.withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt)).cast("int"))
+        sc = sc.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     diff = micros_between(sc[_S + "time"], pos[ts])
     cond = ((pos["_tb"] == sc["_tb"]) & (pos["_cx"] == sc["_cx"]) & (pos["_cy"] == sc["_cy"])
             & (F.abs(diff) <= F.lit(half))
             & pos[lon].between(sc[_S + "xmin"], sc[_S + "xmax"])
             & pos[lat].between(sc[_S + "ymin"], sc[_S + "ymax"]))
+    if salt > 1:
+        cond = cond & (pos["_salt"] == sc["_salt"])
     j = pos.join(sc, cond, "inner")
     out_cols = [pos[c] for c in positions.columns]
     return j.select(*out_cols,
@@ -194,9 +203,9 @@ def interpolate_pairs(pairs: DataFrame, *, keys: Sequence[str] = ("mmsi", "api_i
 
 def predict_positions(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *,
                       digits: int | None = None, cell_size: float = 1.0,
-                      carry: Sequence[str] = ("ship_type", "length")) -> DataFrame:
+                      carry: Sequence[str] = ("ship_type", "length"), salt: int = 1) -> DataFrame:
     """E2 -> E3/E5 -> E6 as one plan: a single shuffle after the (broadcast) join."""
-    m = match_window(positions, scenes, minutes, cell_size=cell_size)
+    m = match_window(positions, scenes, minutes, cell_size=cell_size, salt=salt)
     pairs = nearest_before_after(m)
     return interpolate_pairs(pairs, digits=digits, carry=carry,
                              columns=["id", "mmsi", *carry, "api_id", "sensing_time", "lon", "lat"])

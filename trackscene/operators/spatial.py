@@ -193,7 +193,7 @@ def _on_edges_sql(px: str, py: str, edges: str) -> str:
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, *, lon: str = "lon", lat: str = "lat",
                        rings: str = "rings", polygon_crs: int = 4326, cell_size: float = 1.0,
-                       how: str = "left_semi") -> DataFrame:
+                       how: str = "left_semi", salt: int = 1, id_col: str | None = None) -> DataFrame:
     """E8 (D4, D9): points inside or on the boundary of any polygon.
 
     ``how='left_semi'`` is the reference's ``EXISTS`` (each point at most once);
@@ -210,10 +210,16 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, *, lon: str = "lo
            .withColumn("_pcy", F.floor(F.col(lat) / F.lit(cell_size))))
     inside = F.expr(f"({_on_edges_sql(lon, lat, '_edges')}) OR ({point_in_polygon_sql(lon, lat, '_rings')})")
     cond = (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & inside
+    if salt > 1:
+        key = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(F.col(lon), F.col(lat))
+        pts = pts.withColumn("_psalt", F.pmod(key, F.lit(salt)).cast("int"))
+        pieces = pieces.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        cond = ((pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & (pts["_psalt"] == pieces["_salt"])
+                & inside)
     if how == "left_semi":
-        return pts.join(pieces, cond, "left_semi").drop("_pcx", "_pcy")
+        return pts.join(pieces, cond, "left_semi").drop("_pcx", "_pcy", "_psalt")
     j = pts.join(pieces, cond, how)
-    return j.drop("_pcx", "_pcy", "_cx", "_cy", "_rings", "_edges")
+    return j.drop("_pcx", "_pcy", "_psalt", "_salt", "_cx", "_cy", "_rings", "_edges")
 
 
 _AREA_SCHEMA = T.StructType([T.StructField("area", T.DoubleType()), T.StructField("hit", T.BooleanType())])
