@@ -138,9 +138,9 @@ def with_utm(df, lon: str, lat: str, epsg: str, out_x: str = "utm_x", out_y: str
     """D5 on a DataFrame: the shared terms (xi, eta) are computed in their own
     projection, so the series stays small enough for whole-stage codegen."""
     xi, eta = _utm_xi_eta(F.col(lon), F.col(lat), F.col(epsg))
-    d = df.withColumn("_utm_xi", xi).withColumn("_utm_eta", eta)
+    d = df.select("*", xi.alias("_utm_xi"), eta.alias("_utm_eta"))
     r = _utm_from_xi_eta(F.col("_utm_xi"), F.col("_utm_eta"), F.col(epsg))
-    return d.withColumn(out_x, r["x"]).withColumn(out_y, r["y"]).drop("_utm_xi", "_utm_eta")
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], r["x"].alias(out_x), r["y"].alias(out_y))
 
 
 # ---------------------------------------------------------------- D8 / D9

@@ -65,9 +65,9 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
     st_type = scenes.schema[scene_time].dataType
     pos = (positions
            .where(F.col(ts).isNotNull() & F.col(lon).isNotNull() & F.col(lat).isNotNull())
-           .withColumn("_tb", F.floor(epoch_micros(F.col(ts), ts_type) / F.lit(width)))
-           .withColumn("_cx", F.floor(F.col(lon) / F.lit(cell_size)))
-           .withColumn("_cy", F.floor(F.col(lat) / F.lit(cell_size))))
+           .select("*", F.floor(epoch_micros(F.col(ts), ts_type) / F.lit(width)).alias("_tb"),
+                   F.floor(F.col(lon) / F.lit(cell_size)).alias("_cx"),
+                   F.floor(F.col(lat) / F.lit(cell_size)).alias("_cy")))
     xmin, ymin, xmax, ymax = box
     s_us = epoch_micros(F.col(scene_time), st_type)
     sc = (scenes
@@ -76,12 +76,16 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
           .select(F.col(scene_key).alias(_S + "key"), F.col(scene_time).alias(_S + "time"),
                   F.col(xmin).alias(_S + "xmin"), F.col(ymin).alias(_S + "ymin"),
                   F.col(xmax).alias(_S + "xmax"), F.col(ymax).alias(_S + "ymax"),
-                  F.explode(F.sequence(F.floor((s_us - F.lit(half)) / F.lit(width)),
-                                       F.floor((s_us + F.lit(half)) / F.lit(width)))).alias("_tb"))
-          .withColumn("_cx", F.explode(F.sequence(F.floor(F.col(_S + "xmin") / F.lit(cell_size)),
-                                                  F.floor(F.col(_S + "xmax") / F.lit(cell_size)))))
-          .withColumn("_cy", F.explode(F.sequence(F.floor(F.col(_S + "ymin") / F.lit(cell_size)),
-                                                  F.floor(F.col(_S + "ymax") / F.lit(cell_size))))))
+                  F.sequence(F.floor((s_us - F.lit(half)) / F.lit(width)),
+                             F.floor((s_us + F.lit(half)) / F.lit(width))).alias("_tbs"),
+                  F.sequence(F.floor(F.col(xmin) / F.lit(cell_size)),
+                             F.floor(F.col(xmax) / F.lit(cell_size))).alias("_cxs"),
+                  F.sequence(F.floor(F.col(ymin) / F.lit(cell_size)),
+                             F.floor(F.col(ymax) / F.lit(cell_size))).alias("_cys"))
+          .select("*", F.explode("_tbs").alias("_tb"))
+          .select("*", F.explode("_cxs").alias("_cx"))
+          .select("*", F.explode("_cys").alias("_cy"))
+          .drop("_tbs", "_cxs", "_cys"))
     if salt > 1:
         pos = pos.withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt)).cast("int"))
         sc = sc.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))

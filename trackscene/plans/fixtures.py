@@ -18,9 +18,20 @@ HALF_WINDOW_MIN = 720  # fixtures: the event data is sparse, 10 min would give a
 ARCHIVE_BASE = "https://archive.example.org/positions/"  # fixture download base (any base works)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A driver table; the DataFrame (listing and footer reads done once) is
+    reused within a session, since the test tables never change."""
     pin_utc(spark)
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    path = f"{d}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 # ------------------------------------------------------------------ Spark views

@@ -61,20 +61,21 @@ def tiles(spark: SparkSession, d: str) -> DataFrame:
     g = grid(spark, d).select("api_id")
     n_t = (GRID_N + TILE - 1) // TILE
     band_arr = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(BAND_NO[b]).alias("bno")) for b in BANDS])
-    t = (g.withColumn("_b", F.explode(band_arr))
-         .withColumn("tile_row", F.explode(F.sequence(F.lit(0), F.lit(n_t - 1))))
-         .withColumn("tile_col", F.explode(F.sequence(F.lit(0), F.lit(n_t - 1))))
-         .select("api_id", "_b.band", "_b.bno", "tile_row", "tile_col"))
-    t = (t.withColumn("tile_h", F.least(F.lit(TILE), F.lit(GRID_N) - F.col("tile_row") * TILE))
-         .withColumn("tile_w", F.least(F.lit(TILE), F.lit(GRID_N) - F.col("tile_col") * TILE)))
-    return t.select("api_id", "band", "tile_row", "tile_col", "tile_h", "tile_w", "bno").mapInPandas(
-        _fill_tiles, TILE_SCHEMA)
+    idx = F.sequence(F.lit(0), F.lit(n_t - 1))
+    t = (g.select("api_id", F.inline(band_arr))
+         .select("*", F.explode(idx).alias("tile_row"))
+         .select("*", F.explode(idx).alias("tile_col")))
+    return t.select("api_id", "band", F.col("tile_row").cast("int").alias("tile_row"),
+                    F.col("tile_col").cast("int").alias("tile_col"),
+                    F.least(F.lit(TILE), F.lit(GRID_N) - F.col("tile_row") * TILE).cast("int").alias("tile_h"),
+                    F.least(F.lit(TILE), F.lit(GRID_N) - F.col("tile_col") * TILE).cast("int").alias("tile_w"),
+                    "bno").mapInPandas(_fill_tiles, TILE_SCHEMA)
 
 
 def windows(spark: SparkSession, d: str) -> DataFrame:
     p = rs.pixel_index(predicted(spark, d), grid(spark, d))
     w = rs.centered_window("row", "col", PATCH)
-    return p.withColumn("row0", w["row0"]).withColumn("col0", w["col0"])
+    return p.select("*", w["row0"].alias("row0"), w["col0"].alias("col0"))
 
 
 # ------------------------------------------------------------------ DuckDB twin of the UTM projection
