@@ -79,7 +79,10 @@ def test_point_in_polygon_with_hole_and_boundary(spark):
     pts = spark.createDataFrame(
         [(1, 1.0, 1.0), (2, 5.0, 5.0), (3, 4.0, 5.0), (4, 10.0, 3.0), (5, 11.0, 1.0), (6, 0.0, 0.0), (7, 3.0, 0.5)],
         "pid long, lon double, lat double")
-    j = pts.crossJoin(poly).select("pid", geo.point_in_polygon("lon", "lat", "rings").alias("inside"))
+    rings = [[{"x": x, "y": y} for x, y in outer], [{"x": x, "y": y} for x, y in hole]]
+    with_rings = spark.createDataFrame([(r.pid, r.lon, r.lat, rings) for r in pts.collect()],
+                                       "pid long, lon double, lat double, rings array<array<struct<x:double,y:double>>>")
+    j = with_rings.select("pid", geo.point_in_polygon("lon", "lat", "rings").alias("inside"))
     got = {r.pid: r.inside for r in j.collect()}
     assert got == {1: True, 2: False, 3: True, 4: True, 5: False, 6: True, 7: True}
     # the cell-split semi join agrees, with small cells so the polygon spans many
