@@ -290,7 +290,7 @@ def q_confusion_norm(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("class_report", with_views(f"""
-SELECT {CLASS_NAME_SQL.replace('cls + 1', 'cls + 1')} AS label, round(precision, 6) AS precision, round(recall, 6) AS recall,
+SELECT {CLASS_NAME_SQL} AS label, round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(f1, 6) AS f1, support FROM pcf
 UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM pcf
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
