@@ -18,19 +18,19 @@ HALF_WINDOW_MIN = 720  # fixtures: the event data is sparse, 10 min would give a
 ARCHIVE_BASE = "https://archive.example.org/positions/"  # fixture download base (any base works)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A driver table; the DataFrame (listing and footer reads done once) is
-    reused within a session, since the test tables never change."""
+    reused while the same live session asks again (the test tables never change)."""
     pin_utc(spark)
     path = f"{d}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
+    hit = _TABLES.get(path)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[path] = (spark, df)
     return df
 
 
