@@ -149,3 +149,17 @@ def test_extract_patches_matches_numpy_boundless_read(spark):
                 if 0 <= r0 + i < n_rows and 0 <= c0 + j < n_cols:
                     want[:, i, j] = full[:, r0 + i, c0 + j]
         assert np.array_equal(np.asarray(got[pid]), want.reshape(3, -1)), pid
+
+
+def test_bucketed_fold_rank_equals_global_rank(spark):
+    """The skew-safe fold assignment equals (global row_number in (class, md5) order - 1) mod K,
+    also when one class holds most of the rows."""
+    from pyspark.sql import Window
+    for hot_share, digits in ((0.9, 1), (0.34, 2), (0.0, 4)):
+        n = 3000
+        df = spark.range(n).select(F.col("id").alias("key"), F.when(F.rand(3) < hot_share, F.lit(0))
+                                   .otherwise((F.col("id") % 5 + 1).cast("int")).alias("label"))
+        got = folds.stratified_folds(df, 7, 11, bucket_hex_digits=digits).select("key", "fold")
+        w = Window.orderBy("label", folds.hash_order("key", 11), "key")
+        want = df.select("key", ((F.row_number().over(w) - 1) % 7).cast("bigint").alias("fold"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
