@@ -1,6 +1,10 @@
 """Scalar column functions and per-image helpers: golden values."""
 
+import math
+
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trackscene.functions import text
@@ -163,3 +167,21 @@ def test_bucketed_fold_rank_equals_global_rank(spark):
         w = Window.orderBy("label", folds.hash_order("key", 11), "key")
         want = df.select("key", ((F.row_number().over(w) - 1) % 7).cast("bigint").alias("fold"))
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 10_000), st.sampled_from([2, 4, 64]))
+def test_percentile_stats_equals_numpy(spark, n, seed, buckets):
+    from trackscene.operators import quality
+    rng = np.random.default_rng(seed)
+    # heavy ties and a skewed value distribution in band 0, continuous values in band 1
+    b0 = np.round(rng.exponential(2.0, n), 1).tolist()
+    b1 = rng.normal(0.0, 1.0, n).tolist()
+    df = spark.createDataFrame([(0, [b0, b1])], "id int, bands array<array<double>>")
+    got = {r.band: (r.low, r.high) for r in quality.percentile_stats(df, digits=None, buckets=buckets).collect()}
+    for band, vals in ((0, b0), (1, b1)):
+        lo, hi = np.percentile(vals, [2, 98])
+        if hi <= lo:
+            hi = lo + 1e-3
+        assert math.isclose(got[band][0], lo, rel_tol=1e-12, abs_tol=1e-12)
+        assert math.isclose(got[band][1], hi, rel_tol=1e-12, abs_tol=1e-12)
