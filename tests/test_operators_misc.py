@@ -60,3 +60,18 @@ def test_cloud_report_actions_and_dry_run(spark):
         quality.cloud_report(pairs, merged, tci, "img", "cloudy", action="SHRED")
     s = quality.cloud_summary(quality.cloud_report(pairs, merged, tci, "img", "cloudy")).first()
     assert (s.total, s.examined, s.cloudy, s.cloudy_share) == (2, 2, 1, 0.5)
+
+
+def test_checkpoint_dir_and_lineage_cut(spark):
+    import os
+    from trackscene.session import checkpoint_dir, cut_lineage
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = checkpoint_dir(spark)
+    if configured:
+        assert d == configured  # a deployment's shared folder is used as is
+    assert checkpoint_dir(spark) == d and os.path.isdir(d)
+    df = spark.range(100).selectExpr("id", "id * 2 AS v")
+    cut = cut_lineage(df)
+    assert cut.count() == 100 and cut.agg({"v": "sum"}).first()[0] == 9900
+    assert os.listdir(d)  # the reliable checkpoint was written there
+    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()  # lineage is cut

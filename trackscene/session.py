@@ -52,20 +52,28 @@ def cap_arrow_batch(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+_SCRATCH_CKPT: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting is given by the deployment and is read as is.  Only
-    when it is unset (local tests) a fresh scratch folder is taken.
+    On a cluster the setting is given by the deployment and is read as is (it is
+    a static setting, so it cannot be changed on a running session).  Only when
+    it is unset (local tests) a scratch folder is taken, once per context, and
+    handed to ``SparkContext.setCheckpointDir``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="trackscene-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    key = id(sc._jsc)
+    if key not in _SCRATCH_CKPT:
+        _SCRATCH_CKPT[key] = tempfile.mkdtemp(prefix="trackscene-ckpt-")
+        sc.setCheckpointDir(_SCRATCH_CKPT[key])
+    return _SCRATCH_CKPT[key]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
