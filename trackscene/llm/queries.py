@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mix, quality
+from . import bpe, exact, mix, quality, tokenio
+
+#: Vocabulary files that the queries use; operators take a path.
+JSON_VOCABULARY, RANK_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -14,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def _over(name: str, table: str, fn, sql: str | None = None) -> None:
     QUERIES[name] = lambda spark, sf_dir: fn(_table(spark, sf_dir, table))
     if sql:
@@ -22,4 +30,6 @@ def _over(name: str, table: str, fn, sql: str | None = None) -> None:
 
 _over("op1_mix_sources", "documents", mix.query, mix.ORACLE)
 _over("op3_exact_dedup", "documents", exact.query, exact.ORACLE)
+_over("op4_token_output", "documents", lambda d: tokenio.query(d, vocabulary(JSON_VOCABULARY)))
+_over("op6_byte_bpe", "documents", lambda d: bpe.query(d, vocabulary(RANK_VOCABULARY)))
 _over("op7_quality_rules", "documents", quality.query)
