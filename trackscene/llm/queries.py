@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, mix, ngram, quality, tokenio
+from . import bpe, exact, mix, ngram, quality, substring, tokenio, toxicity
 
 #: Vocabulary files that the queries use; operators take a path.
 JSON_VOCABULARY, RANK_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -29,8 +29,10 @@ def _over(name: str, table: str, fn, sql: str | None = None) -> None:
 
 
 _over("op1_mix_sources", "documents", mix.query, mix.ORACLE)
+_over("op2_substring_dedup", "documents", substring.query)
 _over("op3_exact_dedup", "documents", exact.query, exact.ORACLE)
 _over("op4_token_output", "documents", lambda d: tokenio.query(d, vocabulary(JSON_VOCABULARY)))
 _over("op6_byte_bpe", "documents", lambda d: bpe.query(d, vocabulary(RANK_VOCABULARY)))
 _over("op7_quality_rules", "documents", quality.query)
 _over("op10_ngram_jaccard", "documents", ngram.query, ngram.ORACLE)
+QUERIES["op5_toxicity"] = lambda spark, sf_dir: toxicity.query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
