@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, html, mix, ngram, quality, substring, tokenio, toxicity
+from . import bpe, exact, html, mix, ngram, quality, substring, tokenio, toxicity, warc
 
 #: Vocabulary files that the queries use; operators take a path.
 JSON_VOCABULARY, RANK_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -37,3 +37,4 @@ _over("op7_quality_rules", "documents", quality.query)
 _over("op10_ngram_jaccard", "documents", ngram.query, ngram.ORACLE)
 QUERIES["op5_toxicity"] = lambda spark, sf_dir: toxicity.query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 _over("op8_html_extraction", "pages", html.query)
+_over("op9_warc_audit", "pages", warc.query)
