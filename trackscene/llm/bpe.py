@@ -158,9 +158,13 @@ def decode(docs: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded")
     return d.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, ranks: str, text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode and decode in one pass, without the ids leaving the task."""
+def digests(docs: DataFrame, ranks: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (``with_ids`` adds ids array<int>): encode and decode in one pass.
+
+    A null or empty text has no tokens; rows keep their number and order of work.
+    """
     d = docs.select("doc_id", text)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = MergeModel.load(ranks)
@@ -173,11 +177,12 @@ def digests(docs: DataFrame, ranks: str, text: str = "text") -> DataFrame:
                 off = off.tolist()
                 sha = [hashlib.sha256(ids[s:e]).hexdigest() for s, e in zip(off[:-1], off[1:])]
                 back = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip(cut[:-1], cut[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(np.diff(off), pa.int64()), pa.array(sha), pa.array(back)],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                cols = [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(np.diff(off), pa.int64()), pa.array(sha), pa.array(back)]
+                if with_ids:
+                    cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return d.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return d.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def query(docs: DataFrame, ranks: str) -> DataFrame:

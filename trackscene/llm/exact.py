@@ -59,13 +59,30 @@ def with_groups(docs: DataFrame, hash_of=content_hash) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``with_groups`` drops; of rows that repeat the id that stays, the longest text stays once.
+    """``docs`` with one row of each group of equal texts, the one that ``with_groups`` keeps.
 
-    The dropped ids are sent to all executors if few, else joined by shuffle.
+    Rows are told by doc_id and text, so ids that occur with several texts do
+    no harm; of rows that repeat both, the one with the longest original text
+    stays.  Dropped rows are sent to all executors if few, else joined by shuffle.
     """
-    gone = stash(with_groups(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    ids = F.broadcast(gone) if gone.count() <= 5 * BROADCAST_KEYS else gone
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_gone"]), "left_anti")
+    g = stash(with_groups(docs).select("doc_id", F.unhex("text_sha256").alias("_sha"), "kept"))
+    gone = stash(g.where("not kept").select(F.col("doc_id").alias("_gone"), "_sha").distinct())
+    names = docs.columns
+    d = docs.withColumn("_key", F.unhex(F.sha2(normalised(), 256)))
+    out = d.join(_sent(gone), F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.col("_key") == F.col("_sha")), "left_anti")
+    again = stash(g.where("kept").groupBy(F.col("doc_id").alias("_again"), "_sha").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    if again.limit(1).count() == 0:
+        return out.select(*names)
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_again")) & (F.col("_key") == F.col("_sha"))
+    single = out.join(_sent(again), on, "left_anti").select(*names)
+    order = F.struct(F.char_length(text_of()), text_of())
+    once = (out.join(_sent(again), on, "left_semi").groupBy(F.col("doc_id").alias("_again"), "_key")
+            .agg(F.max_by(F.struct(*[F.col(c) for c in names]), order).alias("_row")).select("_row.*"))
+    return single.unionByName(once)
+
+
+def _sent(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def query(docs: DataFrame) -> DataFrame:

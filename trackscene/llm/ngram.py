@@ -253,12 +253,13 @@ def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataF
     return stash(j.mapInArrow(run, "a long, b long, linked boolean"))
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, with_class: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
     Two rows are linked when the Jaccard similarity of their shingle sets is at
     least ``least[0] / least[1]``; component_id is the smallest doc_id reachable
-    over links, itself included.  A text of fewer words is one shingle.  Null
+    over links, itself included (``with_class`` adds the names of each row's
+    class and component).  A text of fewer words is one shingle.  Null
     and empty texts have no shingles, link with nothing, and are components of
     their own.  Rows with one id and different texts are told apart by their
     sets; null ids are linked like others but are no component's name.  An empty
@@ -295,10 +296,12 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     comp = components(seen.where("linked"))
     classes = (rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc")).join(comp, "id", "left")
                .withColumn("component", F.coalesce("component", "id")))
-    named = classes.join(classes.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("id", "component_id")
-    out = rows.join(named, "id", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = classes.join(classes.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("id", "component", "component_id")
+    # written first, so that the join below deals both sides out itself and can split a class of many copies
+    out = rows.join(stash(named), "id", "left")
+    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    more = [F.col("id").alias("class"), "component"] if with_class else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *more)
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -313,10 +316,34 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
-    """``docs`` without near copies: of each component the row with its smallest doc_id stays."""
-    gone = stash(near_copies(docs, words, least).where("component_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    few = gone.count() <= 5 * BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` with one row of each component, that of its smallest doc_id; rows without words all stay.
+
+    Where ids repeat or are null, rows are told by id and shingle set, the
+    smallest of both stays, and of rows that repeat both any one.
+    """
+    near = stash(near_copies(docs, words, least, with_class=True))
+    odd = near.where("doc_id is null").limit(1).count() or near.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if not odd:
+        gone = stash(near.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")))
+        few = gone.count() <= 5 * BROADCAST_IDS
+        return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    stays = (near.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class")).alias("x"))
+             .select(F.col("x.doc_id").alias("_id"), F.col("x.class").alias("_class")))
+    names = docs.columns
+
+    def name_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = names.index("text")
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(k)], names=["doc_id", "text"])
+            d = [digest(s)[0] if len(s) else None for _, s in _sets(pair, words)]
+            ids = pa.array([None if x is None else int(_signed([x])[0]) for x in d], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*names, "_named"])
+
+    from pyspark.sql import types as T
+    d = docs.mapInArrow(name_class, T.StructType([*docs.schema.fields, T.StructField("_named", T.LongType())]))
+    kept = d.join(stays, d["doc_id"].cast("long").eqNullSafe(stays["_id"]) & (d["_named"] == stays["_class"]), "left_semi")
+    once = kept.groupBy(F.col("doc_id").alias("_id"), "_named").agg(F.first(F.struct(*[F.col(c) for c in names])).alias("_row")).select("_row.*")
+    return once.unionByName(d.where("_named is null").select(*names))
 
 
 def query(docs: DataFrame) -> DataFrame:

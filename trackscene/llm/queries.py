@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import bpe, exact, html, mix, ngram, quality, substring, tokenio, toxicity, warc
 
 #: Vocabulary files that the queries use; operators take a path.
@@ -38,3 +40,6 @@ _over("op10_ngram_jaccard", "documents", ngram.query, ngram.ORACLE)
 QUERIES["op5_toxicity"] = lambda spark, sf_dir: toxicity.query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 _over("op8_html_extraction", "pages", html.query)
 _over("op9_warc_audit", "pages", warc.query)
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
