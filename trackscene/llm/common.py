@@ -38,6 +38,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, dots and back-ticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def pack(docs: DataFrame, **needed: Column) -> DataFrame:
+    """``row`` (all columns of ``docs`` as one struct) and the columns needed beside it.
+
+    An operator that returns the rows it got works on this, so no name of its
+    own can clash with an input column; ``select("row.*")`` gives the rows back.
+    """
+    return docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in needed.items()])
+
+
 def text_of(name: str = "text") -> Column:
     """The text column, null counted as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

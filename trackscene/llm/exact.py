@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, stash, text_of
+from .common import WS_CHARS, pack, stash, text_of
 
 #: Keys of this many repeated hashes (16 bytes each, some 100 in memory) are sent to all executors; more are joined by shuffle.
 BROADCAST_KEYS = 200_000
@@ -67,17 +67,16 @@ def dedup(docs: DataFrame) -> DataFrame:
     """
     g = stash(with_groups(docs).select("doc_id", F.unhex("text_sha256").alias("_sha"), "kept"))
     gone = stash(g.where("not kept").select(F.col("doc_id").alias("_gone"), "_sha").distinct())
-    names = docs.columns
-    d = docs.withColumn("_key", F.unhex(F.sha2(normalised(), 256)))
-    out = d.join(_sent(gone), F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.col("_key") == F.col("_sha")), "left_anti")
+    d = pack(docs, doc_id=F.col("doc_id").cast("long"), key=F.unhex(F.sha2(normalised(), 256)))
+    out = d.join(_sent(gone), F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("key") == F.col("_sha")), "left_anti")
     again = stash(g.where("kept").groupBy(F.col("doc_id").alias("_again"), "_sha").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     if again.limit(1).count() == 0:
-        return out.select(*names)
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_again")) & (F.col("_key") == F.col("_sha"))
-    single = out.join(_sent(again), on, "left_anti").select(*names)
-    order = F.struct(F.char_length(text_of()), text_of())
-    once = (out.join(_sent(again), on, "left_semi").groupBy(F.col("doc_id").alias("_again"), "_key")
-            .agg(F.max_by(F.struct(*[F.col(c) for c in names]), order).alias("_row")).select("_row.*"))
+        return out.select("row.*")
+    on = F.col("doc_id").eqNullSafe(F.col("_again")) & (F.col("key") == F.col("_sha"))
+    single = out.join(_sent(again), on, "left_anti").select("row.*")
+    text = text_of("row.text")
+    once = (out.join(_sent(again), on, "left_semi").groupBy("doc_id", "key")
+            .agg(F.max_by("row", F.struct(F.char_length(text), text)).alias("row")).select("row.*"))
     return single.unionByName(once)
 
 

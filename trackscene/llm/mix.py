@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_of
+from .common import WORD, pack, text_of
 
 #: The mix of the query: weights by code point of the source, the share of all sizes, and the most repeats.
 WEIGHTS, SHARE, MOST = (5, 2, 1), (3, 2), 2
@@ -69,31 +69,28 @@ def unit_draw(seed: str, *cols: str) -> Column:
 
 
 def with_copies(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share=SHARE, most: int = MOST) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with size, source_size, target and copies.
+    """(row, doc_id, size, source_size, target, copies) of ``docs`` (doc_id, text, source, ...); row has all its columns.
 
     ``size`` counts words (null text: 0).  Rows with the same doc_id draw the
     same number, so repeated rows are repeated alike.  No documents give no
-    rows; null sources are one source; null doc_ids draw as one id.
-    Input columns of the names added here are replaced.
+    rows; null sources are one source; null doc_ids draw as one id.  Other
+    columns may have any names.
     """
-    keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "weight")]
-    d = docs.select(*keep).withColumn("size", word_count())
+    d = pack(docs, doc_id=F.col("doc_id"), source=F.col("source").cast("string"), size=word_count())
     sizes = d.groupBy(F.col("source").alias("_source")).agg(F.sum("size").alias("source_size"))
     t = source_targets(sizes, weights, share, most).select("_source", "source_size", "target")
-    j = d.join(t, d["source"].eqNullSafe(t["_source"])).drop("_source")
+    j = d.join(t, d["source"].eqNullSafe(t["_source"]))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     j = j.withColumn("_rate", rate)
     whole = F.floor("_rate")
     extra = (unit_draw(seed, "doc_id") < F.col("_rate") - whole).cast("long")
-    return j.withColumn("copies", whole.cast("long") + extra).drop("_rate")
+    return j.select("row", "doc_id", "size", "source_size", "target", (whole.cast("long") + extra).alias("copies"))
 
 
 def mix_sources(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share=SHARE, most: int = MOST) -> DataFrame:
     """The mix itself: each document as often as ``with_copies`` says, in the columns of ``docs``."""
     c = with_copies(docs, seed, weights, share, most)
-    names = [n for n in docs.columns if n in c.columns]
-    out = c.where("copies > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-    return out.drop("_copy")
+    return c.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, ONE, U64, lower_ascii, mix64, pieces, shuffle_partitions, span_hashes, stash, utf8, word_spans
+from .common import BYTE_CODE, ONE, U64, lower_ascii, mix64, pack, pieces, shuffle_partitions, span_hashes, stash, utf8, word_spans
 from .components import components
 
 WORDS, LEAST = 5, (80, 100)
@@ -326,24 +326,24 @@ def keep_one(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST
     if not odd:
         gone = stash(near.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")))
         few = gone.count() <= 5 * BROADCAST_IDS
-        return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+        d = pack(docs, doc_id=F.col("doc_id").cast("long"))
+        return d.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("row.*")
     stays = (near.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class")).alias("x"))
              .select(F.col("x.doc_id").alias("_id"), F.col("x.class").alias("_class")))
-    names = docs.columns
+    p = pack(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
 
     def name_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = names.index("text")
         for batch in batches:
-            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(k)], names=["doc_id", "text"])
+            pair = pa.RecordBatch.from_arrays(batch.columns[1:], names=["doc_id", "text"])
             d = [digest(s)[0] if len(s) else None for _, s in _sets(pair, words)]
             ids = pa.array([None if x is None else int(_signed([x])[0]) for x in d], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*names, "_named"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], ids], names=["row", "doc_id", "named"])
 
     from pyspark.sql import types as T
-    d = docs.mapInArrow(name_class, T.StructType([*docs.schema.fields, T.StructField("_named", T.LongType())]))
-    kept = d.join(stays, d["doc_id"].cast("long").eqNullSafe(stays["_id"]) & (d["_named"] == stays["_class"]), "left_semi")
-    once = kept.groupBy(F.col("doc_id").alias("_id"), "_named").agg(F.first(F.struct(*[F.col(c) for c in names])).alias("_row")).select("_row.*")
-    return once.unionByName(d.where("_named is null").select(*names))
+    d = p.mapInArrow(name_class, T.StructType([p.schema["row"], p.schema["doc_id"], T.StructField("named", T.LongType())]))
+    kept = d.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("named") == F.col("_class")), "left_semi")
+    once = kept.groupBy("doc_id", "named").agg(F.first("row").alias("row")).select("row.*")
+    return once.unionByName(d.where("named is null").select("row.*"))
 
 
 def query(docs: DataFrame) -> DataFrame:

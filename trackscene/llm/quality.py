@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WS, text_of
+from .common import WORD, WS, column, pack, text_of
 
 SYMBOLS = "#*$%&|<>"
 #: Frequent function words of the languages that the rules know.
@@ -33,10 +33,9 @@ RULES = (
 )
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the counts that the measures use, in ``_``-columns. A null text has no words."""
-    t = text_of(text)
-    d = docs.withColumn("_text", t).withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
+def with_counts(docs: DataFrame) -> DataFrame:
+    """``docs`` (row, text) with the counts that the measures use. A null text has no words."""
+    d = docs.withColumn("_text", text_of()).withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
     n = F.size("_words")
     d = d.withColumn("_n", n.cast("long"))
     # lines with a word, and how many of them equal an earlier line
@@ -58,9 +57,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                           lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(3), i - s["last"])).alias("n")),
                           lambda s: s["n"])
     stops = sorted({w for ws in STOP_WORDS.values() for w in ws})
-    stop_list = F.array(*[F.lit(w) for w in stops])
     n_stop = F.regexp_count(F.lower("_text"), F.lit(rf"(?<![^{WS}])(?:{'|'.join(stops)})(?=[{WS}.,!?;:]|$)"))
-    del stop_list
     n_cp = F.char_length("_text")
     return d.withColumns({
         "_word_chars": F.char_length(F.translate("_text", " \t\n\x0b\x0c\r", "")).cast("long"),
@@ -110,10 +107,10 @@ def apply_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     an empty table gives no rows.  Input columns of the names added are replaced.
     """
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken")
-    d = with_counts(docs.select(*[c for c in docs.columns if c not in names]), text)
+    d = with_counts(pack(docs, text=column(text)))
     base = (F.col("_n") < 50) | (100 * F.col("_repeat_words") > 50 * F.col("_n"))
     d = d.withColumns({"base_failed": base, "broken": compile_rules(rules)})
-    rest = [c for c in docs.columns if c not in names]
+    rest = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in names]
     return d.select(*rest, F.col("_n").alias("n_words"), F.col("_word_chars").alias("word_chars"),
                     F.col("_symbols").alias("n_symbols"), F.col("_dup_lines").alias("n_dup_lines"),
                     F.col("_repeat_words").alias("n_repeat_words"), "base_failed",

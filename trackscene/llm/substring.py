@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, U64, mix64, pieces, shuffle_partitions, span_hashes, stash, utf8
+from .common import BYTE_CODE, U64, mix64, pack, pieces, shuffle_partitions, span_hashes, stash, utf8
 
 WINDOW = 32
 #: One chunk in 2**CUT_BITS bytes on average, and none longer than MOST bytes.
@@ -164,13 +164,15 @@ def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
              .agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("_spans")))
     spans = stash(spans)
     few = spans.count() <= BROADCAST_IDS // 4
-    j = docs.join(F.broadcast(spans) if few else spans, F.coalesce(docs["doc_id"].cast("long"), F.lit(-1)) == spans["_id"], "left")
+    d = pack(docs, doc_id=F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
+    j = d.join(F.broadcast(spans) if few else spans, F.col("doc_id") == F.col("_id"), "left").select("row", "_spans")
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = names.index("text")
         for batch in batches:
-            texts, lists = batch.column(k).to_pylist(), batch.column(len(names)).to_pylist()
+            cols = batch.column(0).flatten()
+            texts, lists = cols[k].to_pylist(), batch.column(1).to_pylist()
             out = []
             for t, s in zip(texts, lists):
                 if t and s:
@@ -180,10 +182,10 @@ def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
                         at = x["start"] + x["size"]
                     t = "".join([*parts, raw[at:].decode(errors="ignore")])
                 out.append(t)
-            cols = [pa.array(out, pa.string()) if i == k else batch.column(i) for i in range(len(names))]
+            cols[k] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return j.select(*[docs[c] for c in names], "_spans").mapInArrow(cut, docs.schema)
+    return j.mapInArrow(cut, docs.schema)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, U64, mix64, pieces, span_hashes, stash, utf8
+from .common import BYTE_CODE, U64, mix64, pack, pieces, span_hashes, stash, utf8
 
 #: The bound of the fit: at most so many examples of each label, and so many terms.
 EXAMPLES, TERMS = 4000, 4096
@@ -265,9 +265,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: bool = Tr
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose score reaches ``threshold``; the model is fitted on ``docs`` themselves."""
     model = fit(docs, labels)
-    names = docs.columns
-    packed = docs.select(F.struct(*names).alias("_row"), "text")  # keeps an input column named score
-    return score(packed, model, evidence=False).where(F.col("score") < threshold).select("_row.*")
+    return score(pack(docs, text=F.col("text").cast("string")), model, evidence=False).where(F.col("score") < threshold).select("row.*")
 
 
 def query(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
