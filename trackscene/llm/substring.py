@@ -1,7 +1,7 @@
 """Substring dedup (operator 2): content-defined chunks by a gear rolling hash, deduplicated by digest.
 
-A text is cut where the gear hash of the 32 bytes before a place has its upper
-bits zero, so cuts follow the content and an insertion moves only the chunks it
+A text is cut where the gear hash of the 16 bytes before a place is low, so cuts
+follow the content and an insertion moves only the chunks it
 touches.  Chunks travel as 128-bit digests in packed arrays, dealt by digest; a
 batch sends each digest once, with its first place there, so a passage that a
 third of all rows share costs one entry per batch.  The first place of a digest
@@ -22,31 +22,31 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_CODE, U64, mix64, pack, pieces, shuffle_partitions, span_hashes, stash, utf8
 
-WINDOW = 32
-#: One chunk in 2**CUT_BITS bytes on average, and none longer than MOST bytes.
-CUT_BITS, MOST = 5, 128
-#: Least bytes of a run of repeated chunks.
-LEAST_RUN = 160
+WINDOW = 16
+#: Bytes of a chunk on average, and none longer than MOST bytes.
+MEAN, MOST = 20, 64
+#: Least bytes of a run of repeated chunks: a passage of 50 words has 250 to 350, of which its edges lose 16 + 2 * MEAN on average.
+LEAST_RUN = 112
 PIECE_BYTES, BATCH_BYTES = 1 << 19, 1 << 23
 BROADCAST_IDS = 1_000_000
 
 #: One random 32-bit number for each byte value.
 GEAR = (mix64(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93)) >> U64(32)).astype(np.uint32)
 
-ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("size", "<u4"), ("start", "<u4")])
+ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("size", "<u4")])
 
 
-def cuts(data: np.ndarray, off: np.ndarray, cut_bits: int = CUT_BITS, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+def cuts(data: np.ndarray, off: np.ndarray, mean: int = MEAN, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of the chunks of rows lying one after another in ``data``."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = GEAR[data]
     step = 1
-    while step < WINDOW:  # sum of gear << distance over 32 bytes, by doubling
+    while step < WINDOW:  # sum of gear << distance over the window, by doubling
         h[step:] += h[:-step] << np.uint32(step)
         step *= 2
-    ends = np.flatnonzero(h >> np.uint32(32 - cut_bits) == 0) + 1
+    ends = np.flatnonzero(h < np.uint32((1 << 32) // mean)) + 1
     # a place nearer to its row's begin than the window looks into the row before it: no cut there
     row = np.searchsorted(off, ends - 1, "right") - 1
     ends = ends[ends - off[row] >= WINDOW]
@@ -106,7 +106,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                     codes = BYTE_CODE[raw]
                     e["h1"], e["h2"] = span_hashes(codes, s, t), span_hashes(mix64(codes), s, t)
                     row = np.searchsorted(o, s, "right") - 1
-                    e["doc"], e["at"], e["size"], e["start"] = ids[a:b][row], s - o[row], t - s, 0
+                    e["doc"], e["at"], e["size"] = ids[a:b][row], s - o[row], t - s
                     held.append(e)
                     size += len(raw)
                     if size >= BATCH_BYTES:
