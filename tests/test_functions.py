@@ -93,14 +93,16 @@ def test_folds_count_and_balance(spark):
     assert f.select("key").distinct().count() == 1000
 
 
-def test_to_chw_rules():
-    order, shape = raster.to_chw_index((4, 5, 3), expected=3)
-    a = np.arange(60).reshape(4, 5, 3)
-    assert shape == (3, 4, 5) and (np.asarray(order).reshape(shape) == a.transpose(2, 0, 1)).all()
-    _, shape = raster.to_chw_index((4, 6, 6), expected=5)  # 4 is a usual channel count, on axis 0
-    assert shape == (4, 6, 6)
-    _, shape = raster.to_chw_index((7, 2, 9), expected=5)  # smallest axis
-    assert shape == (2, 7, 9)
+def test_to_chw_rules(spark):
+    assert raster.channel_axis((4, 5, 3), 3) == 2 and raster.channel_axis((3, 5, 3), 3) == 0
+    assert raster.channel_axis((4, 6, 6), 5) == 0  # 4 is a usual channel count, on axis 0
+    assert raster.channel_axis((4, 6, 8), 5) == 2 and raster.channel_axis((9, 4, 2), 5) == 2  # the shortest axis
+    assert raster.channel_axis((7, 2, 9), 5) == 1
+    a = np.arange(60, dtype=float) - 2
+    df = spark.createDataFrame([(a.tolist(), 4, 5, 3), (a.tolist(), 60, 1, None)], "px array<double>, h int, w int, c int")
+    got = [r[0] for r in raster.to_chw(df, "px", ("h", "w", "c"), 3).select("chw").collect()]
+    assert got[0] == np.maximum(a.reshape(4, 5, 3).transpose(2, 0, 1), 0).ravel().tolist()
+    assert got[1] == np.maximum(a, 0).tolist()
 
 
 def test_resize_nearest_and_crop(spark):
@@ -108,6 +110,9 @@ def test_resize_nearest_and_crop(spark):
     df = spark.createDataFrame([(px,)], "p array<int>")
     near = df.select(raster.resize_nearest("p", 1, 4, 4, 2)).first()[0]
     assert near == [0, 2, 8, 10]
+    line = spark.createDataFrame([([float(i // 58) for i in range(58 * 58)],)], "p array<double>")
+    big = line.select(raster.resize_nearest("p", 1, 58, 58, 100)).first()[0]
+    assert big[50 * 100] == 29.0 and [big[i * 100] for i in range(100)] == [i * 58 // 100 for i in range(100)]
     crop = df.select(raster.resize_crop_pad(F.col("p").cast("array<double>"), 1, 4, 4, 2)).first()[0]
     assert crop == [5.0, 6.0, 9.0, 10.0]
     pad = df.select(raster.resize_crop_pad(F.col("p").cast("array<double>"), 1, 4, 4, 6)).first()[0]

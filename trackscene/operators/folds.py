@@ -14,6 +14,8 @@ split every class uniformly because md5 is uniform.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +43,15 @@ def sample_per_class(df: DataFrame, n: int, seed: int, class_col: str = "label",
     return top_n_per_group(df, n, class_col, [hash_order(key, seed), F.col(key)])
 
 
+#: Folds when the two shares differ, and the bounds.
+USUAL_FOLDS, FEWEST_FOLDS, MOST_FOLDS = 5, 3, 20
+
+
 def folds_count(val_frac: float, test_frac: float) -> int:
     """K = round(1/val) when val == test > 0, else 5; clamped to 3..20."""
-    k = int(round(1.0 / val_frac)) if abs(val_frac - test_frac) < 1e-6 and val_frac > 0 else 5
-    return max(3, min(20, k))
+    same = val_frac > 0 and math.isclose(val_frac, test_frac, rel_tol=0.0, abs_tol=1e-6)
+    wanted = round(1.0 / val_frac) if same else USUAL_FOLDS
+    return sorted((FEWEST_FOLDS, wanted, MOST_FOLDS))[1]
 
 
 def stratified_folds(df: DataFrame, k: int, seed: int, class_col: str = "label", key: str = "key",
@@ -75,9 +82,8 @@ def split_for_fold(folds: DataFrame, r: int, k: int) -> DataFrame:
 
 
 def train_rows(folds: DataFrame, r: int, k: int, key: str = "key") -> DataFrame:
-    """train = all rows minus (test ∪ val) of round r, as an anti join on the key."""
-    held = folds.where(F.col("fold").isin(r, (r + 1) % k)).select(key)
-    return folds.join(held, key, "left_anti")
+    """train = all rows that are neither test nor val in round r: a predicate on the fold, no join."""
+    return folds.where(~F.col("fold").isin(r, (r + 1) % k))
 
 
 def class_counts(df: DataFrame, class_col: str = "label") -> DataFrame:
@@ -85,6 +91,19 @@ def class_counts(df: DataFrame, class_col: str = "label") -> DataFrame:
     return df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_weights_all_folds(folds: DataFrame, k: int, n_classes: int, class_col: str = "label") -> DataFrame:
+    """F5 for every round r of K at once (round, class, weight): the rows are counted
+    once per (class, fold), and a fold's count goes to the rounds it trains in."""
+    per = folds.groupBy(class_col, "fold").agg(F.count(F.lit(1)).alias("n"))
+    r = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint"))).alias("round")
+    trains = per.select("*", r).where((F.col("fold") != F.col("round")) & (F.col("fold") != (F.col("round") + 1) % k))
+    n = trains.groupBy("round", class_col).agg(F.sum("n").alias("n"))
+    dim = folds.sparkSession.range(n_classes).select(F.col("id").alias(class_col), r)
+    j = dim.join(n, ["round", class_col], "left")
+    total = F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("round"))
+    return j.select("round", class_col, (total / F.greatest(F.lit(1), F.coalesce("n", F.lit(1)))).cast("double").alias("weight"))
+
+
 def class_weights(train: DataFrame, n_classes: int, class_col: str = "label") -> DataFrame:
     """weight = total / max(1, n_c); a class absent from train counts as 1.
 

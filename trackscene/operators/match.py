@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import interpolate, is_empty_point
-from ..functions.text import drop_suffix
+from ..functions.text import product_id
 from ..functions.timefn import epoch_micros, micros_between
 from ..session import pin_utc
 
@@ -31,14 +31,15 @@ _S = "_s_"  # prefix of scene-side helper columns
 
 
 def index_scenes(index: DataFrame, metadata: DataFrame, *, file_col: str = "file_name",
-                 key_col: str = "api_id", strip: int = 4) -> DataFrame:
-    """Product index joined to the scene catalog on ``drop_suffix(file_name, 4)``.
+                 key_col: str = "api_id") -> DataFrame:
+    """Product index joined to the scene catalog on the product id of the file name:
+    ``X.SAFE.zip``, ``X.zip``, ``X.SAFE`` and ``X`` all name product ``X``.
 
     Inner equi join; duplicate index rows multiply.  The catalog side is small
     per product, and AQE turns the join into a broadcast only when it measures
     that side below the broadcast threshold.
     """
-    idx = index.withColumn("product_id", drop_suffix(F.col(file_col), strip))
+    idx = index.withColumn("product_id", product_id(F.col(file_col)))
     return idx.join(metadata, idx["product_id"] == metadata[key_col], "inner")
 
 

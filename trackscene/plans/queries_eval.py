@@ -10,6 +10,7 @@ from ..functions.text import TAXONOMIES
 from ..operators import evaluate as ev
 from ..operators import folds as fo
 from ..operators import quality as qa
+from ..operators import raster as ra
 from . import fixtures as fx
 from .fixtures import with_views
 from .queries_match import predicted
@@ -19,7 +20,6 @@ K = 10
 SEED = 42
 N_CLASSES = 6
 CLASS_NAMES = TAXONOMIES[6]["classes"]
-STATS_LIMIT = 50  # images per class for the normalisation statistics (the training script uses 200)
 
 
 # ------------------------------------------------------------------ fixtures over `embeddings`
@@ -113,21 +113,47 @@ def q_class_weights(spark: SparkSession, d: str) -> DataFrame:
     return fo.class_weights(train, N_CLASSES, "cls")
 
 
+@register("class_weights_all_folds", with_views(f"""
+SELECT r.range AS round, c.range AS cls,
+       CAST((SELECT count(*) FROM folds WHERE fold NOT IN (r.range, (r.range + 1) % {K})) AS DOUBLE) / greatest(1, coalesce(n.n, 1)) AS weight
+FROM range({K}) r CROSS JOIN range({N_CLASSES}) c
+LEFT JOIN (SELECT r.range AS round, cls, count(*) AS n FROM range({K}) r JOIN folds ON fold NOT IN (r.range, (r.range + 1) % {K}) GROUP BY ALL) n
+  ON n.round = r.range AND n.cls = c.range""", extra=views("pt", "folds")))
+def q_class_weights_all_folds(spark: SparkSession, d: str) -> DataFrame:
+    return fo.class_weights_all_folds(folds_df(spark, d), K, N_CLASSES, "cls")
+
+
+# ------------------------------------------------------------------ J6 / J7 / J9 over embeddings
+@register("resize_nearest", """
+SELECT vec_id, [round(embedding[1 + (k // 49) * 16 + ((k % 49) // 7 * 4 // 7) * 4 + (k % 7) * 4 // 7]::DOUBLE, 6) FOR k IN range(98)] AS pixels
+FROM embeddings""")
+def q_resize_nearest(spark: SparkSession, d: str) -> DataFrame:
+    e = fx.table(spark, d, "embeddings").select("vec_id", F.slice("embedding", 1, 32).cast("array<double>").alias("px"))
+    r = e.select("vec_id", ra.resize_nearest("px", 2, 4, 4, 7).alias("px"))
+    return r.select("vec_id", F.transform("px", lambda x: F.round(x, 6)).alias("pixels"))
+
+
+@register("to_chw", """
+SELECT vec_id, [round(greatest(embedding[1 + (k % 16) * 4 + k // 16], 0)::DOUBLE, 5) FOR k IN range(64)] AS pixels FROM embeddings""")
+def q_to_chw(spark: SparkSession, d: str) -> DataFrame:
+    """Images of 4 x 4 pixels, channels last, to channels first."""
+    e = fx.table(spark, d, "embeddings").select("vec_id", F.slice("embedding", 1, 64).alias("px"), F.lit(4).alias("h"), F.lit(4).alias("w"), F.lit(4).alias("c"))
+    # three equal axes would be ambiguous: the grid is read as 16 x 1 pixels
+    c = ra.to_chw(e.withColumns({"h": F.lit(16), "w": F.lit(1)}), "px", ("h", "w", "c"), 4)
+    return c.select("vec_id", F.transform("chw", lambda x: F.round(x.cast("double"), 5)).alias("pixels"))
+
+
 # ------------------------------------------------------------------ F6 / J8 / F7 / F8 / F9
 STATS_SQL = f"""SELECT band, round(q[1], 6) AS low, round(CASE WHEN q[2] <= q[1] THEN q[1] + 1e-3 ELSE q[2] END, 6) AS high
 FROM (SELECT CAST(b - 1 AS BIGINT) AS band, quantile_cont(v, [0.02, 0.98]) AS q
       FROM (SELECT generate_subscripts(bands, 1) AS b, unnest(bands) AS px FROM sampled) t,
            unnest(px) AS u(v)
       GROUP BY b) s"""
-SAMPLED_SQL = f"""SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY cls ORDER BY md5(CAST(vec_id AS VARCHAR) || ':{SEED}'), vec_id) AS rn
-  FROM folds WHERE fold NOT IN (0, 1)) t WHERE rn <= {STATS_LIMIT}"""
+SAMPLED_SQL = "SELECT * FROM folds WHERE fold NOT IN (0, 1)"  # every training row: a histogram needs no sample
 
 
 def stats_df(spark: SparkSession, d: str) -> DataFrame:
-    train = fo.train_rows(folds_df(spark, d), 0, K, key="vec_id")
-    sampled = fo.sample_per_class(train, STATS_LIMIT, SEED, class_col="cls", key="vec_id")
-    return qa.percentile_stats(sampled)
+    return qa.percentile_stats(fo.train_rows(folds_df(spark, d), 0, K, key="vec_id"))
 
 
 @register("percentile_stats", with_views("SELECT * FROM stats",

@@ -22,25 +22,24 @@ _INDEX_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructFie
                               T.StructField("sensing_time_text", T.StringType())])
 
 
-def _sensing_time(zip_bytes: bytes) -> str | None:
-    """Text of the first SENSING_TIME element in the first member whose name
-    contains ``MTD_TL.xml``; None when missing or malformed."""
+def _sensing_time(archive) -> str | None:
+    """The SENSING_TIME text of the tile metadata in an open archive file; a broken
+    archive, or one without it, has none (its row is still made)."""
     try:
-        with zipfile.ZipFile(io.BytesIO(zip_bytes)) as zf:
-            member = next((n for n in zf.namelist() if "MTD_TL.xml" in n), None)
-            if member is None:
-                return None
-            root = ET.fromstring(zf.read(member))
-            el = root.find(".//SENSING_TIME")
-            return el.text if el is not None else None
-    except Exception:  # noqa: BLE001 - a broken archive still gets its row, with NULL time
-        return None
+        with zipfile.ZipFile(archive) as z:
+            for name in z.namelist():
+                if "MTD_TL.xml" in name:
+                    with z.open(name) as f:  # read as a stream, up to the element
+                        return next((e.text for _, e in ET.iterparse(f) if e.tag == "SENSING_TIME"), None)
+    except (zipfile.BadZipFile, ET.ParseError, OSError, ValueError, NotImplementedError, EOFError):
+        pass
+    return None
 
 
 def index_scene_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per scene archive: ``file_name`` = basename without
     ``.SAFE.zip``, ``sensing_time`` from the tile metadata (NULL when absent or
-    malformed; the row is still emitted).  Only the one XML member is read."""
+    malformed; the row is still emitted).  Whole archives are loaded, so each must stay below 2 GB."""
     pin_utc(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
@@ -49,8 +48,8 @@ def index_scene_archives(spark: SparkSession, path: str) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({
                 "path": pdf["path"],
-                "file_name": [os.path.basename(p).replace(".SAFE.zip", "") for p in pdf["path"]],
-                "sensing_time_text": [_sensing_time(b) for b in pdf["content"]],
+                "file_name": [os.path.basename(p).removesuffix(".SAFE.zip") for p in pdf["path"]],
+                "sensing_time_text": [_sensing_time(io.BytesIO(b)) for b in pdf["content"]],
             })
     idx = files.mapInPandas(run, _INDEX_SCHEMA)
     return idx.select("path", "file_name",
