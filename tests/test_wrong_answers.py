@@ -79,3 +79,42 @@ def test_band_scaling_of_all_bands_at_once():
     assert (y[1] == 0).all() and y[2][-1] > 0.99 and (y[2][:-1] == 0).all()
     lo, hi = np.percentile(bands[0], [2, 98])
     assert np.allclose(y[0], np.clip((bands[0] - lo) / (hi - lo + 1e-6), 0, 1)) and np.isfinite(y).all()
+
+
+def test_unreadable_archives_are_rejected(spark, scratch):
+    import os
+    import zipfile
+
+    from trackscene.sources import positions
+    head = ",".join(f'"{n}"' for n, _ in positions.POSITION_COLUMNS)
+    row = ["01/01/2024 10:00:00"] + [""] * (len(positions.POSITION_COLUMNS) - 1)
+    with zipfile.ZipFile(os.path.join(scratch, "good.zip"), "w") as z:
+        z.writestr("a.csv", head + "\n" + ",".join(row) + "\n")
+    with open(os.path.join(scratch, "broken.zip"), "wb") as f:
+        f.write(b"this is no archive")
+    rows, rejects = positions.read_folder_tolerant(spark, scratch)
+    assert rows.count() == 1
+    assert [os.path.basename(r["source"]) for r in rejects.collect()] == ["broken.zip"]
+
+
+def test_null_pixels_are_left_out(spark):
+    df = spark.createDataFrame([([[1.0, None, 3.0], [5.0, 5.0, 5.0]],)], "bands array<array<double>>")
+    got = {r["band"]: (r["low"], r["high"]) for r in quality.percentile_stats(df).collect()}
+    assert got[0] == (1.04, 2.96) and got[1] == (5.0, 5.001)
+
+
+def test_codes_without_a_zone_give_no_position(spark):
+    from trackscene.functions import geo
+    df = spark.createDataFrame([(9.0, 55.0, 32632), (9.0, 55.0, 4326)], "lon double, lat double, epsg int")
+    got = [tuple(r) for r in geo.with_utm(df, "lon", "lat", "epsg", "x", "y").select("x", "y").collect()]
+    assert abs(got[0][0] - 500000) < 1e-6 and got[1] == (None, None)
+
+
+def test_bounds_on_time_change_no_match(spark):
+    scenes = spark.sql("SELECT 's' AS api_id, timestamp_ntz'2024-01-05 10:00:00' AS sensing_time, 0d AS xmin, 0d AS ymin, 2d AS xmax, 2d AS ymax")
+    pos = spark.range(600).selectExpr("id", "id % 7 AS mmsi", "timestamp_ntz'2024-01-05 08:00:00' + make_dt_interval(0, 0, cast(id as int), 0) AS ts", "1d AS lon", "1d AS lat")
+    a = match.match_window(pos, scenes, 30)
+    b = match.match_window(pos, scenes, 30, between=match.scene_time_range(scenes))
+    assert a.count() == 61 and sorted(a.collect()) == sorted(b.collect())
+    none = scenes.limit(0)
+    assert match.match_window(pos, none, 30, between=match.scene_time_range(none)).count() == 0

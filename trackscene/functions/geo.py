@@ -117,13 +117,14 @@ def _utm_from_xi_eta(xi: Column, eta: Column, epsg: Column) -> dict[str, Column]
         e_sum = e_sum + F.lit(a_j) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         n_sum = n_sum + F.lit(a_j) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     south = (epsg >= 32701) & (epsg <= 32760)
-    return {"x": F.lit(UTM_FALSE_EASTING) + F.lit(UTM_K0 * big_a) * e_sum,
-            "y": (F.when(south, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-                  + F.lit(UTM_K0 * big_a) * n_sum)}
+    known = south | ((epsg >= 32601) & (epsg <= 32660))  # any other code is no UTM zone: NULL
+    return {"x": F.when(known, F.lit(UTM_FALSE_EASTING) + F.lit(UTM_K0 * big_a) * e_sum),
+            "y": F.when(known, F.when(south, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
+                        + F.lit(UTM_K0 * big_a) * n_sum)}
 
 
 def utm(lon, lat, epsg) -> dict[str, Column]:
-    """WGS84 lon/lat -> UTM easting/northing for EPSG 326zz (north) / 327zz (south).
+    """WGS84 lon/lat -> UTM easting/northing for EPSG 326zz (north) / 327zz (south), NULL for other codes.
 
     Krueger series to third order in n (sub-millimetre inside a zone).  As one
     expression the series repeats its inner terms; on DataFrames prefer
@@ -144,10 +145,6 @@ def with_utm(df, lon: str, lat: str, epsg: str, out_x: str = "utm_x", out_y: str
 
 
 # ---------------------------------------------------------------- D8 / D9
-def point_in_box(px, py, xmin, ymin, xmax, ymax) -> Column:
-    """Inclusive point-in-box (boundary counts)."""
-    px, py = _c(px), _c(py)
-    return px.between(_c(xmin), _c(xmax)) & py.between(_c(ymin), _c(ymax))
 
 
 def _edges_expr(ring: str) -> str:

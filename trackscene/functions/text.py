@@ -72,11 +72,6 @@ def patch_name(ship_type, mmsi, record_id, tci: bool = False) -> Column:
                     F.lit("_TCI.tif" if tci else ".tif"))
 
 
-def ensure_trailing_slash(c) -> Column:
-    c = _c(c)
-    return F.when(c.endswith("/"), c).otherwise(F.concat(c, F.lit("/")))
-
-
 def basename(c) -> Column:
     return F.element_at(F.split(_c(c), "/"), -1)
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
 
-
 def _epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
@@ -33,22 +32,6 @@ def epoch_micros(c, dtype: DataType | None = None) -> Column:
     return F.unix_micros(_c(c))
 
 
-def signed_seconds(start, end) -> Column:
-    """Fractional seconds ``end - start``, exact to the microsecond."""
-    return micros_between(start, end) / F.lit(1e6)
-
-
-def abs_seconds(a, b) -> Column:
-    """``abs(a - b)`` in fractional seconds."""
-    return F.abs(micros_between(b, a)) / F.lit(1e6)
-
-
-def time_relation(ts, ref) -> Column:
-    """``before`` when ``ts <= ref``, ``after`` when ``ts > ref``, else NULL."""
-    return (F.when(_c(ts) <= _c(ref), F.lit("before"))
-            .when(_c(ts) > _c(ref), F.lit("after")))
-
-
 def utc_ntz(c) -> Column:
     """Zoned instant -> UTC wall clock without zone (session tz is UTC)."""
     return _c(c).cast("timestamp_ntz")

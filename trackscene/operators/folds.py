@@ -75,12 +75,6 @@ def stratified_folds(df: DataFrame, k: int, seed: int, class_col: str = "label",
             .drop("_h", "_b", "_r", "_off"))
 
 
-def split_for_fold(folds: DataFrame, r: int, k: int) -> DataFrame:
-    """G5 roles for round r: test = fold r, val = fold (r+1) % K, train = rest."""
-    f = F.col("fold")
-    return folds.withColumn("role", F.when(f == r, "test").when(f == (r + 1) % k, "val").otherwise("train"))
-
-
 def train_rows(folds: DataFrame, r: int, k: int, key: str = "key") -> DataFrame:
     """train = all rows that are neither test nor val in round r: a predicate on the fold, no join."""
     return folds.where(~F.col("fold").isin(r, (r + 1) % k))

@@ -17,6 +17,7 @@ Plan shape (checked with ``explain``):
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,17 +44,26 @@ def index_scenes(index: DataFrame, metadata: DataFrame, *, file_col: str = "file
     return idx.join(metadata, idx["product_id"] == metadata[key_col], "inner")
 
 
+def scene_time_range(scenes: DataFrame, scene_time: str = "sensing_time") -> tuple:
+    """(first, last) sensing time: one row to the driver, whatever the catalog's size."""
+    r = scenes.agg(F.min(scene_time).alias("a"), F.max(scene_time).alias("b")).first()
+    return r["a"], r["b"]
+
+
 def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *,
                  ts: str = "ts", lon: str = "lon", lat: str = "lat",
                  scene_key: str = "api_id", scene_time: str = "sensing_time",
                  box: Sequence[str] = ("xmin", "ymin", "xmax", "ymax"),
-                 cell_size: float = 1.0, salt: int = 1, id_col: str = "id") -> DataFrame:
+                 cell_size: float = 1.0, salt: int = 1, id_col: str = "id",
+                 between: tuple | None = None) -> DataFrame:
     """E2 (+D8, B5, B6): every (report, scene) with ``|ts - sensing_time| <= minutes``
     (inclusive) and the report inside the scene footprint box (inclusive).
 
     ``salt > 1`` spreads hot (bucket, cell) keys over ``salt`` shuffle
     partitions when the scene side is too large to broadcast: scene key rows are
     replicated per salt, each report takes one salt from a hash of its id.
+    ``between`` = (first, last) sensing time (``scene_time_range``) adds bounds on
+    ``ts`` that reach the scan of the positions, so files outside are not read.
 
     Output: all position columns, ``scene_key``, ``scene_time``, ``rel``
     ('before' when ts <= sensing time, else 'after'), ``diff_us`` (signed,
@@ -64,6 +74,10 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
     width = 2 * half if half > 0 else 1
     ts_type = positions.schema[ts].dataType
     st_type = scenes.schema[scene_time].dataType
+    if between is not None:
+        first, last = (t if t is not None else dt.datetime(1970, 1, 1) for t in between)
+        pad = dt.timedelta(microseconds=half)
+        positions = positions.where((F.col(ts) >= F.lit(first - pad)) & (F.col(ts) <= F.lit(last + pad)))
     pos = (positions
            .where(F.col(ts).isNotNull() & F.col(lon).isNotNull() & F.col(lat).isNotNull())
            .select("*", F.floor(epoch_micros(F.col(ts), ts_type) / F.lit(width)).alias("_tb"),

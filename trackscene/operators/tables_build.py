@@ -17,9 +17,12 @@ from . import match
 
 
 def build_closest_table(positions: DataFrame, scenes: DataFrame, out_path: str, minutes: float = 10,
-                        mode: str = "replace") -> DataFrame:
-    """E2 + E3 written as a table partitioned by ``api_id``; returns the table as read back."""
-    m = match.match_window(positions, scenes, minutes)
+                        mode: str = "replace", salt: int = 1) -> DataFrame:
+    """E2 + E3 written as a table partitioned by ``api_id``; returns the table as read back.
+
+    Only reports around the catalog's sensing times are read; ``salt`` spreads
+    busy cells (see ``match.match_window``)."""
+    m = match.match_window(positions, scenes, minutes, salt=salt, between=match.scene_time_range(scenes))
     closest = match.closest_fixes(m)
     load(closest, out_path, mode, partition_by=["api_id"])
     return positions.sparkSession.read.parquet(out_path)

@@ -89,16 +89,22 @@ ARCHIVE_LINES = T.StructType([
 ])
 
 
-def _archive_reader(suffix: str, case_insensitive: bool, chunk: int, by_path: bool):
+def _archive_reader(suffix: str, case_insensitive: bool, chunk: int, by_path: bool, tolerant: bool = False):
     def read(batches):
         for pdf in batches:
             for rec in pdf.to_dict("records"):
                 src = rec["path"]
                 if by_path:
                     local = src[len("file:"):] if src.startswith("file:") else src
-                    zf = zipfile.ZipFile(local)
                 else:
-                    zf = zipfile.ZipFile(io.BytesIO(rec["content"]))
+                    local = io.BytesIO(rec["content"])
+                try:
+                    zf = zipfile.ZipFile(local)
+                except zipfile.BadZipFile as e:
+                    if not tolerant:
+                        raise
+                    yield pd.DataFrame([(src, None, None, f"not readable: {e}")], columns=["path", "member", "record_no", "record"])
+                    continue
                 with zf:
                     for name in zf.namelist():
                         ok = name.lower().endswith(suffix.lower()) if case_insensitive else name.endswith(suffix)
@@ -120,9 +126,11 @@ def _archive_reader(suffix: str, case_insensitive: bool, chunk: int, by_path: bo
 
 
 def archive_records(spark: SparkSession, path: str, *, suffix: str = ".csv", case_insensitive: bool = True,
-                    chunk: int = 10_000, by_path: bool = False) -> DataFrame:
+                    chunk: int = 10_000, by_path: bool = False, tolerant: bool = False) -> DataFrame:
     """A2 raw: every record of every matching member of every ``*.zip`` under
-    ``path``: (path, member, record_no, record).
+    ``path``: (path, member, record_no, record).  With ``tolerant`` a file that is
+    no archive gives one row without a record number, whose record is the reason;
+    otherwise it fails the job.
 
     ``by_path=False`` ships archive bytes through ``binaryFile`` (any Hadoop
     file system, archives up to 2 GB); ``by_path=True`` ships only the path and
@@ -138,7 +146,7 @@ def archive_records(spark: SparkSession, path: str, *, suffix: str = ".csv", cas
         # archive bytes are never shuffled: each scan task decodes the archives it read
         # (an archive is one unsplittable file, so a large one is its own partition)
         files = files.select("path", "content")
-    return files.mapInPandas(_archive_reader(suffix, case_insensitive, chunk, by_path), ARCHIVE_LINES)
+    return files.mapInPandas(_archive_reader(suffix, case_insensitive, chunk, by_path, tolerant), ARCHIVE_LINES)
 
 
 def read_archives(spark: SparkSession, path: str, *, suffix: str = ".csv", case_insensitive: bool = True,
@@ -169,7 +177,8 @@ def with_row_id(df: DataFrame, source_cols=("path", "member"), line_col: str = "
 
 def read_folder_tolerant(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """A3: a folder with ``.csv`` and ``.zip`` files; a file (or a whole archive)
-    with any bad record is rejected and reported, the others load.
+    with any bad record, or an archive that cannot be opened, is rejected and
+    reported, the others load.
 
     Returns ``(rows, rejects)``; rejects = (source, reason)."""
     pin_utc(spark)
@@ -200,12 +209,12 @@ def _bad_ts():
 
 
 def _zip_rows(spark: SparkSession, folder: str) -> DataFrame:
-    raw = archive_records(spark, folder, suffix=".csv", case_insensitive=False)
+    raw = archive_records(spark, folder, suffix=".csv", case_insensitive=False, tolerant=True)
     opts = {k: v for k, v in COPY_CSV_OPTIONS.items() if k not in ("header", "multiLine", "encoding")}
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = raw.select(F.col("path").alias("_source"),
+    parsed = raw.select(F.col("path").alias("_source"), F.col("record_no").isNull().alias("_unreadable"),
                         F.from_csv(F.col("record"), raw_ddl("`_corrupt_record` string"), opts).alias("r"))
     cols = [F.col("r").getField(n).alias(n) for n, _ in POSITION_COLUMNS]
-    out = parsed.select("_source", *cols, F.col("r._corrupt_record").alias("_corrupt_record"))
-    return out.withColumn("_bad", F.col("_corrupt_record").isNotNull() | _bad_ts())
+    out = parsed.select("_source", "_unreadable", *cols, F.col("r._corrupt_record").alias("_corrupt_record"))
+    return out.withColumn("_bad", F.col("_unreadable") | F.col("_corrupt_record").isNotNull() | _bad_ts())
 

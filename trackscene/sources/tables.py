@@ -24,19 +24,13 @@ def load(df: DataFrame, path: str, mode: str = "append", partition_by: list[str]
     partition overwrite by e.g. ``api_id``), so a rerun of one scene replaces it."""
     if mode not in ("append", "replace"):
         raise ValueError("mode must be 'append' or 'replace'")
-    spark = df.sparkSession
     w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     if mode == "append":
         w.mode("append").parquet(path)
         return
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if partition_by else "static")
-    try:
-        w.mode("overwrite").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    w.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static").parquet(path)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:

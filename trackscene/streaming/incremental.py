@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, pin_utc
+from ..session import pin_utc
 from ..sources.positions import COPY_CSV_OPTIONS, _finish, raw_schema
 
 
@@ -35,20 +36,28 @@ def ingest_new_positions(spark: SparkSession, source_dir: str, table_path: str,
     parquet table at ``table_path``; returns the number of micro-batches run.
 
     The checkpoint lives under the session's ``spark.checkpoint.dir`` unless one
-    is given, so it is on shared storage on a cluster."""
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"ingest-{name}")
+    is given, so it is on shared storage on a cluster; without either it fails."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not (checkpoint or shared):
+        raise ValueError("pass a checkpoint folder or set spark.checkpoint.dir: the list of processed files must outlive the session")
+    ckpt = checkpoint or os.path.join(shared, f"ingest-{name}")
+    batches = 0
     stream = position_stream(spark, source_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        nonlocal batches
         fresh = batch.withColumn("_epoch", F.lit(epoch_id).cast("bigint"))
         try:
-            done = spark.read.parquet(table_path).select("_source").distinct()
+            done = spark.read.parquet(table_path).select("_source")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # any other failure must not look like a first run
+                raise
+        else:
             fresh = fresh.join(done, "_source", "left_anti")  # a replayed epoch adds nothing twice
-        except Exception:  # noqa: BLE001 - first run: no table yet
-            pass
         fresh.write.mode("append").parquet(table_path)
+        batches += 1
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    return batches
