@@ -44,7 +44,7 @@ def test_furniture_goes():
 @pytest.mark.parametrize("page, want", [
     (None, ""), ("", ""), ("plain text", "plain text"), ("<p>a<p>b", "a\n\nb"), ("<article><p>open", "open"), ("a < b &amp c &#233;", "a < b & c é"),
     ("<script>never closed <p>x</p>", ""), ("<body><div>one</div>two<div>three</div></body>", "one\n\ntwo\n\nthree"),
-    ("<!-- <p>no</p> --><p>yes</p>", "yes"), ("<p hidden>no</p><p>yes", "yes"), ("<P CLASS=x>Up</P>", "Up"), ("<main><p>in</main><p>out", "in"),
+    ("<!-- <p>no</p> --><p>yes</p>", "yes"), ("<p hidden=''>no</p><p>yes", "yes"), ("<p hidden>no</p><p>yes", "yes"), ("<P CLASS=x>Up</P>", "Up"), ("<main><p>in</main><p>out", "in"),
     ("<textarea>no</textarea>yes", "yes"), ("<div " + "a" * 1000, "<div " + "a" * 1000), ("<i>" * 3000 + "deep", "deep")])
 def test_pieces_of_html(page, want):
     assert html.main_text(page or "") == want
@@ -97,7 +97,7 @@ def test_audit_finds_what_differs(spark):
         by_file.setdefault(r[0], []).append(r)
     for rs in by_file.values():  # records lie one after another
         assert [r[1] for r in rs] == list(range(len(rs))) and all(x[2] + x[3] == y[2] for x, y in zip(rs, rs[1:]))
-    wrong = {(f, k) for f, rs in by_file.items() for k in (0, 17, len(rs) - 1)}
+    wrong = {(f, k) for f, rs in by_file.items() for k in (0, len(rs) // 2, len(rs) - 1)}
     schema = a.schema
     b = spark.createDataFrame([(f, s, o, n, bytes([x[0] ^ 255]) + bytes(x[1:]) if (f, s) in wrong else x) for f, s, o, n, x in rows], schema)
     got = warc.audit(a, b).collect()

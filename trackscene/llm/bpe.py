@@ -19,7 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import column, pack
 from .pretoken import WordIds, texts_in_pieces
 
 #: The rank of a pair that no merge joins.
@@ -124,38 +127,37 @@ def encode(docs: DataFrame, ranks: str, text: str = "text", ids: str = "ids") ->
     rows keep their other columns (one named ``ids`` is replaced), repeated
     rows stay, and an empty table gives no rows.
     """
-    from pyspark.sql import types as T
-    names = [c for c in docs.columns if c != ids]
-    d = docs.select(*names)
-    schema = T.StructType([*d.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    p = pack(docs, text=column(text).cast("string"))
+    schema = T.StructType([p.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = MergeModel.load(ranks).words
         for batch in batches:
-            col = batch.column(batch.schema.get_field_index(text))
-            for a, b, joined, sizes in texts_in_pieces(col):
+            for a, b, joined, sizes in texts_in_pieces(batch.column(1)):
                 flat, off = words.ids(joined, sizes)
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(batch.slice(a, b - a).columns), lists], names=[*names, ids])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["row", "ids"])
+
+    return _beside(docs, p.mapInArrow(run, schema), ids, "ids")
+
 
-    return d.mapInArrow(run, schema)
+def _beside(docs: DataFrame, packed: DataFrame, name: str, made: str) -> DataFrame:
+    """The rows of ``docs`` with the column made beside them, under ``name``."""
+    return packed.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != name], F.col(made).alias(name))
 
 
 def decode(docs: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with ``out`` binary: the bytes of the ids. Null or empty lists give no bytes; unknown ids fail."""
-    from pyspark.sql import types as T
-    names = [c for c in docs.columns if c != out]
-    d = docs.select(*names)
-    schema = T.StructType([*d.schema.fields, T.StructField(out, T.BinaryType(), False)])
+    p = pack(docs, ids=column(ids))
+    schema = T.StructType([p.schema["row"], T.StructField("out", T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = MergeModel.load(ranks)
         for batch in batches:
-            col = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            got = [model.decode(np.array(x or [], np.int64))[0].tobytes() for x in col]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary())], names=[*names, out])
+            got = [model.decode(np.array(x or [], np.int64))[0].tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["row", "out"])
 
-    return d.mapInArrow(run, schema)
+    return _beside(docs, p.mapInArrow(run, schema), out, "out")
 
 
 def digests(docs: DataFrame, ranks: str, text: str = "text", with_ids: bool = False) -> DataFrame:

@@ -104,15 +104,25 @@ def _powers(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
-def span_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of a sequence of 64-bit codes, equal for equal spans wherever they lie.
+class Spans:
+    """64-bit hashes of spans of a sequence of 64-bit codes, equal for equal spans wherever they lie.
 
     A polynomial over prefix sums; the odd base has an inverse modulo 2**64, which moves each span to position 0.
     """
-    sums = np.zeros(len(codes) + 1, U64)
-    np.cumsum(codes * _powers("up", len(codes)), out=sums[1:])
-    h = (sums[end] - sums[start]) * _powers("down", len(codes) + 1)[start]
-    return mix64(h ^ ((end - start).astype(U64) * U64(0xA24BAED4963EE407)))
+
+    def __init__(self, codes: np.ndarray):
+        self.sums = np.zeros(len(codes) + 1, U64)
+        np.cumsum(codes * _powers("up", len(codes)), out=self.sums[1:])
+        self.down = _powers("down", len(codes) + 1)
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the spans [start, end)."""
+        h = (self.sums[end] - self.sums[start]) * self.down[start]
+        return mix64(h ^ ((end - start).astype(U64) * U64(0xA24BAED4963EE407)))
+
+
+def span_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return Spans(codes).hash(start, end)
 
 
 _IS_WS = np.zeros(256, bool)

@@ -39,8 +39,9 @@ FURNITURE = frozenset(
 READERS = frozenset(["comment", "comments", "respond", "disqus"])
 MAIN = ("article", "main")
 
-_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S)
 _ATTR = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"']+)""")
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s/]|$)""", re.I)
 _WS = re.compile(r"[\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
 
@@ -86,7 +87,7 @@ def parse(page: str) -> Node:
         names = {k.lower(): _html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(m[3])} if m[3] else {}
         words = set(re.findall(r"[a-z0-9]+", " ".join(names.get(k, "") for k in ("class", "id", "role")).lower()))
         inside = any(x.tag in MAIN for x in stack)
-        gone = tag in NO_TEXT or tag == "header" and not inside or "hidden" in names
+        gone = tag in NO_TEXT or tag == "header" and not inside or "hidden" in names or _HIDDEN.search(m[3]) is not None
         if tag not in ("html", "body", *MAIN):
             gone = gone or bool(words & FURNITURE)
         elif tag in MAIN:
