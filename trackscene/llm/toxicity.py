@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, U64, mix64, pack, pieces, span_hashes, stash, utf8
+from .common import BYTE_CODE, U64, Spans, column, pack, pieces, stash, utf8
 
 #: The bound of the fit: at most so many examples of each label, and so many terms.
 EXAMPLES, TERMS = 4000, 4096
 #: Least chi-square of a term, and least number of examples that have it.
-CHI_SQUARE, LEAST_DF = 30.0, 4
+CHI_SQUARE, LEAST_DF = 20.0, 3
 NEIGHBOURS, BLOCK, PRIOR_WEIGHT, THRESHOLD = 15, 128, 0.5, 0.7
+#: Blocks that every text looks at first.
+FIRST_BLOCKS = 4
 BEGINNINGS = (4, 5, 6)
 PIECE_BYTES = 1 << 19
 
@@ -35,6 +37,7 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
+_CODES = BYTE_CODE[_FOLD]
 
 
 def terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,12 +50,12 @@ def terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     s, e = np.flatnonzero(left), np.flatnonzero(right) + 1
     if not len(s):
         return np.zeros(0, U64), np.zeros(0, np.int64)
-    codes = BYTE_CODE[_FOLD[data]]
-    row = np.searchsorted(off, s, "right") - 1
-    got, rows = [span_hashes(codes, s, e)], [row]
+    spans = Spans(_CODES[data])
+    row = np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(s, off)))
+    got, rows = [spans.hash(s, e)], [row]
     for n in BEGINNINGS:
         k = e - s > n
-        got.append(mix64(span_hashes(codes, s[k], s[k] + n) + U64(n)))
+        got.append(spans.hash(s[k], s[k] + n) + U64(n))
         rows.append(row[k])
     return np.concatenate(got), np.concatenate(rows)
 
@@ -84,31 +87,41 @@ class Model:
     label: np.ndarray      # of the examples, in the order of the index
     weight: np.ndarray     # of an example's vote: how many labelled rows it stands for
     doc_id: np.ndarray     # evidence
-    start: np.ndarray      # postings of term j: start[j]..start[j + 1]
+    start: np.ndarray      # postings of term j in block b: start[j * blocks + b] up to the next
     example: np.ndarray
     value: np.ndarray
     block_max: np.ndarray  # (terms, blocks)
     prior: float           # rate of label 1 among examples without terms
 
+    def cosines(self, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(example, cosine) of the examples in some blocks that share a term with the vector."""
+        list_of = (at[:, None] * self.block_max.shape[1] + blocks).ravel()
+        begin = self.start[list_of]
+        size = self.start[list_of + 1] - begin
+        run = np.cumsum(size)
+        take = np.repeat(begin - run + size, size) + np.arange(run[-1])
+        total = np.bincount(self.example[take], self.value[take] * np.repeat(np.repeat(w, len(blocks)), size), minlength=1)
+        hit = np.flatnonzero(total)
+        return hit, np.round(total[hit], 9)
+
     def neighbours(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """(example, cosine) of the k nearest examples of a unit vector; ties by the order of the index."""
+        """(example, cosine) of the k nearest examples of a unit vector; ties by the order of the index.
+
+        The blocks of the highest bounds give a k-th cosine to beat; of the others
+        only those whose bound reaches it are looked at.
+        """
         bound = w @ self.block_max[at]
         order = np.argsort(-bound, kind="stable")
-        best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        lists = [(self.example[a:b], self.value[a:b]) for a, b in zip(self.start[at], self.start[at + 1])]
-        for block in order:
-            if bound[block] <= 0 or len(best_s) >= k and bound[block] < best_s[k - 1] - 1e-9:
-                break
-            lo = block * BLOCK
-            score = np.zeros(BLOCK)
-            for (e, v), x in zip(lists, w):
-                i, j = np.searchsorted(e, (lo, lo + BLOCK))
-                score[e[i:j] - lo] += x * v[i:j]
-            hit = np.flatnonzero(score > 0)
-            best_e, best_s = np.concatenate([best_e, hit + lo]), np.concatenate([best_s, np.round(score[hit], 9)])
-            top = np.lexsort((best_e, -best_s))[:k]
-            best_e, best_s = best_e[top], best_s[top]
-        return best_e, best_s
+        order = order[bound[order] > 0]
+        e, s = self.cosines(at, w, order[:FIRST_BLOCKS]) if len(order) else (np.zeros(0, np.int64), np.zeros(0))
+        rest = order[FIRST_BLOCKS:]
+        if len(s) >= k:
+            rest = rest[bound[rest] >= np.partition(s, -k)[-k] - 1e-8]
+        if len(rest):
+            e2, s2 = self.cosines(at, w, rest)
+            e, s = np.concatenate([e, e2]), np.concatenate([s, s2])
+        top = np.lexsort((e, -s))[:k]
+        return e[top], s[top]
 
     def score(self, at: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """(score, neighbours, cosines) of a text with ``n`` of the terms ``at``."""
@@ -220,11 +233,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_terms
     w = w / np.sqrt(np.bincount(ex, weights=w * w, minlength=max(1, len(rows))))[ex] if len(term) else w
     o = np.lexsort((ex, term))
     term, ex, w = term[o], ex[o], w[o]
-    block_max = np.zeros((len(known), -(-len(rows) // BLOCK)))
+    blocks = max(1, -(-len(rows) // BLOCK))
+    block_max = np.zeros((len(known), blocks))
     np.maximum.at(block_max, (term, ex // BLOCK), w)
     label = np.array([r["label"] for r in rows], np.float64)
     return Model(known, idf, label, np.array([per[r["label"]] for r in rows]), np.array([r["doc_id"] for r in rows], np.int64),
-                 np.searchsorted(term, np.arange(len(known) + 1)), ex, w, block_max, float(prior))
+                 np.searchsorted(term * blocks + ex // BLOCK, np.arange(len(known) * blocks + 1)), ex, w, block_max, float(prior))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", evidence: bool = True) -> DataFrame:
@@ -234,38 +248,45 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: bool = Tr
     Equal texts score alike, an empty table gives no rows, and columns with
     these two names are replaced.
     """
-    from pyspark.sql import types as T
     names = [c for c in docs.columns if c not in ("score", "evidence")]
-    d = docs.select(*names)
+    s = _scored(pack(docs, text=column(text).cast("string")), model, evidence)
+    return s.select(*[F.col("row").getField(c).alias(c) for c in names], "score", *(["evidence"] if evidence else []))
+
+
+def _scored(d: DataFrame, model: Model, evidence: bool) -> DataFrame:
+    """(row, score, evidence) of packed rows (row, text)."""
+    from pyspark.sql import types as T
     of = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("label", T.IntegerType())])
     extra = [T.StructField("score", T.DoubleType()), *([T.StructField("evidence", T.ArrayType(of))] if evidence else [])]
     shared = d.sparkSession.sparkContext.broadcast(model)
-    k = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, none = shared.value, np.zeros(0, np.int64)
         find = Lookup(m.known)
         for batch in batches:
-            for a, b, t, row in _rows_of_terms(batch, k):
+            for a, b, t, row in _rows_of_terms(batch, 1):
                 r, at, n = find(t, row)
-                out, why = np.full(b - a, m.prior), [[] for _ in range(b - a)]
-                first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else []
-                for x, y in zip(first, np.append(first, len(r))[1:] if len(r) else []):
-                    out[r[x]], e, s = m.score(at[x:y], n[x:y])
-                    if evidence:
-                        why[r[x]] = [{"doc_id": int(m.doc_id[i]), "similarity": float(j), "label": int(m.label[i])} for i, j in zip(e, s)]
-                cols = [*batch.slice(a, b - a).columns, pa.array(out, pa.float64())]
+                out, why = np.full(b - a, m.prior), [(none, np.zeros(0))] * (b - a)
+                first = np.flatnonzero(np.diff(r, prepend=-1))
+                for x, y in zip(first.tolist(), np.append(first, len(r))[1:].tolist()):
+                    out[r[x]], *why[r[x]] = m.score(at[x:y], n[x:y])
+                cols = [batch.column(0).slice(a, b - a), pa.array(out, pa.float64())]
                 if evidence:
-                    cols.append(pa.array(why, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))))
-                yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in extra)])
+                    e, s = (np.concatenate([v[i] for v in why]) for i in (0, 1))
+                    e = e.astype(np.int64)
+                    cut = np.cumsum([0, *(len(v[0]) for v in why)])
+                    rows = pa.StructArray.from_arrays([pa.array(m.doc_id[e]), pa.array(s), pa.array(m.label[e].astype(np.int32))],
+                                                      names=["doc_id", "similarity", "label"])
+                    cols.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), rows))
+                yield pa.RecordBatch.from_arrays(cols, names=["row", *(f.name for f in extra)])
 
-    return d.mapInArrow(run, T.StructType([*d.schema.fields, *extra]))
+    return d.mapInArrow(run, T.StructType([d.schema["row"], *extra]))
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose score reaches ``threshold``; the model is fitted on ``docs`` themselves."""
     model = fit(docs, labels)
-    return score(pack(docs, text=F.col("text").cast("string")), model, evidence=False).where(F.col("score") < threshold).select("row.*")
+    return _scored(pack(docs, text=F.col("text").cast("string")), model, False).where(F.col("score") < threshold).select("row.*")
 
 
 def query(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
