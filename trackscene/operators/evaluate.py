@@ -62,10 +62,12 @@ def per_class(cm: DataFrame) -> DataFrame:
     """F12 per class (and fold): tp, support, predicted, precision, recall, f1
     with 0 on zero division."""
     by = ["fold"] if "fold" in cm.columns else []
-    sup = cm.groupBy(*by, F.col("y_true").alias("cls")).agg(F.sum("n").alias("support"))
-    prd = cm.groupBy(*by, F.col("y_pred").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = cm.where(F.col("y_true") == F.col("y_pred")).select(*by, F.col("y_true").alias("cls"), F.col("n").alias("tp"))
-    j = tp.join(sup, by + ["cls"]).join(prd, by + ["cls"])
+    # a cell of the matrix counts for its true class and for its predicted one: one aggregation, no join
+    zero, n = F.lit(0).cast("bigint"), F.col("n").cast("bigint")
+    both = F.array(F.struct(F.col("y_true").alias("cls"), F.when(F.col("y_true") == F.col("y_pred"), n).otherwise(zero).alias("tp"),
+                            n.alias("support"), zero.alias("predicted")),
+                   F.struct(F.col("y_pred").alias("cls"), zero.alias("tp"), zero.alias("support"), n.alias("predicted")))
+    j = cm.select(*by, F.inline(both)).groupBy(*by, "cls").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted").cast("double")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
     j = j.withColumn("precision", p).withColumn("recall", r)
@@ -101,13 +103,13 @@ def classification_report(pred: DataFrame, class_names: Sequence[str]) -> DataFr
     names = F.element_at(F.array(*[F.lit(c) for c in class_names]), (F.col("cls") + 1).cast("int"))
     rows = pc.select(names.alias("label"), "precision", "recall", "f1", F.col("support").cast("bigint").alias("support"))
     sm = summary_metrics(pc)
-    macro = sm.select(F.lit("macro avg").alias("label"), F.col("macro_precision").alias("precision"),
-                      F.col("macro_recall").alias("recall"), F.col("macro_f1").alias("f1"), "support")
-    weighted = sm.select(F.lit("weighted avg").alias("label"), F.col("weighted_precision").alias("precision"),
-                         F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"), "support")
-    acc = sm.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                    F.lit(None).cast("double").alias("recall"), F.col("acc").alias("f1"), "support")
-    return rows.unionByName(macro).unionByName(weighted).unionByName(acc)
+    none = F.lit(None).cast("double")
+    lines = [("macro avg", F.col("macro_precision"), F.col("macro_recall"), F.col("macro_f1")),
+             ("weighted avg", F.col("weighted_precision"), F.col("weighted_recall"), F.col("weighted_f1")),
+             ("accuracy", none, none, F.col("acc"))]
+    totals = sm.select(F.inline(F.array(*[F.struct(F.lit(name).alias("label"), p.alias("precision"), r.alias("recall"), f.alias("f1"), "support")
+                                          for name, p, r, f in lines])))
+    return rows.unionByName(totals)
 
 
 def topk_by_fold(pred: DataFrame, k: int = 2) -> DataFrame:
