@@ -124,3 +124,21 @@ def apply_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
 def query(docs: DataFrame) -> DataFrame:
     d = apply_rules(docs.select("doc_id", "text"))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+three AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM three) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+  len(list_filter(w, lambda x: regexp_matches(lower(x), '^(?:@STOPS@)(?:[.,!?;:]|$)'))) AS stops, len(regexp_extract_all(t, '\p{Lu}')) AS upper
+  FROM w LEFT JOIN covered ON covered.doc_id = w.doc_id),
+n AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars::DOUBLE / n_words BETWEEN 2.0 AND 20.0 AND n_symbols::DOUBLE / n_words <= 0.3 AND stops::DOUBLE / n_words >= 0.02
+  AND n_dup_lines::DOUBLE / len(lines) <= 0.5 AND upper::DOUBLE / word_chars <= 0.6 AS kept
+FROM n
+""".replace("@STOPS@", "|".join(sorted({w for ws in STOP_WORDS.values() for w in ws})))

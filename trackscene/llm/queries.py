@@ -35,7 +35,7 @@ _over("op2_substring_dedup", "documents", substring.query)
 _over("op3_exact_dedup", "documents", exact.query, exact.ORACLE)
 _over("op4_token_output", "documents", lambda d: tokenio.query(d, vocabulary(JSON_VOCABULARY)))
 _over("op6_byte_bpe", "documents", lambda d: bpe.query(d, vocabulary(RANK_VOCABULARY)))
-_over("op7_quality_rules", "documents", quality.query)
+_over("op7_quality_rules", "documents", quality.query, quality.ORACLE)
 _over("op10_ngram_jaccard", "documents", ngram.query, ngram.ORACLE)
 QUERIES["op5_toxicity"] = lambda spark, sf_dir: toxicity.query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 _over("op8_html_extraction", "pages", html.query)
