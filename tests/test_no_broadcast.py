@@ -5,6 +5,7 @@ stay identical to the oracle."""
 import pytest
 
 import __spark_entry__ as E
+from trackscene.plans import registry
 from trackscene.plans.check import compare, duck_con
 
 from .conftest import SF_SMALL
@@ -52,3 +53,13 @@ def test_salted_joins_equal_unsalted(no_broadcast):
     o1 = spatial.points_in_polygons(pts, w).select("id")
     o4 = spatial.points_in_polygons(pts, w, salt=4, id_col="id").select("id")
     assert o1.exceptAll(o4).count() == 0 and o4.exceptAll(o1).count() == 0 and o1.count() > 0
+
+
+registry.load_all()
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_no_join_without_an_equality(spark, name):
+    """No registered query plans a nested-loop or Cartesian join."""
+    plan = registry.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan

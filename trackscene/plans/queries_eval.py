@@ -242,18 +242,20 @@ def q_cloud_multiband(spark: SparkSession, d: str) -> DataFrame:
 CLASS_NAME_SQL = "['" + "', '".join(CLASS_NAMES) + "'][cls + 1]"
 
 
-def _report(spark: SparkSession, d: str) -> DataFrame:
+def _report(spark: SparkSession, d: str, read=None, **options) -> DataFrame:
+    """The cloud report over all listed images; ``read`` says which of them have pixels."""
     from ..operators import manifests as mf
     p = patches(spark, d)
     names = F.element_at(F.array(*[F.lit(c) for c in CLASS_NAMES]), (F.col("cls") + 1).cast("int"))
     merged_keys = p.select(F.concat(F.lit("images/"), names, F.lit("/"), F.col("vec_id").cast("string"),
-                                    F.lit(".tif")).alias("key"), "bands")
+                                    F.lit(".tif")).alias("key"), "bands", "vec_id")
     t = tci_patches(spark, d).where(F.col("vec_id") % 2 == 0)
     tci_keys = t.select(F.concat(F.lit("images/"), names, F.lit("/"), F.col("vec_id").cast("string"),
-                                 F.lit("_TCI.tif")).alias("key"), "bands")
+                                 F.lit("_TCI.tif")).alias("key"), "bands", "vec_id")
     listing = merged_keys.select("key").unionByName(tci_keys.select("key"))
     pairs = mf.pair_images(listing, "images/")
-    return qa.cloud_report(pairs, merged_keys, tci_keys, "images/", "cloudy_images/")
+    merged, tci = (x if read is None else x.where(read) for x in (merged_keys, tci_keys))
+    return qa.cloud_report(pairs, merged, tci, "images/", "cloudy_images/", **options)
 
 
 REPORT_SQL = f"""SELECT {CLASS_NAME_SQL} AS class,
@@ -285,6 +287,18 @@ def q_cloud_summary(spark: SparkSession, d: str) -> DataFrame:
     return qa.cloud_summary(_report(spark, d))
 
 
+#: Every fifth image was listed but could not be read.
+MISSING_SQL = """SELECT class, merged_key, tci_key, mode, CASE WHEN gone THEN 'null' ELSE cloud_ratio END AS cloud_ratio,
+  CASE WHEN gone THEN 'ERROR' WHEN action = 'KEEP' THEN 'KEEP' ELSE 'DELETE' END AS action,
+  CASE WHEN gone THEN '' ELSE dst_merged END AS dst_merged, CASE WHEN gone THEN '' ELSE dst_tci END AS dst_tci
+FROM (SELECT *, CAST(regexp_extract(merged_key, '/([0-9]+)[.]tif$', 1) AS BIGINT) % 5 = 0 AS gone FROM report) r"""
+
+
+@register("cloud_report_missing", with_views(MISSING_SQL, extra=REPORT_VIEWS))
+def q_cloud_report_missing(spark: SparkSession, d: str) -> DataFrame:
+    return _report(spark, d, read=F.col("vec_id") % 5 != 0, action="DELETE").drop("ratio_value")
+
+
 # ------------------------------------------------------------------ F10-F15
 CM_SQL = """SELECT t.range AS y_true, p.range AS y_pred, coalesce(c.n, 0) AS n
 FROM range(6) t CROSS JOIN range(6) p

@@ -137,6 +137,16 @@ def q_extract_patches(spark: SparkSession, d: str) -> DataFrame:
     return rs.extract_patches(windows(spark, d), tiles(spark, d), size=PATCH, tile=TILE, bands=BANDS)
 
 
+@register("extract_patches_float", with_views(
+    "SELECT id, api_id, [" + ", ".join(f"list_transform({_band_sql(BAND_NO[b])}, lambda v: v / 4e0)" for b in BANDS) + "] AS bands FROM win",
+    "predicted", "scenes", extra=RASTER_VIEWS))
+def q_extract_patches_float(spark: SparkSession, d: str) -> DataFrame:
+    """The same patches from tiles with fractional pixels."""
+    t = tiles(spark, d)
+    t = t.withColumn("pixels", F.transform("pixels", lambda v: v / F.lit(4.0)))
+    return rs.extract_patches(windows(spark, d), t, size=PATCH, tile=TILE, bands=BANDS)
+
+
 @register("patch_tags", with_views("""
 SELECT api_id, CAST(mmsi AS VARCHAR) AS mmsi, ship_type, lon, lat, id AS record_id,
        CAST(sensing_time AS VARCHAR) AS sensing_time, 'B02,B03,B04,B08' AS bands

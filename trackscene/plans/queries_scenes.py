@@ -102,6 +102,16 @@ def q_scene_index(spark: SparkSession, d: str) -> DataFrame:
     return j.select("product_id", "id", "file_name", "api_id", "cloud_cover", "xmin", "ymin", "xmax", "ymax")
 
 
+@register("scene_index_safe", with_views("""
+SELECT s.api_id AS product_id, i.id, s.api_id || (['.zip', '.SAFE.zip', '.SAFE', ''])[1 + i.id % 4] AS file_name, s.cloud_cover
+FROM idx i JOIN scenes s ON left(i.file_name, length(i.file_name) - 4) = s.api_id""", "scenes", extra={"idx": INDEX_SQL}))
+def q_scene_index_safe(spark: SparkSession, d: str) -> DataFrame:
+    """File names as archives, folders and bare products spell them."""
+    ends = F.element_at(F.array(*[F.lit(e) for e in (".zip", ".SAFE.zip", ".SAFE", "")]), (F.col("id") % 4 + 1).cast("int"))
+    idx = scene_index_df(spark, d).drop("sensing_time").withColumn("file_name", F.concat(F.regexp_replace("file_name", "[.]zip$", ""), ends))
+    return index_scenes(idx, fx.scenes(spark, d)).select("product_id", "id", "file_name", "cloud_cover")
+
+
 @register("utc_sensing_time", with_views("""
 SELECT id, utc AS sensing_time_without_tz, CAST(utc AS DATE) AS date, CAST(year(utc) AS BIGINT) AS year,
        CAST(month(utc) AS BIGINT) AS month, CAST(day(utc) AS BIGINT) AS day
