@@ -17,19 +17,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, U64, Spans, column, pack, pieces, stash, utf8
+from .common import BYTE_CODE, U64, Spans, column, mix64, pack, pieces, stash, utf8
+from .ngram import shingle_sets
 
 #: The bound of the fit: at most so many examples of each label, and so many terms.
-EXAMPLES, TERMS = 4000, 4096
+EXAMPLES, TERMS = 1000, 1024
 #: Least chi-square of a term, and least number of examples that have it.
 CHI_SQUARE, LEAST_DF = 20.0, 3
 NEIGHBOURS, BLOCK, PRIOR_WEIGHT, THRESHOLD = 15, 128, 0.5, 0.7
 #: Blocks that every text looks at first.
 FIRST_BLOCKS = 4
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Numbers of occurrences that are terms of their own: a word that is common by chance tells little until it comes again.
+LEVELS = np.array([1, 2, 3, 5])
+KNOWN = np.dtype([("t", "<u8"), ("level", "<i8")])
 PIECE_BYTES = 1 << 19
 
 #: Bytes of words: ASCII letters (folded) and digits, and all of other characters.
@@ -61,28 +65,40 @@ def terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Lookup:
-    """Positions of known terms; a small bitmap turns most others away."""
+    """Which of the known (term, level) pairs a text has: the term at least ``level`` times. A bitmap turns most terms away."""
 
     def __init__(self, known: np.ndarray):
-        self.known = np.sort(known)
+        self.bases, base = np.unique(known["t"], return_inverse=True)
+        self.at = np.full((len(self.bases), len(LEVELS)), -1)
+        self.at[base, np.searchsorted(LEVELS, known["level"])] = np.arange(len(known))
         self.maybe = np.zeros(1 << 18, bool)
-        self.maybe[(self.known >> U64(46)).astype(np.int64)] = True
+        self.maybe[(self.bases >> U64(46)).astype(np.int64)] = True
 
-    def __call__(self, t: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, position, count) of the known terms, by row and position."""
+    def __call__(self, t: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, position among the known pairs), by row and position."""
+        if not len(self.bases):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         k = self.maybe[(t >> U64(46)).astype(np.int64)]
         t, row = t[k], row[k]
-        at = np.searchsorted(self.known, t)
-        at[at == len(self.known)] = 0
-        k = self.known[at] == t if len(self.known) else np.zeros(len(t), bool)
-        key, n = np.unique(row[k] * len(self.known) + at[k] if len(self.known) else row[k], return_counts=True)
-        return (*np.divmod(key, max(1, len(self.known))), n)
+        base = np.searchsorted(self.bases, t)
+        base[base == len(self.bases)] = 0
+        k = self.bases[base] == t
+        key, n = np.unique(row[k] * len(self.bases) + base[k], return_counts=True)
+        row, base = np.divmod(key, len(self.bases))
+        rows, ats = [], []
+        for i, level in enumerate(LEVELS):
+            hit = (n >= level) & (self.at[base, i] >= 0)
+            rows.append(row[hit])
+            ats.append(self.at[base[hit], i])
+        row, at = np.concatenate(rows), np.concatenate(ats)
+        o = np.lexsort((at, row))
+        return row[o], at[o]
 
 
 @dataclass
 class Model:
     """What scoring needs; its size is bounded by EXAMPLES and TERMS."""
-    known: np.ndarray      # terms, sorted
+    known: np.ndarray      # (term, level) pairs, sorted
     idf: np.ndarray
     label: np.ndarray      # of the examples, in the order of the index
     weight: np.ndarray     # of an example's vote: how many labelled rows it stands for
@@ -123,11 +139,11 @@ class Model:
         top = np.lexsort((e, -s))[:k]
         return e[top], s[top]
 
-    def score(self, at: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """(score, neighbours, cosines) of a text with ``n`` of the terms ``at``."""
+    def score(self, at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """(score, neighbours, cosines) of a text with the terms ``at``."""
         if not len(at):
             return self.prior, at, np.zeros(0)
-        w = (1 + np.log(n)) * self.idf[at]
+        w = self.idf[at]
         e, s = self.neighbours(at, w / np.sqrt((w * w).sum()))
         v = s * s * self.weight[e]
         scale = PRIOR_WEIGHT * (self.weight[e].mean() if len(e) else 1.0)
@@ -153,6 +169,26 @@ def sample(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tupl
     return stash(d.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])), counts
 
 
+def without_copies(examples: DataFrame) -> DataFrame:
+    """One example of each group of copies: otherwise all words of a text that was copied often look as if they told the label.
+
+    Copies share the least hash of their three-word sequences under one of two orders.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = utf8(batch.column(1))
+            with np.errstate(over="ignore"):
+                sets = [s for a, b in pieces(off, PIECE_BYTES) for s in shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a], 3)]
+                least = [(int(s[0]), int(mix64(s).min())) if len(s) else (0, 0) for s in sets]
+            m1, m2 = (pa.array(np.array([m[k] for m in least], U64).view(np.int64)) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, m1, m2], names=["doc_id", "text", "label", "m1", "m2"])
+
+    e = examples.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, text string, label int, m1 long, m2 long")
+    for m in ("m1", "m2"):
+        e = e.withColumn("rank", F.row_number().over(Window.partitionBy(m).orderBy(F.xxhash64("text"), "doc_id"))).where("rank = 1")
+    return stash(e.select("doc_id", "text", "label"))
+
+
 def _rows_of_terms(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, off = utf8(batch.column(k))
     with np.errstate(over="ignore"):
@@ -166,22 +202,27 @@ def choose_terms(examples: DataFrame, n_pos: int, n_neg: int, most: int = TERMS)
         for batch in batches:
             y = np.array(batch.column(1).to_pylist(), np.int64)
             for a, b, t, row in _rows_of_terms(batch, 0):
-                o = np.lexsort((row, t))
-                t, row = t[o], row[o]
-                one = np.concatenate([[True], (t[1:] != t[:-1]) | (row[1:] != row[:-1])]) if len(t) else np.zeros(0, bool)
-                t, row = t[one], row[one]
-                u, i = np.unique(t, return_inverse=True)
-                pos = np.bincount(i, weights=y[a:b][row], minlength=len(u))
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(pos), pa.array(np.bincount(i, minlength=len(u)) - pos)],
-                                                 names=["t", "pos", "neg"])
-
-    t = examples.select("text", "label").mapInArrow(run, "t long, pos double, neg double")
-    t = t.groupBy("t").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") + F.col("neg") >= LEAST_DF)
+                key = np.lexsort((row, t))
+                t, row = t[key], row[key]
+                first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (row[1:] != row[:-1])])) if len(t) else np.zeros(0, np.int64)
+                n, t, row = np.diff(np.append(first, len(t))), t[first], row[first]
+                for level in LEVELS.tolist():
+                    k = n >= level
+                    u, i = np.unique(t[k], return_inverse=True)
+                    pos = np.bincount(i, weights=y[a:b][row[k]], minlength=len(u))
+                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.full(len(u), level)), pa.array(pos),
+                                                      pa.array(np.bincount(i, minlength=len(u)) - pos)], names=["t", "level", "pos", "neg"])
+
+    t = examples.select("text", "label").mapInArrow(run, "t long, level long, pos double, neg double")
+    t = t.groupBy("t", "level").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") + F.col("neg") >= LEAST_DF)
     p, q = F.col("pos"), F.col("neg")
     n = float(n_pos + n_neg)
-    chi = n * F.pow(p * (n_neg - q) - q * (n_pos - p), F.lit(2.0)) / ((p + q) * (n - p - q) * float(max(1, n_pos)) * float(max(1, n_neg)))
-    best = t.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "t").limit(most).select("t").collect()
-    return np.sort(np.array([r["t"] for r in best], np.int64).view(U64))
+    rest = F.greatest(n - p - q, F.lit(0.5))
+    chi = n * F.pow(p * (n_neg - q) - q * (n_pos - p), F.lit(2.0)) / ((p + q) * rest * float(max(1, n_pos)) * float(max(1, n_neg)))
+    best = t.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "t", "level").limit(most).select("t", "level").collect()
+    known = np.empty(len(best), KNOWN)
+    known["t"], known["level"] = np.array([x["t"] for x in best], np.int64).view(U64), [x["level"] for x in best]
+    return np.sort(known, order=["t", "level"])
 
 
 def document_frequencies(docs: DataFrame, known: np.ndarray) -> tuple[np.ndarray, int]:
@@ -202,7 +243,9 @@ def document_frequencies(docs: DataFrame, known: np.ndarray) -> tuple[np.ndarray
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_terms: int = TERMS) -> Model:
     """A model from the learnable labelled rows. Without any, every score is 0.5; with one label only, all votes are for it."""
     chosen, counts = sample(docs, labels, examples)
-    n_pos, n_neg = (min(examples, counts.get(y, 0)) for y in (1, 0))
+    chosen = without_copies(chosen)
+    left = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n_pos, n_neg = left.get(1, 0), left.get(0, 0)
     known = choose_terms(chosen, n_pos, n_neg, most_terms)
     df, n = document_frequencies(docs, known)
     idf = np.log((1 + n) / (1 + df)) + 1
@@ -211,15 +254,14 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_terms
         find = Lookup(known)
         for batch in batches:
             for a, b, t, row in _rows_of_terms(batch, 2):
-                r, at, c = find(t, row)
+                r, at = find(t, row)
                 cut = np.searchsorted(r, np.arange(b - a + 1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
-                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(at, pa.int64())),
-                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(c, pa.int64()))], names=["doc_id", "label", "at", "n"])
+                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(at, pa.int64()))], names=["doc_id", "label", "at"])
 
     rows = (chosen.withColumn("_h", F.xxhash64("text")).orderBy("_h", "doc_id").select("doc_id", "label", "text")
-            .mapInArrow(vectors, "doc_id long, label int, at array<long>, n array<long>").collect())
+            .mapInArrow(vectors, "doc_id long, label int, at array<long>").collect())
     per = {y: counts.get(y, 0) / max(1, sum(r["label"] == y for r in rows)) for y in (0, 1)}
     ones = sum(per[1] for r in rows if r["label"] == 1 and not r["at"])
     zeros = sum(per[0] for r in rows if r["label"] == 0 and not r["at"])
@@ -228,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_terms
     rows.sort(key=lambda r: (min(r["at"]), len(r["at"])))  # alike examples share blocks, which makes the bounds tight
     size = np.array([len(r["at"]) for r in rows], np.int64)
     term = np.array([j for r in rows for j in r["at"]], np.int64)
-    w = (1 + np.log(np.array([c for r in rows for c in r["n"]], np.float64))) * idf[term] if len(term) else np.zeros(0)
+    w = idf[term]
     ex = np.repeat(np.arange(len(rows)), size)
     w = w / np.sqrt(np.bincount(ex, weights=w * w, minlength=max(1, len(rows))))[ex] if len(term) else w
     o = np.lexsort((ex, term))
@@ -265,11 +307,11 @@ def _scored(d: DataFrame, model: Model, evidence: bool) -> DataFrame:
         find = Lookup(m.known)
         for batch in batches:
             for a, b, t, row in _rows_of_terms(batch, 1):
-                r, at, n = find(t, row)
+                r, at = find(t, row)
                 out, why = np.full(b - a, m.prior), [(none, np.zeros(0))] * (b - a)
                 first = np.flatnonzero(np.diff(r, prepend=-1))
                 for x, y in zip(first.tolist(), np.append(first, len(r))[1:].tolist()):
-                    out[r[x]], *why[r[x]] = m.score(at[x:y], n[x:y])
+                    out[r[x]], *why[r[x]] = m.score(at[x:y])
                 cols = [batch.column(0).slice(a, b - a), pa.array(out, pa.float64())]
                 if evidence:
                     e, s = (np.concatenate([v[i] for v in why]) for i in (0, 1))
