@@ -17,7 +17,7 @@ from .common import U64, mix64, span_hashes
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Most UTF-8 bytes of text worked on at once, and most distinct matches kept by a worker.
-PIECE_BYTES, KEEP_WORDS = 1 << 19, 400_000
+PIECE_BYTES, KEEP_WORDS = 1 << 20, 600_000
 
 _TABLES: dict[str, np.ndarray] = {}
 
@@ -79,7 +79,9 @@ class WordIds:
     """Ids of distinct matches by their hash, made by ``encode(list of str) -> list of uint32 bytes`` when first met."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], keep: int = KEEP_WORDS):
-        self.encode, self.keep, self.known = encode, keep, {}
+        self.encode, self.keep = encode, keep
+        self.known: dict[int, bytes] = {}  # met since the last change of generation
+        self.older: dict[int, bytes] = {}  # met in the generation before
 
     def ids(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets by text) of texts lying one after another in ``text``, ``sizes`` code points each."""
@@ -90,10 +92,15 @@ class WordIds:
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         end = np.append(at[1:], len(cp))
         h, where, word = np.unique(span_hashes(char_codes()[cp], at, end), return_index=True, return_inverse=True)
-        if len(self.known) > self.keep:
-            self.known = {}
-        known, keys = self.known, h.tolist()
-        new = [i for i, k in enumerate(keys) if k not in known]
+        if len(self.known) > self.keep // 2:  # words that keep coming back stay, the others go
+            self.known, self.older = {}, self.known
+        known, older, keys, new = self.known, self.older, h.tolist(), []
+        for i, k in enumerate(keys):
+            if k not in known:
+                if k in older:
+                    known[k] = older[k]
+                else:
+                    new.append(i)
         if new:
             a, b = at[where[new]].tolist(), end[where[new]].tolist()
             for i, x in zip(new, self.encode([text[s:e] for s, e in zip(a, b)])):
