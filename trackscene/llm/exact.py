@@ -51,7 +51,10 @@ def with_groups(docs: DataFrame, hash_of=content_hash) -> DataFrame:
     best = (base.join(F.broadcast(many) if few else many, "h", "left_semi").groupBy("h", "sha")
             .agg(F.max(F.struct("cp", F.bitwise_not("doc_id").alias("nid"))).alias("best")))
     g = same.join(best, ["h", "sha"]).select("h", "sha", "group_size", F.bitwise_not("best.nid").alias("keep_id"))
-    j = base.join(g, ["h", "sha"], "left")
+    # written first: few groups are sent to all executors, and beyond that the join deals both sides
+    # out itself, so that Spark can split a group of very many copies
+    g = stash(g)
+    j = base.join(F.broadcast(g) if few else g, ["h", "sha"], "left")
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
     return j.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
