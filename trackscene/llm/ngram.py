@@ -8,13 +8,15 @@
    prefixes are posted to buckets in packed arrays, and only n-grams posted more
    than once go on.  What the count table shows as very frequent goes on without
    being gathered, in pieces of bounded size.
-3. Links are looked for in rounds.  First each class meets the hub of its most
-   shared n-gram, then the hubs of all its n-grams: a pair for each posting at
-   most.  Pairs are dropped by length, position and if already in one component,
-   verified once, and components are joined.  The last round takes all pairs
-   that are still in different components, so no link between them is lost.
-   A hub is the member in which the n-gram comes earliest, that is which has the
-   fewest n-grams of its own, so a large group of near copies falls to its centre.
+3. Links are looked for in two rounds.  First each class meets the hubs of its
+   n-grams, a pair for each posting at most; a hub is the member in which the
+   n-gram comes earliest, that is which has the fewest n-grams of its own, so a
+   large group of near copies falls to its centre.  Linked classes are joined to
+   components.  The second round takes all pairs of an n-gram that are still in
+   different components, so no link between them is lost.
+4. A pair leaves the join only if length, position and the parity bitmaps of
+   the two sets allow the similarity (bits that differ stand for n-grams that
+   differ); what leaves is verified once on the sets, after the suffix filter.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ WORDS, LEAST = 5, (80, 100)
 PIECE_BYTES = 1 << 19
 #: Slots of the count table: 4 MB at any size of the corpus.
 SLOT_BITS, RANGE_BITS = 20, 16
+#: Longs of a class's parity bitmap.
+BITMAP = 8
+BITS = [f"b{i}" for i in range(BITMAP)]
 #: Postings gathered before they are dealt to buckets, and ids up to which a set of ids is sent to all executors.
 FLUSH, BROADCAST_IDS = 1 << 19, 200_000
 
@@ -73,13 +78,20 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int | None, np.nd
             yield from zip(ids[a:b], shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a], words))
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """A bitmap in which each member flips a bit: two sets differ in at least as many members as their bitmaps in bits."""
+    bits = np.bincount((mix64(s) >> U64(64 - 9)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _signed(x) -> np.ndarray:
     return np.array(x, U64).view(np.int64)
 
 
 def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """((doc_id, n, id): size and digest of each row's set; the count table of all shingles)."""
-    names = ["doc_id", "n", "id", "part", "slots"]
+    """((doc_id, n, id, bits): size, digest and bitmap of each row's set; the count table of all shingles)."""
+    names = ["doc_id", "n", "id", "part", "slots", *BITS]
+    kinds = "doc_id long, n long, id long, part int, slots binary, " + ", ".join(f"{b} long" for b in BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SLOT_BITS, np.int64)
@@ -90,11 +102,12 @@ def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                 slots[:] += np.bincount(at, minlength=len(slots))
 
         for batch in batches:
-            ids, n, d, seen, held = [], [], [], [], 0
+            ids, n, d, bits, seen, held = [], [], [], [], [], 0
             for doc, s in _sets(batch, words):
                 ids.append(doc)
                 n.append(len(s))
                 d.append(digest(s)[0])
+                bits.append(parity(s))
                 seen.append(s)
                 held += len(s)
                 if held > 1 << 20:
@@ -103,12 +116,13 @@ def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             count(seen)
             m = len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(_signed(d)),
-                                              pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+                                              pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()),
+                                              *map(pa.array, np.array(bits, np.int64).reshape(m, BITMAP).T.copy())], names=names)
         if slots.any():
             parts = slots.reshape(-1, 1 << RANGE_BITS)
             m = len(parts)
             yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64())] * 3 + [
-                pa.array(range(m), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=names)
+                pa.array(range(m), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), *[pa.nulls(m, pa.int64())] * BITMAP], names=names)
 
     def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -120,12 +134,17 @@ def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                                          names=["part", "slots"])
 
     ranges = 1 << (SLOT_BITS - RANGE_BITS)
-    got = stash(docs.mapInArrow(run, "doc_id long, n long, id long, part int, slots binary"))
+    got = stash(docs.mapInArrow(run, kinds))
     counts = got.where("part is not null").select("part", "slots").repartition(ranges, "part").mapInArrow(add, "part int, slots binary")
     table = np.zeros((ranges, 1 << RANGE_BITS), np.int64)
     for r in counts.collect():  # 16 rows whatever the corpus
         table[r["part"]] = np.frombuffer(bytes(r["slots"]), np.int64)
-    return got.where("part is null").select("doc_id", "n", "id"), table.ravel()
+    return got.where("part is null").drop("part", "slots"), table.ravel()
+
+
+def frequent_count(slots: np.ndarray) -> int:
+    """The count from which an n-gram's postings are not gathered by n-gram: far above what rare ones add up to in a slot."""
+    return max(1 << 14, int(4 * slots.mean()) + (1 << 12))
 
 
 POSTING = np.dtype([("g", "<u8"), ("id", "<i8"), ("n", "<u4"), ("pos", "<u4")])
@@ -135,7 +154,7 @@ def postings(docs: DataFrame, slots: np.ndarray, words: int, least: tuple[int, i
     """(g, id, n, pos): prefix n-grams that more than one class has, with their place in the class's order."""
     spark = docs.sparkSession
     buckets = 4 * shuffle_partitions(spark)
-    frequent = max(1 << 14, int(4 * slots.mean()) + (1 << 12))
+    frequent = frequent_count(slots)
     table = spark.sparkContext.broadcast(np.minimum(slots, (1 << 31) - 1).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,14 +207,19 @@ def postings(docs: DataFrame, slots: np.ndarray, words: int, least: tuple[int, i
     return stash(got)
 
 
-def _enough(nx: Column, ny: Column, overlap: Column, least: tuple[int, int]) -> Column:
-    """Whether ``overlap`` common n-grams would do for sets of these sizes."""
+def _possible(x: str, y: str, least: tuple[int, int]) -> Column:
+    """Whether the sets of two postings (prefixes of their columns) may be similar enough, by length and position."""
     a, b = least
-    return (a + b) * overlap >= a * (nx + ny)
+    nx, ny, px, py = (F.col(f"{t}.{k}") for k in ("n", "pos") for t in (x, y))
+    overlap = F.least(px, py) + 1 + F.least(nx - 1 - px, ny - 1 - py)
+    return (b * F.least(nx, ny) >= a * F.greatest(nx, ny)) & ((a + b) * overlap >= a * (nx + ny))
 
 
-def _long_enough(nx: Column, ny: Column, least: tuple[int, int]) -> Column:
-    return least[1] * F.least(nx, ny) >= least[0] * F.greatest(nx, ny)
+def _near_bits(x: str, y: str, least: tuple[int, int]) -> Column:
+    """Whether the bitmaps of two classes allow their sets to be similar enough."""
+    a, b = least
+    differ = sum((F.bit_count(F.col(f"{x}.{k}").bitwiseXOR(F.col(f"{y}.{k}"))) for k in BITS), F.lit(0))
+    return (a + b) * differ <= (b - a) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
 def jaccard_links(x: np.ndarray, y: np.ndarray, least: tuple[int, int]) -> bool:
@@ -236,13 +260,24 @@ def set_table(docs: DataFrame, rows: DataFrame, ids: DataFrame, words: int) -> D
         return pa.RecordBatch.from_arrays([pa.array(_signed([digest(s)[0] for s in got])), pa.array([s.tobytes() for s in got], pa.binary())],
                                           names=["id", "s"])
 
-    return stash(d.mapInArrow(run, "id long, s binary").dropDuplicates(["id"]))
-
-
-def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """(a, b, linked) of each pair (a, b)."""
-    j = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-    j = j.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
+    sets = d.mapInArrow(run, "id long, s binary")
+    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    return stash(sets.dropDuplicates(["id"]) if repeated else sets)  # without repeated ids each class was picked once
+
+
+def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame, rows: DataFrame, words: int, least: tuple[int, int],
+             seen: DataFrame | None = None) -> DataFrame:
+    """(a, b, linked) of each pair of classes (a, b) that the bitmaps allow, once, less those in ``seen``."""
+    p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    p = p if seen is None else p.join(seen, ["a", "b"], "left_anti")
+    x, y = bits.alias("x"), bits.alias("y")
+    p = stash(p.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(_near_bits("x", "y", least)).select("a", "b"))
+    if not p.limit(1).count():
+        return p.withColumn("linked", F.lit(False))
+    sets = set_table(docs, rows, p.select(F.col("a").alias("id")).union(p.select("b")).distinct(), words)
+    # merge joins at every size: sets are never broadcast, and a hub of many pairs is a skewed key that Spark splits
+    j = p.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
+    j = j.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,32 +303,22 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows, slots = profile(d, words)
     p = postings(d, slots, words, least)
-    by_gram = p.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("pos", "id", "n")).alias("hub"))
-    met = stash(p.join(by_gram, "g").where("id != hub.id").select("id", "m", "g", "n", "pos", "hub")
-                .where(_long_enough(F.col("n"), F.col("hub.n"), least))
-                .where(_enough(F.col("n"), F.col("hub.n"), F.least("pos", "hub.pos") + 1 + F.least(
-                    F.col("n") - 1 - F.col("pos"), F.col("hub.n") - 1 - F.col("hub.pos")), least))
-                .select("id", "m", "g", F.col("hub.id").alias("hub")))
-    sets = set_table(d, rows, p.select("id").distinct(), words)
-    first = met.groupBy("id").agg(F.max(F.struct("m", "g", "hub")).alias("x")).select(F.col("id").alias("a"), F.col("x.hub").alias("b"))
-    seen = verified(_pairs(first), sets, least)
+    bits = stash(rows.select("id", "n", *BITS).join(p.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
+    hubs = p.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("pos", "id", "n")).alias("hub"))
+    p = stash(p.join(hubs, "g").where("id != hub.id"))
+    met = p.alias("x").where(_possible("x", "x.hub", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+    seen = verified(met, bits, d, rows, words, least)
     comp = components(seen.where("linked"))
-    more = _pairs(_apart(met.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), comp)).join(seen, ["a", "b"], "left_anti")
-    seen = seen.union(verified(more, sets, least))
-    comp = components(seen.where("linked"))
-    # all pairs of an n-gram that are still apart, each at its first common n-gram
-    c = p.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # all pairs of an n-gram without its hub, which has met all others, that are still apart
+    c = p.where("m > 2").select("g", "id", "pos").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = c.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("g")
-    c = stash(c.join(open_, "g", "left_semi"))
-    y = c.select("g", *[F.col(k).alias(f"{k}_y") for k in ("id", "n", "pos", "component")])
-    left = (c.join(y, "g").where("id < id_y and component != component_y").where(_long_enough(F.col("n"), F.col("n_y"), least))
-            .groupBy(F.col("id").alias("a"), F.col("id_y").alias("b"))
-            .agg(F.min(F.struct("pos", "pos_y", "n", "n_y")).alias("x"))
-            .where(_enough(F.col("x.n"), F.col("x.n_y"), 1 + F.least(
-                F.col("x.n") - 1 - F.col("x.pos"), F.col("x.n_y") - 1 - F.col("x.pos_y")), least))
-            .select("a", "b").join(seen, ["a", "b"], "left_anti"))
-    seen = seen.union(verified(left, sets, least))
-    comp = components(seen.where("linked"))
+    c = stash(c.join(open_, "g", "left_semi").join(bits, "id"))
+    x, y = c.alias("x"), c.alias("y")
+    left = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+                  & _possible("x", "y", least) & _near_bits("x", "y", least)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    rest = verified(left, bits, d, rows, words, least, seen)
+    if rest.where("linked").limit(1).count():
+        comp = components(seen.union(rest).where("linked"))
     classes = (rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc")).join(comp, "id", "left")
                .withColumn("component", F.coalesce("component", "id")))
     named = classes.join(classes.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("id", "component", "component_id")
@@ -304,17 +329,6 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *more)
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    j = pairs.join(comp.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
-    j = j.join(comp.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-    return j.where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
-
-
 def keep_one(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
     """``docs`` with one row of each component, that of its smallest doc_id; rows without words all stay.
 
