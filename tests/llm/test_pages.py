@@ -79,6 +79,21 @@ def test_equal_pages_count_once_and_shuffled_hosts_agree(spark, monkeypatch):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_importance_judges_inside_articles(spark):
+    """Shared furniture in unnamed divs of an article goes by importance alone; its own blocks and sentences stay."""
+    r = random.Random(2)
+    words = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    own = {i: [words(5), words(20) + " see <b>here</b> " + words(3) + ".", words(12) + "."] for i in range(30)}
+    page = lambda t: (f"<html><body><main><article class='x'><h1>{t[0]}</h1><p>{t[1]}</p><div class='x7'>Read this too. Buy our book.</div>"
+                      f"<p>{t[2]}</p><div><p>All about us.</p></div></article></main></body></html>")
+    pages = spark.createDataFrame([(i, f"https://news.example/{i}", page(t)) for i, t in own.items()], PAGES)
+    low = {x for row in html.low_branches(pages).collect() for x in row["low"]}
+    assert ">html>body>main>article.x>div.x7" in low and not any(x.endswith(("article.x", "main", "body", "html")) for x in low)
+    for row in html.extract(pages).collect():
+        assert row["text"] == "\n\n".join(own[row["page_id"]]).replace("<b>", "").replace("</b>", "")
+    assert "Buy our book." in html.main_text(page(own[0]))
+
+
 def damaged_rows(records, change):
     out = []
     for r in records:

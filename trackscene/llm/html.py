@@ -5,7 +5,8 @@ For a path on m pages, the entropy of its presentations (sequences of child
 tags) and of its contents (sentences and link targets, base m) tells how much
 pages differ there; its composite importance adds what lies below, discounted
 by level.  Branches of low importance are the site's furniture and leave every
-page, as do branches whose tag, class or role names them so.  Only counts per
+page, inside articles too; only page, body, article and main elements
+themselves stay.  Branches whose tag, class or role names them so go as well.  Only counts per
 (host, path, feature) are shuffled, so a host with a third of all pages is
 many small keys; equal pages of a host count once.
 """
@@ -120,8 +121,12 @@ def text_blocks(node: Node, low: frozenset, within: tuple[str, ...] | None) -> l
     while work:  # (node, inside, next part), without recursion however deep a page nests
         x, inside, k = work.pop()
         if k == 0:
-            if x.gone or x.path in low:
+            if x.gone:
                 continue
+            sentence = any(isinstance(part, str) and not part.isspace() for part in x.parts)
+            for part in x.parts:  # an inline element beside text is part of a sentence, however often it recurs
+                if not isinstance(part, str):
+                    part.gone = part.gone or part.path in low and not (sentence and part.tag in INLINE)
             inside = inside or within is not None and x.tag in within
             if x.tag not in INLINE:
                 close()
@@ -232,9 +237,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 
 def low_branches(pages: DataFrame) -> DataFrame:
-    """(host, low): the paths to remove from the pages of a host, outside articles and never the page itself."""
+    """(host, low): the paths to remove from the pages of a host, never a page, body, article or main element itself."""
     t = style_tree(pages).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LOW))
-    t = t.where(~F.col("path").rlike(r">(article|main)(\.|>|$)") & ~F.col("path").rlike(r"^>html(>body[^>]*)?$"))
+    t = t.where(~F.col("path").rlike(r"^>html$|>(body|article|main)(\.[^>]*)?$"))
     return t.groupBy("host").agg(F.collect_set("path").alias("low"))
 
 
