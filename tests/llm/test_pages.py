@@ -94,6 +94,26 @@ def test_importance_judges_inside_articles(spark):
     assert "Buy our book." in html.main_text(page(own[0]))
 
 
+STORY = "<p>" + "A long story of many words goes on here. " * 12 + "</p>"
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div class='has-sidebar'>%s</div>", "<div class='with-sidebar'>%s<aside>n</aside></div>", "<div class='no-comments'>%s</div>",
+    "<div id='search-page'>%s</div>", "<div class='ad-free'>%s</div>", "<div class='search widget'>%s</div>", "<form action='x'><nav>n</nav>%s</form>",
+    "<object>%s</object>", "<dialog open>%s</dialog>", "<article><a href='x'>n</a></article><div>%s</div><article>n</article>",
+    "<main><article>n</article></main><div class='widget'>%s</div>", "<div title='a hidden gem' alt=\"is hidden\">%s</div>", "<div data-x=hidden>%s</div>",
+    "<form>%s<div id='comments'>" + "<p>nnn nnn</p>" * 200 + "</div></form>"])
+def test_loose_rules_leave_the_main_text(page):
+    blocks = html.main_text(page.replace("%s", STORY)).split("\n\n")
+    assert " ".join(STORY[3:-4].split()) in blocks and not any("nnn" in b for b in blocks)
+
+
+def test_rules_still_take_what_is_small():
+    assert html.main_text("<div class='entry-header'><h1>Title</h1></div>" + STORY).startswith("Title\n\n")
+    assert "no" not in html.main_text("<div class='site-header'>no</div><form>no</form><dialog>no</dialog><p Hidden>no</p><p title='x' hidden>no</p>" + STORY)
+    assert html.main_text("<div class='ad'>Much longer than the article.</div><article>One</article>") == "One"
+
+
 def damaged_rows(records, change):
     out = []
     for r in records:

@@ -6,7 +6,8 @@ tags) and of its contents (sentences and link targets, base m) tells how much
 pages differ there; its composite importance adds what lies below, discounted
 by level.  Branches of low importance are the site's furniture and leave every
 page, inside articles too; only page, body, article and main elements
-themselves stay.  Branches whose tag, class or role names them so go as well.  Only counts per
+themselves stay.  Branches whose tag, class or role names them furniture go as
+well, unless a form or name rule would take most of the page's text.  Only counts per
 (host, path, feature) are shuffled, so a host with a third of all pages is
 many small keys; equal pages of a host count once.
 """
@@ -39,20 +40,28 @@ FURNITURE = frozenset(
     "complementary contentinfo alert alertdialog menubar".split())
 READERS = frozenset(["comment", "comments", "respond", "disqus"])
 MAIN = ("article", "main")
+#: Elements of NO_TEXT that may as well hold a page, names beside which "header" means a text's own, and characters of text (about two
+#: sentences) from which text outside articles weighs against them.
+WRAPS = frozenset("form object dialog menu".split())
+OWN_HEADER = frozenset("entry post article story title".split())
+LEAST_TEXT = 160
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S)
-_ATTR = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"']+)""")
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s/]|$)""", re.I)
+_ATTR = re.compile(r""""[^"]*"|'[^']*'|([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
+#: Names that tell of the page and not of the element: has-sidebar, no-comments, ad-free, search-page.
+_STATE = re.compile(r"(?<!\S)(?:(?:has|with|without|no|not)[-_]\S+|\S+[-_](?:free|page))(?!\S)")
 _WS = re.compile(r"[\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
 
 
 class Node:
-    """An element of a page: its path of names, whether it is furniture by name, its children and texts in order."""
-    __slots__ = ("tag", "path", "gone", "parts", "links")
+    """An element of a page: its path of names, whether it goes, the rule that would take it if it is not most of the page, its children
+    and texts in order."""
+    __slots__ = ("tag", "path", "gone", "rule", "parts", "links", "mass", "plain", "mains")
 
-    def __init__(self, tag: str, path: str, gone: bool):
-        self.tag, self.path, self.gone = tag, path, gone
+    def __init__(self, tag: str, path: str, gone: bool, rule: str = ""):
+        self.tag, self.path, self.gone, self.rule = tag, path, gone, rule
+        self.mass = self.plain = self.mains = 0
         self.parts: list[Node | str] = []
         self.links: list[str] = []
 
@@ -85,16 +94,20 @@ def parse(page: str) -> Node:
                     break
                 if stack[i].tag not in INLINE:
                     break
-        names = {k.lower(): _html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(m[3])} if m[3] else {}
-        words = set(re.findall(r"[a-z0-9]+", " ".join(names.get(k, "") for k in ("class", "id", "role")).lower()))
+        names = {k.lower(): _html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(m[3]) if k} if m[3] else {}
+        said = " ".join(names.get(k, "") for k in ("class", "id", "role")).lower()
+        words = set(re.findall(r"[a-z0-9]+", _STATE.sub(" ", said)))
         inside = any(x.tag in MAIN for x in stack)
-        gone = tag in NO_TEXT or tag == "header" and not inside or "hidden" in names or _HIDDEN.search(m[3]) is not None
-        if tag not in ("html", "body", *MAIN):
-            gone = gone or bool(words & FURNITURE)
-        elif tag in MAIN:
-            gone = bool(words & READERS)
+        gone = tag in NO_TEXT and tag not in WRAPS or "hidden" in names
+        if "header" in words and (inside or words & OWN_HEADER):
+            words.discard("header")
+        rule = ""
+        if tag in MAIN or tag not in ("html", "body") and words & READERS:
+            rule = "readers" if words & READERS else ""
+        elif tag not in ("html", "body"):
+            rule = "furniture" if tag in WRAPS or tag == "header" and not inside or words & FURNITURE else ""
         kind = ".".join([tag, *names.get("class", "").lower().split()])
-        node = Node(tag, f"{stack[-1].path}>{kind}", gone)
+        node = Node(tag, f"{stack[-1].path}>{kind}", gone, rule)
         if "href" in names:
             node.links.append(names["href"])
         stack[-1].parts.append(node)
@@ -106,7 +119,55 @@ def parse(page: str) -> Node:
     return root
 
 
-def text_blocks(node: Node, low: frozenset, within: tuple[str, ...] | None) -> list[str]:
+def settle(root: Node, low: frozenset) -> dict[str, int]:
+    """Mark what goes from a page; the characters of text left outside links, in all ("") and inside each of MAIN.
+
+    A rule by form or name takes a branch unless that is most of the text of the
+    page, and either holds its articles or has LEAST_TEXT; readers' comments also
+    stay only if no other text does.  An inline element beside text is part of a
+    sentence, however often it recurs.
+    """
+    order, work = [], [(root, False)]
+    while work:
+        x, link = work.pop()
+        order.append(x)
+        link = link or x.tag == "a"
+        sentence = any(isinstance(part, str) and not part.isspace() for part in x.parts)
+        for part in x.parts:
+            if isinstance(part, str):
+                x.mass += 0 if link else len("".join(part.split()))
+            else:
+                part.gone = part.gone or part.path in low and not (sentence and part.tag in INLINE)
+                if not part.gone:
+                    work.append((part, link))
+        x.plain = x.mass
+    own = {id(x): x.mass for x in order}
+    for x in reversed(order):  # children come after what holds them
+        x.mains = (x.tag in MAIN and x.rule != "readers") + sum(p.mains for p in x.parts if not isinstance(p, str) and not p.gone)
+        x.mass += sum(p.mass for p in x.parts if not isinstance(p, str) and not p.gone)
+        x.plain += sum(p.plain for p in x.parts if not isinstance(p, str) and not p.gone and not p.rule)
+    plain, left = root.plain, dict.fromkeys(["", *MAIN], 0)
+    work = [(root, frozenset())]
+    while work:
+        x, inside = work.pop()
+        if x.rule:
+            most = 2 * x.mass > root.mass
+            if x.rule == "readers":
+                x.gone = not (most and (x.mains or not plain))
+            else:
+                x.gone = not (most and (x.mains == root.mains or x.mass >= LEAST_TEXT))
+            if x.gone:
+                continue
+            plain += x.plain
+        if x.tag in MAIN:
+            inside = inside | {x.tag}
+        for k in ("", *inside):
+            left[k] += own[id(x)]
+        work += [(p, inside) for p in x.parts if not isinstance(p, str) and not p.gone]
+    return left
+
+
+def text_blocks(node: Node, within: tuple[str, ...] | None) -> list[str]:
     """The blocks of the branches that stay, in page order; ``within``: only those inside elements of these tags."""
     blocks: list[str] = []
     now: list[str] = []
@@ -123,10 +184,6 @@ def text_blocks(node: Node, low: frozenset, within: tuple[str, ...] | None) -> l
         if k == 0:
             if x.gone:
                 continue
-            sentence = any(isinstance(part, str) and not part.isspace() for part in x.parts)
-            for part in x.parts:  # an inline element beside text is part of a sentence, however often it recurs
-                if not isinstance(part, str):
-                    part.gone = part.gone or part.path in low and not (sentence and part.tag in INLINE)
             inside = inside or within is not None and x.tag in within
             if x.tag not in INLINE:
                 close()
@@ -150,10 +207,17 @@ def text_blocks(node: Node, low: frozenset, within: tuple[str, ...] | None) -> l
 
 
 def main_text(page: str, low: frozenset = frozenset()) -> str:
-    """The text of a page: of its articles, else its main part, else its body, without the branches that go."""
+    """The text of a page without the branches that go: of its articles, else its main part, else its body.
+
+    Articles or main parts are passed over if more text, LEAST_TEXT at least, lies outside them.
+    """
     root = parse(page)
-    for within in (("article",), ("main",), None):
-        blocks = text_blocks(root, low, within)
+    left = settle(root, low)
+    for tag in (*MAIN, None):
+        outside = left[""] - left[tag] if tag else 0
+        if tag and outside > left[tag] and outside >= LEAST_TEXT:
+            continue
+        blocks = text_blocks(root, (tag,) if tag else None)
         if blocks:
             return "\n\n".join(blocks)
     return ""
