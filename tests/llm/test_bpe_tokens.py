@@ -129,6 +129,21 @@ def test_token_files(spark, make, clashing, odd_rows, scratch):
     assert ids[100 + 3 * 77] == one.tolist()
 
 
+def test_added_tokens_as_the_library_sees_them(spark, make, scratch):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(JSON)
+    texts = ["a <|endoftext|> b", "plain text", "<|endoftext|>", "x<|endoftext|><|endoftext|>y  <|endoftext|>\n", "cut <|endof", "text|> off", None,
+             "it's  <|endoftext|>  z", "<|endoftext|"]
+    want, start = [], 0
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    tokenio.write_tokens(make(list(enumerate(texts))), f"{scratch}/a", JSON, shards=2)
+    assert sorted(tuple(r) for r in tokenio.document_sums(spark, f"{scratch}/a").collect()) == want
+    assert tokenio.read_document(spark, f"{scratch}/a", 0).tolist() == [64, 220, 50256, 275, 2]
+
+
 def test_tokens_of_an_empty_table(spark, make, scratch):
     tokenio.write_tokens(make([]), f"{scratch}/e", JSON, shards=2)
     assert tokenio.document_sums(spark, f"{scratch}/e").count() == 0

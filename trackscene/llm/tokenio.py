@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ BLOCK_IDS = 1 << 16
 BLOCKS = ("shard int, block int, first long, n_ids long, width int, payload binary, "
           "doc_id array<long>, doc_at array<long>")
 
-_ENCODERS: dict[str, tuple[WordIds, int]] = {}
+_ENCODERS: dict[str, tuple[TextIds, int]] = {}
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
@@ -55,22 +55,45 @@ def unpack(payload: bytes, width: int, start: int, n: int) -> np.ndarray:
     return (bits.astype(np.uint64) << np.arange(width, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def encoder(path: str) -> tuple[WordIds, int]:
-    """(ids by match, bits of an id) of a byte-level BPE ``tokenizers`` file.
+class TextIds:
+    """Ids of whole texts as the library gives them: by match, and by the library itself where a text holds an added token."""
+
+    def __init__(self, words: WordIds, added: list[str], whole: Callable[[str], list[int]]):
+        self.words, self.added, self.whole = words, added, whole
+
+    def ids(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets by text) of texts lying one after another in ``text``, ``sizes`` code points each."""
+        flat, off = self.words.ids(text, sizes)
+        if not any(a in text for a in self.added):
+            return flat, off
+        at = np.cumsum([0, *sizes]).tolist()
+        parts = [flat[a:b] for a, b in zip(off[:-1], off[1:])]
+        for k, (a, b) in enumerate(zip(at[:-1], at[1:])):
+            one = text[a:b]
+            if any(x in one for x in self.added):
+                parts[k] = np.array(self.whole(one), np.uint32)
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+
+
+def encoder(path: str) -> tuple[TextIds, int]:
+    """(ids by text, bits of an id) of a byte-level BPE ``tokenizers`` file.
 
     The library encodes every distinct match of its own pre-tokeniser once per
-    worker; a text's ids are those of its matches one after another.
+    worker; a text's ids are those of its matches one after another.  Matches
+    cannot see the file's added tokens, so a text that holds one goes to the
+    library whole.
     """
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
 
         def encode(words: list[str]) -> list[bytes]:
             return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(words, add_special_tokens=False)]
 
-        _ENCODERS[path] = WordIds(encode), max(1, (t.get_vocab_size() - 1).bit_length())
+        added = [a.content for a in t.get_added_tokens_decoder().values()]
+        whole = TextIds(WordIds(encode), added, lambda text: t.encode(text, add_special_tokens=False).ids)
+        _ENCODERS[path] = whole, max(1, (t.get_vocab_size() - 1).bit_length())
     return _ENCODERS[path]
 
 
