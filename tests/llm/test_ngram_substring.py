@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from trackscene.llm import components, ngram, substring
 
+from ..conftest import SF_SMALL
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -194,6 +196,47 @@ def test_passages_of_fifty_words_are_found(make):
     assert substring.repeated_spans(make(clean)).count() == 0
 
 
+def plain_anchors(raw):
+    h = [int(substring.span_hashes(substring.BYTE_CODE[np.frombuffer(raw[i:i + substring.LEAST_RUN], np.uint8)], np.array([0]), np.array([substring.LEAST_RUN]))[0])
+         for i in range(len(raw) - substring.LEAST_RUN + 1)]
+    got = {0, len(h) - 1} if h else set()
+    for i in range(len(h) - substring.REACH + 1):
+        got |= {j for j in range(i, i + substring.REACH) if h[j] == min(h[i:i + substring.REACH])}
+    return sorted(got)
+
+
+def test_anchors_are_the_least_of_their_neighbours():
+    with np.errstate(over="ignore"):
+        raw = [(t or "").encode() for _, t in passages(9)[:20]] + [b"", b"y" * 111, b"z" * 112, b"ab" * 90, b"w" * 150, b"v" * 151, b"x"]
+        off = np.cumsum([0, *map(len, raw)])
+        s, e = substring.anchors(np.frombuffer(b"".join(raw), np.uint8), off)
+        assert s.tolist() == [o + i for x, o in zip(raw, off) for i in plain_anchors(x)] and (e - s == substring.LEAST_RUN).all()
+        assert not len(substring.anchors(np.zeros(0, np.uint8), np.array([0]))[0])
+
+
+def test_every_passage_of_the_documents_is_found(spark, make):
+    """Passages of 51 words of the given documents, each in two surroundings: all of LEAST_RUN + REACH - 1 bytes are reported."""
+    texts = [r["text"].split() for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("size(split(text, ' ')) > 200").orderBy("doc_id").collect()]
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("0123456789") for _ in range(r.randint(3, 8)))
+    rows, places = [], {}
+    for k in range(600):
+        w = r.choice(texts)
+        at = r.randrange(len(w) - 51)
+        p = f"<{k}> " + " ".join(w[at:at + 51])
+        a, b, c, d = (" ".join(word() for _ in range(20)) for _ in range(4))
+        rows += [(2 * k, f"{a} {p} {b}"), (2 * k + 1, f"{c} {p} {d}")]
+        places[2 * k + 1] = (len(c) + 1, len(c) + 1 + len(p.encode()))
+    got = {}
+    for x in substring.query(make(rows)).collect():
+        got.setdefault(x["doc_id"], []).append((x["start"], x["start"] + x["size"]))
+    least = substring.LEAST_RUN + substring.REACH - 1
+    wanted = {i: (a, b) for i, (a, b) in places.items() if b - a >= least}
+    assert len(wanted) > 590
+    for i, (a, b) in wanted.items():
+        assert sum(max(0, min(y, b) - max(x, a)) for x, y in got.get(i, [])) >= b - a - 2 * (substring.REACH - 1)
+
+
 def test_removed_text(make, clashing):
     rows = passages(2)
     docs = clashing(make(rows))

@@ -7,7 +7,8 @@ batch sends each digest once, with its first place there, so a passage that a
 third of all rows share costs one entry per batch.  The first place of a digest
 in (doc_id, position) order is its original; the rest repeat it.  Runs of
 repeated chunks long enough to be a passage are reported, shorter ones are
-chance.
+chance.  The query takes ``anchors`` for chunks: overlapping spans chosen among
+their neighbours, so that every passage of some length has one in common.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WINDOW = 16
 MEAN, MOST = 20, 64
 #: Least bytes of a run of repeated chunks: a passage of 50 words has 250 to 350, of which its edges lose 16 + 2 * MEAN on average.
 LEAST_RUN = 112
+#: Places in a row of which ``anchors`` takes one at least.
+REACH = 40
 PIECE_BYTES, BATCH_BYTES = 1 << 19, 1 << 23
 BROADCAST_IDS = 1_000_000
 
@@ -62,8 +65,43 @@ def cuts(data: np.ndarray, off: np.ndarray, mean: int = MEAN, most: int = MOST)
     return starts, ends
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, size, first_doc, first_at): every chunk (bytes) that another place before it already holds."""
+def _slide(x: np.ndarray, pick, width: int) -> np.ndarray:
+    """``pick`` (minimum or maximum) of x[i:i + width] for every such i."""
+    step = 1
+    while 2 * step <= width:
+        x = pick(x[:-step], x[step:])
+        step *= 2
+    rest = width - step
+    return pick(x[:-rest], x[rest:]) if rest else x
+
+
+def anchors(data: np.ndarray, off: np.ndarray, size: int = LEAST_RUN, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the spans of ``size`` bytes whose hash is least of some ``reach`` neighbours, and of each row's first and last.
+
+    Which of ``reach`` spans is least depends on their ``size + reach - 1`` bytes
+    alone, so a passage that long has a common anchor wherever it stands.
+    """
+    n = np.diff(off)
+    rows = n >= size
+    edges = np.concatenate([off[:-1][rows], off[1:][rows] - size])
+    take = edges
+    if len(data) >= size + reach - 1:
+        at = np.arange(len(data) - size + 1)
+        h = span_hashes(BYTE_CODE[data], at, at + size)
+        low = _slide(h, np.minimum, reach)
+        # places that lie in one row with the last byte of their last span
+        first = at[:len(low)]
+        row = np.repeat(np.arange(len(n)), n)
+        low[row[:len(low)] != row[first + reach + size - 2]] = 0
+        pad = np.zeros(reach - 1, U64)
+        most = _slide(np.concatenate([pad, low, pad]), np.maximum, reach)  # of the least values of all windows over a place
+        take = np.concatenate([np.flatnonzero((h == most) & (most > 0)), edges])
+    take = np.unique(take)
+    return take, take + size
+
+
+def repeated_chunks(docs: DataFrame, cut=cuts) -> DataFrame:
+    """(doc_id, at, size, first_doc, first_at): every chunk (bytes) of ``cut`` that another place before it already holds."""
     buckets = 4 * shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +137,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                 ids = np.array([-1 if i is None else i for i in batch.column(0).to_pylist()], np.int64)
                 for a, b in pieces(off, PIECE_BYTES):
                     raw, o = data[off[a]:off[b]], off[a:b + 1] - off[a]
-                    s, t = cuts(raw, o)
+                    s, t = cut(raw, o)
                     if not len(s):
                         continue
                     e = np.empty(len(s), ENTRY)
@@ -133,7 +171,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
             .applyInArrow(settle, "doc_id long, at int, size int, first_doc long, first_at int"))
 
 
-def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
+def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN, cut=cuts) -> DataFrame:
     """(doc_id, start, size, first_doc): runs of repeated chunks of at least ``least_run`` bytes, in UTF-8 bytes of the text.
 
     Every passage repeated anywhere before, in doc_id order, is reported for
@@ -141,9 +179,11 @@ def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     knows) the run's first chunk stands earlier.  A run ends where a chunk is
     new.  Null and empty texts have no chunks; null ids are reported as -1;
     rows with one id are one document's places; an empty table gives no rows.
+    With ``anchors`` for ``cut`` every passage of LEAST_RUN + REACH - 1 bytes is
+    found; with chunks one in a hundred of 51 words is not.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    c = repeated_chunks(d).distinct()
+    c = repeated_chunks(d, cut).distinct()
     # runs by doc: the windows hold one document's chunks
     from pyspark.sql import Window
     w = Window.partitionBy("doc_id").orderBy("at")
@@ -155,12 +195,12 @@ def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
         "doc_id", F.col("start").cast("long").alias("start"), (F.col("end") - F.col("start")).cast("long").alias("size"), "first_doc")
 
 
-def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
+def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN, cut=cuts) -> DataFrame:
     """``docs`` with the repeated spans cut out of ``text`` (bytes of cut characters at an edge are replaced by nothing).
 
     The spans are a list per document; documents without any are not rewritten.
     """
-    spans = (repeated_spans(docs, least_run).groupBy(F.col("doc_id").alias("_id"))
+    spans = (repeated_spans(docs, least_run, cut).groupBy(F.col("doc_id").alias("_id"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("_spans")))
     spans = stash(spans)
     few = spans.count() <= BROADCAST_IDS // 4
@@ -168,7 +208,7 @@ def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     j = d.join(F.broadcast(spans) if few else spans, F.col("doc_id") == F.col("_id"), "left").select("row", "_spans")
     names = docs.columns
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = names.index("text")
         for batch in batches:
             cols = batch.column(0).flatten()
@@ -185,8 +225,8 @@ def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
             cols[k] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return j.mapInArrow(cut, docs.schema)
+    return j.mapInArrow(without, docs.schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return repeated_spans(docs)
+    return repeated_spans(docs, cut=anchors)
