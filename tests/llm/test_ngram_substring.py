@@ -253,3 +253,17 @@ def test_removed_text(make, clashing):
         assert (r["text"] or "") == "".join([*parts, raw[at:].decode(errors="ignore")])
     assert substring.remove_repeats(make([])).count() == 0
     assert substring.repeated_spans(make([(None, "x" * 500), (None, "x" * 500), (1, None)])).select(F.min("doc_id")).first()[0] == -1
+
+
+def test_rows_of_one_id_are_told_apart(make, clashing):
+    """A copy stays of texts under null or repeated ids, and no row loses the bytes of another's spans."""
+    r = random.Random(6)
+    text = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    shared, clean, other = text(), text(), text()
+    docs = clashing(make([(None, shared), (None, shared), (None, clean), (7, shared + " " + other), (7, other), (8, text()), (9, None), (9, None), (None, None)]))
+    out = substring.remove_repeats(docs)
+    assert out.columns == docs.columns
+    got = [(x["doc_id"], x["text"]) for x in out.collect()]
+    assert len(got) == 7 and (None, clean) in got and got.count((9, None)) == got.count((None, None)) == 1
+    whole = "\n".join(t for _, t in got if t)
+    assert shared in whole and other in whole and len(whole) < len(shared) + 3 * len(clean) + 260

@@ -195,17 +195,38 @@ def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN, cut=cuts) -> Dat
         "doc_id", F.col("start").cast("long").alias("start"), (F.col("end") - F.col("start")).cast("long").alias("size"), "first_doc")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """row and a long key: the id, or for null and repeated ids a number of 60 bits below -2**62, from the md5 of id and text.
+
+    Rows that repeat both id and text, by all 128 bits, become one.
+    """
+    d = pack(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
+    again = stash(d.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"))
+    few = again.count() <= BROADCAST_IDS
+    d = d.join(F.broadcast(again) if few else again, F.col("doc_id") == F.col("_again"), "left")
+    d = d.withColumn("own", F.col("doc_id").isNotNull() & F.col("_again").isNull())
+    digest = F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.when(F.col("text").isNull(), "null").otherwise("text"), F.col("text")).cast("binary"))
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")  # 60 bits
+    key = F.when(F.col("own"), F.col("doc_id")).otherwise(F.lit(-(1 << 62)) - 1 - number)
+    d = d.select("row", key.alias("key"), "own", digest.alias("digest"))
+    once = d.where("not own").groupBy("key", "digest").agg(F.first("row").alias("row"))
+    return d.where("own").select("row", "key").union(once.select("row", "key"))
+
+
 def remove_repeats(docs: DataFrame, least_run: int = LEAST_RUN, cut=cuts) -> DataFrame:
     """``docs`` with the repeated spans cut out of ``text`` (bytes of cut characters at an edge are replaced by nothing).
 
-    The spans are a list per document; documents without any are not rewritten.
+    The spans are a list per row; rows without any are not rewritten.  Rows whose
+    id is null or on several rows are told apart by a key of id and text; they
+    come before all others, in order of that key, and of rows that repeat both id
+    and text one stays.
     """
-    spans = (repeated_spans(docs, least_run, cut).groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("_spans")))
+    rows = stash(_keyed(docs))
+    spans = (repeated_spans(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), least_run, cut)
+             .groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("_spans")))
     spans = stash(spans)
     few = spans.count() <= BROADCAST_IDS // 4
-    d = pack(docs, doc_id=F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
-    j = d.join(F.broadcast(spans) if few else spans, F.col("doc_id") == F.col("_id"), "left").select("row", "_spans")
+    j = rows.join(F.broadcast(spans) if few else spans, F.col("key") == F.col("_id"), "left").select("row", "_spans")
     names = docs.columns
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
