@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, exact, html, mix, ngram, quality, substring, tokenio, toxicity, warc
+from . import bpe, exact, html, mix, ngram, quality, substring, tokenio, toxicity, trie, warc
 
 #: Vocabulary files that the queries use; operators take a path.
 JSON_VOCABULARY, RANK_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -40,6 +40,7 @@ _over("op10_ngram_jaccard", "documents", ngram.query, ngram.ORACLE)
 QUERIES["op5_toxicity"] = lambda spark, sf_dir: toxicity.query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 _over("op8_html_extraction", "pages", html.query)
 _over("op9_warc_audit", "pages", warc.query)
+_over("op11_conversation_trie", "conversations", trie.query, trie.ORACLE)
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
