@@ -66,8 +66,6 @@ def test_read_archives_members_ids_and_quoted_newline(spark, scratch):
     got = {r["MMSI"]: r for r in df.collect()}
     assert sorted(got) == [1, 2, 3, 4]
     assert got[2]["Name"] == "two\nlines"
-    by_path = ps.read_archives(spark, scratch, by_path=True)
-    assert sorted(r["MMSI"] for r in by_path.collect()) == [1, 2, 3, 4]
     sensitive = ps.read_archives(spark, scratch, case_insensitive=False)
     assert sorted(r["MMSI"] for r in sensitive.collect()) == [1, 2, 4]
     ids = ps.with_row_id(df).select("MMSI", "id").collect()
@@ -137,20 +135,6 @@ def test_write_table_load_modes_and_report(spark, scratch):
     assert sorted(r.v for r in back.collect()) == [1, 2] and dict(back.dtypes)["v"] == "int"
 
 
-def test_sql_script_split_and_run(spark, scratch):
-    stmts = tb.split_statements("-- c\nSELECT 'a;b' AS x; /* multi ; */ SELECT 2;\n\n")
-    assert stmts == ["SELECT 'a;b' AS x", "SELECT 2"]
-    d = os.path.join(scratch, "sql")
-    os.makedirs(d)
-    with open(os.path.join(d, "02_view.sql"), "w") as f:
-        f.write("CREATE OR REPLACE TEMP VIEW v2 AS SELECT * FROM v1 WHERE x > 1;")
-    with open(os.path.join(d, "01_base.sql"), "w") as f:
-        f.write("CREATE OR REPLACE TEMP VIEW v1 AS SELECT explode(array(1, 2, 3)) AS x;")
-    done = tb.run_sql_script(spark, d)
-    assert [os.path.basename(x) for x in done] == ["01_base.sql", "02_view.sql"]
-    assert spark.sql("SELECT count(*) FROM v2").first()[0] == 2
-
-
 def test_incremental_ingest_processes_each_file_once(spark, scratch):
     src = os.path.join(scratch, "in")
     os.makedirs(src)

@@ -8,6 +8,7 @@ on a cluster passes its own session and its own ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,8 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the setting is given by the deployment and is read as is (it is
     a static setting, so it cannot be changed on a running session).  Only when
-    it is unset (local tests) a scratch folder is taken, once per context, and
-    handed to ``SparkContext.setCheckpointDir``.
+    it is unset on a local master (tests) a scratch folder is taken, once per
+    context, and handed to ``SparkContext.setCheckpointDir``; on a cluster that
+    would be each machine's own disk, so there it fails.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -69,6 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = id(sc._jsc)
     if key not in _SCRATCH_CKPT:
         _SCRATCH_CKPT[key] = tempfile.mkdtemp(prefix="trackscene-ckpt-")
@@ -80,3 +84,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss, unlike a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stash(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back: what several plans read is made once,
+    and lost executors cost a reread."""
+    path = f"{checkpoint_dir(df.sparkSession)}/trackscene-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

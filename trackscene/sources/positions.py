@@ -1,25 +1,22 @@
 """Position-report files: CSV, zipped CSV, tolerant folder loads.
 
-Parsing stays in Spark's CSV parser (``spark.read.csv`` / ``from_csv``) with
+Files are cut into records by ranges (``csv_records``), archives by member
+(``archive_source``).  Parsing stays in Spark's CSV parser (``from_csv``) with
 the database's COPY rules: header skipped, RFC quotes, unquoted empty = NULL,
-quoted empty = '' , a bad value fails the load.  Archives are not splittable,
-so the scan task that reads an archive decompresses it and yields its records
-in bounded chunks; archive bytes are never shuffled.
+quoted empty = '' , a bad value fails the load.
 """
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.prefix import with_row_id  # noqa: F401  (B7 belongs to loading: offered here too)
 from ..operators.records import parse_multi_timestamp
-from ..session import pin_utc
+from ..session import pin_utc, stash
+from .archive_source import register
+from .csv_records import RANGE_BYTES, csv_records, files
 
 # fixed values: the 26 columns of a position report file, in file order, with their types
 POSITION_COLUMNS = [
@@ -36,6 +33,7 @@ _SPARK_TYPE = {"timestamp": T.StringType(), "string": T.StringType(), "bigint":
 # COPY ... CSV: unquoted empty -> NULL, quoted empty -> ''
 COPY_CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "emptyValue": "",
                     "nullValue": "\\N", "multiLine": "true", "encoding": "UTF-8"}
+_RECORD_OPTIONS = {k: v for k, v in COPY_CSV_OPTIONS.items() if k not in ("header", "multiLine", "encoding")}
 
 
 def raw_schema() -> T.StructType:
@@ -61,160 +59,80 @@ def _finish(df: DataFrame, strict: bool = True) -> DataFrame:
     return df.withColumn("# Timestamp", parsed)
 
 
-def read_positions_csv(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
-    """A1: position CSV files (a file, folder or glob), 26 fixed columns."""
+def read_positions_csv(spark: SparkSession, path: str, *, strict: bool = True, split: bool = True, keep_source: bool = False,
+                       range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """A1: position CSV files (a file, folder or glob), 26 fixed columns.
+
+    A file is read in ranges of ``range_bytes`` by as many tasks, quoted
+    newlines included (``csv_records``); ``keep_source`` adds path and
+    record_no.  ``split=False`` leaves each file to one task of Spark's own
+    multi-line reader, for storage that ``pyarrow.fs`` does not reach.
+    """
     pin_utc(spark)
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    df = spark.read.schema(raw_schema()).options(**COPY_CSV_OPTIONS).option("mode", mode).csv(path)
-    return _finish(df, strict)
-
-
-def _records(text_stream: io.TextIOBase) -> Iterator[str]:
-    """Split CSV text into records; a newline inside quotes stays in the record."""
-    buf: list[str] = []
-    quotes = 0
-    for line in text_stream:
-        buf.append(line)
-        quotes += line.count('"')
-        if quotes % 2 == 0:
-            yield "".join(buf).rstrip("\r\n")
-            buf, quotes = [], 0
-    if buf:
-        yield "".join(buf).rstrip("\r\n")
-
-
-ARCHIVE_LINES = T.StructType([
-    T.StructField("path", T.StringType()), T.StructField("member", T.StringType()),
-    T.StructField("record_no", T.LongType()), T.StructField("record", T.StringType()),
-])
-
-
-def _archive_reader(suffix: str, case_insensitive: bool, chunk: int, by_path: bool, tolerant: bool = False):
-    def read(batches):
-        for pdf in batches:
-            for rec in pdf.to_dict("records"):
-                src = rec["path"]
-                if by_path:
-                    local = src[len("file:"):] if src.startswith("file:") else src
-                else:
-                    local = io.BytesIO(rec["content"])
-                try:
-                    zf = zipfile.ZipFile(local)
-                except zipfile.BadZipFile as e:
-                    if not tolerant:
-                        raise
-                    yield pd.DataFrame([(src, None, None, f"not readable: {e}")], columns=["path", "member", "record_no", "record"])
-                    continue
-                with zf:
-                    for name in zf.namelist():
-                        ok = name.lower().endswith(suffix.lower()) if case_insensitive else name.endswith(suffix)
-                        if not ok:
-                            continue
-                        with zf.open(name) as fb:
-                            stream = io.TextIOWrapper(fb, encoding="utf-8", newline="")
-                            out = []
-                            for i, r in enumerate(_records(stream)):
-                                if i == 0:
-                                    continue  # header of every member
-                                out.append((src, name, i, r))
-                                if len(out) >= chunk:
-                                    yield pd.DataFrame(out, columns=["path", "member", "record_no", "record"])
-                                    out = []
-                            if out:
-                                yield pd.DataFrame(out, columns=["path", "member", "record_no", "record"])
-    return read
-
-
-def archive_records(spark: SparkSession, path: str, *, suffix: str = ".csv", case_insensitive: bool = True,
-                    chunk: int = 10_000, by_path: bool = False, tolerant: bool = False) -> DataFrame:
-    """A2 raw: every record of every matching member of every ``*.zip`` under
-    ``path``: (path, member, record_no, record).  With ``tolerant`` a file that is
-    no archive gives one row without a record number, whose record is the reason;
-    otherwise it fails the job.
-
-    ``by_path=False`` ships archive bytes through ``binaryFile`` (any Hadoop
-    file system, archives up to 2 GB); ``by_path=True`` ships only the path and
-    opens it inside the task (shared POSIX storage, no size cap).
+    if not split:
+        mode = "FAILFAST" if strict else "PERMISSIVE"
+        df = spark.read.schema(raw_schema()).options(**COPY_CSV_OPTIONS).option("mode", mode).csv(path)
+        return _finish(df, strict)
+    return parse_records(csv_records(files(spark, path), range_bytes), ["path", "record_no"] if keep_source else [], strict)
+
+
+def parse_records(records: DataFrame, keep: list[str], strict: bool = True) -> DataFrame:
+    """The columns of a position file from ``record``, by the COPY rules; a bad value fails the load when ``strict``."""
+    opts = _RECORD_OPTIONS | {"mode": "FAILFAST" if strict else "PERMISSIVE"}
+    parsed = records.select(*keep, F.from_csv(F.col("record"), raw_ddl(), opts).alias("r"))
+    return _finish(parsed.select(*keep, *[F.col("r").getField(n).alias(n) for n, _ in POSITION_COLUMNS]), strict)
+
+
+def archive_records(spark: SparkSession, path: str, *, suffix: str = ".csv", case_insensitive: bool = True, tolerant: bool = False) -> DataFrame:
+    """A2 raw: every record of every matching member of every ``*.zip`` under ``path``: (path, member, record_no, record).
+
+    One partition per member, read by ranges (``ZipRecords``).  With
+    ``tolerant`` a file that is no archive, or a member that breaks off, gives
+    a row without a record number, whose record is the reason; otherwise it
+    fails the job.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true")
-    files = reader.load(path)
-    if by_path:
-        # only paths travel: spread the archives over all task slots
-        n = max(1, spark.sparkContext.defaultParallelism)
-        files = files.select("path").repartition(n, "path")
-    else:
-        # archive bytes are never shuffled: each scan task decodes the archives it read
-        # (an archive is one unsplittable file, so a large one is its own partition)
-        files = files.select("path", "content")
-    return files.mapInPandas(_archive_reader(suffix, case_insensitive, chunk, by_path, tolerant), ARCHIVE_LINES)
+    register(spark)
+    return (spark.read.format("zip_records").option("suffix", suffix).option("ignoreCase", str(case_insensitive).lower())
+            .option("tolerant", str(tolerant).lower()).load(path))
 
 
 def read_archives(spark: SparkSession, path: str, *, suffix: str = ".csv", case_insensitive: bool = True,
-                  strict: bool = True, by_path: bool = False, keep_source: bool = True) -> DataFrame:
+                  strict: bool = True, keep_source: bool = True) -> DataFrame:
     """A2: position reports from zipped CSV members, parsed with the COPY rules."""
     pin_utc(spark)
-    raw = archive_records(spark, path, suffix=suffix, case_insensitive=case_insensitive, by_path=by_path)
-    opts = {k: v for k, v in COPY_CSV_OPTIONS.items() if k not in ("header", "multiLine", "encoding")}
-    opts["mode"] = "FAILFAST" if strict else "PERMISSIVE"
-    parsed = raw.select("path", "member", "record_no",
-                        F.from_csv(F.col("record"), raw_ddl(), opts).alias("r"))
-    cols = [F.col("r").getField(n).alias(n) for n, _ in POSITION_COLUMNS]
-    df = parsed.select(*(["path", "member", "record_no"] if keep_source else []), *cols)
-    return _finish(df, strict)
-
-
-def with_row_id(df: DataFrame, source_cols=("path", "member"), line_col: str = "record_no",
-                out: str = "id") -> DataFrame:
-    """A unique BIGINT id that is stable across reruns: per-source offsets
-    (cumulative record counts of the preceding sources, from a table with one
-    row per source file) plus the record number inside the source."""
-    per_src = df.groupBy(*source_cols).agg(F.max(line_col).alias("_n"))
-    w = Window.orderBy(*source_cols).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_src.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return df.join(offsets, list(source_cols)).withColumn(out, (F.col("_off") + F.col(line_col)).cast("bigint")) \
-        .drop("_off")
+    raw = archive_records(spark, path, suffix=suffix, case_insensitive=case_insensitive)
+    return parse_records(raw, ["path", "member", "record_no"] if keep_source else [], strict)
 
 
 def read_folder_tolerant(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """A3: a folder with ``.csv`` and ``.zip`` files; a file (or a whole archive)
-    with any bad record, or an archive that cannot be opened, is rejected and
-    reported, the others load.
-
-    Returns ``(rows, rejects)``; rejects = (source, reason)."""
+    """A3: a folder with ``.csv`` and ``.zip`` files; a file (or a whole archive) with any bad record, or an archive that
+    cannot be opened, is rejected and reported, the others load.
+
+    Returns ``(rows, rejects)``; rejects = (source, reason).  Rows have
+    ``_source``, ``member`` (null for plain files) and ``record_no``, so ids can
+    be given with ``with_row_id``.  Every file is read and parsed once: the
+    parsed records are written to the shared folder, and both results read them
+    from there.
+    """
     pin_utc(spark)
-    schema = raw_schema().add("_corrupt_record", T.StringType())
-    csv = (spark.read.schema(schema).options(**COPY_CSV_OPTIONS).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.csv")
-           .csv(folder).withColumn("_source", F.col("_metadata.file_path")))
-    # every column takes part in the flag: with CSV column pruning a value of an
-    # unread column would never be checked; and the flag is written so it cannot
-    # become a pushed-down source filter (those run before the corrupt column is set)
-    touch_all = F.length(F.concat_ws("\u0001", *[F.col(f"`{n}`").cast("string") for n, _ in POSITION_COLUMNS])) < 0
-    csv = csv.withColumn("_bad", (F.length(F.coalesce(F.col("_corrupt_record"), F.lit(""))) > 0) | _bad_ts()
-                         | touch_all)
-    zips = _zip_rows(spark, folder)
-    cols = [n for n, _ in POSITION_COLUMNS]
-    both = csv.select("_source", "_bad", *[F.col(f"`{c}`") for c in cols]).unionByName(
-        zips.select("_source", "_bad", *[F.col(f"`{c}`") for c in cols]))
-    rejects = both.where("_bad").groupBy("_source").agg(F.count(F.lit(1)).alias("bad_records")).select(
-        F.col("_source").alias("source"),
-        F.concat(F.col("bad_records").cast("string"), F.lit(" bad record(s)")).alias("reason"))
-    good = both.join(rejects, both["_source"] == rejects["source"], "left_anti")
-    return _finish(good.drop("_bad"), strict=False), rejects
+    plain = csv_records(files(spark, folder, "*.csv")).select(F.col("path").alias("_source"), F.lit(None).cast("string").alias("member"), "record_no", "record")
+    zipped = archive_records(spark, folder, case_insensitive=False, tolerant=True).select(F.col("path").alias("_source"), "member", "record_no", "record")
+    opts = _RECORD_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    r = F.from_csv(F.col("record"), raw_ddl("`_corrupt_record` string"), opts)
+    cols = [F.col("r").getField(n).alias(n) for n, _ in POSITION_COLUMNS]
+    both = plain.unionByName(zipped).select("_source", "member", "record_no", r.alias("r")).select(
+        "_source", "member", "record_no", (F.col("record_no").isNull() | F.col("r._corrupt_record").isNotNull()).alias("_bad"), *cols)
+    both = both.withColumn("_bad", F.col("_bad") | _bad_ts())
+    # names of a position file hold spaces and signs that no file format takes: the columns travel as one struct by number
+    names = [n for n, _ in POSITION_COLUMNS]
+    flat = stash(both.select("_source", "member", "record_no", "_bad", *[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]))
+    rejects = flat.where("_bad").groupBy("_source").agg(F.count(F.lit(1)).alias("bad_records")).select(
+        F.col("_source").alias("source"), F.concat(F.col("bad_records").cast("string"), F.lit(" bad record(s)")).alias("reason"))
+    good = flat.join(rejects, flat["_source"] == rejects["source"], "left_anti")
+    good = good.select("_source", "member", "record_no", *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    return _finish(good, strict=False), rejects
 
 
 def _bad_ts():
     t = F.col("`# Timestamp`")
     return t.isNotNull() & (F.trim(t) != "") & parse_multi_timestamp(t).isNull()
-
-
-def _zip_rows(spark: SparkSession, folder: str) -> DataFrame:
-    raw = archive_records(spark, folder, suffix=".csv", case_insensitive=False, tolerant=True)
-    opts = {k: v for k, v in COPY_CSV_OPTIONS.items() if k not in ("header", "multiLine", "encoding")}
-    opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = raw.select(F.col("path").alias("_source"), F.col("record_no").isNull().alias("_unreadable"),
-                        F.from_csv(F.col("record"), raw_ddl("`_corrupt_record` string"), opts).alias("r"))
-    cols = [F.col("r").getField(n).alias(n) for n, _ in POSITION_COLUMNS]
-    out = parsed.select("_source", "_unreadable", *cols, F.col("r._corrupt_record").alias("_corrupt_record"))
-    return out.withColumn("_bad", F.col("_unreadable") | F.col("_corrupt_record").isNotNull() | _bad_ts())
-

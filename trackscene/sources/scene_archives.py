@@ -9,7 +9,6 @@ from __future__ import annotations
 import io
 import os
 import xml.etree.ElementTree as ET
-import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,41 +16,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import pin_utc
+from .archive_source import register
 
 _INDEX_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("file_name", T.StringType()),
                               T.StructField("sensing_time_text", T.StringType())])
 
 
-def _sensing_time(archive) -> str | None:
-    """The SENSING_TIME text of the tile metadata in an open archive file; a broken
-    archive, or one without it, has none (its row is still made)."""
+def _sensing_time(xml: str | None) -> str | None:
+    """The SENSING_TIME text of tile metadata; broken XML, or XML without it, has none."""
+    if xml is None:
+        return None
     try:
-        with zipfile.ZipFile(archive) as z:
-            for name in z.namelist():
-                if "MTD_TL.xml" in name:
-                    with z.open(name) as f:  # read as a stream, up to the element
-                        return next((e.text for _, e in ET.iterparse(f) if e.tag == "SENSING_TIME"), None)
-    except (zipfile.BadZipFile, ET.ParseError, OSError, ValueError, NotImplementedError, EOFError):
-        pass
-    return None
+        return next((e.text for _, e in ET.iterparse(io.BytesIO(xml.encode())) if e.tag == "SENSING_TIME"), None)
+    except (ET.ParseError, ValueError):
+        return None
 
 
 def index_scene_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per scene archive: ``file_name`` = basename without
     ``.SAFE.zip``, ``sensing_time`` from the tile metadata (NULL when absent or
-    malformed; the row is still emitted).  Whole archives are loaded, so each must stay below 2 GB."""
+    malformed; the row is still emitted).  Only the central directory and the
+    one metadata member of each archive are read, whatever the archive's size."""
     pin_utc(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
+    register(spark)
+    found = spark.read.format("zip_member_text").option("contains", "MTD_TL.xml").load(path)
 
     def run(batches):
         for pdf in batches:
             yield pd.DataFrame({
                 "path": pdf["path"],
                 "file_name": [os.path.basename(p).removesuffix(".SAFE.zip") for p in pdf["path"]],
-                "sensing_time_text": [_sensing_time(io.BytesIO(b)) for b in pdf["content"]],
+                "sensing_time_text": [_sensing_time(t) for t in pdf["text"]],
             })
-    idx = files.mapInPandas(run, _INDEX_SCHEMA)
+    idx = found.mapInPandas(run, _INDEX_SCHEMA)
     return idx.select("path", "file_name",
                       F.coalesce(F.col("sensing_time_text").try_cast("timestamp"),
                                  F.try_to_timestamp(F.regexp_replace("sensing_time_text", "Z$", ""))

@@ -1,11 +1,7 @@
-"""Table writes, load modes, reports, inferred CSV reads, SQL scripts."""
+"""Table writes, load modes, reports, inferred CSV reads."""
 
 from __future__ import annotations
 
-import fnmatch
-import glob
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,67 +43,3 @@ def read_csv_inferred(spark: SparkSession, path: str, delimiter: str = ",", enco
     """CSV with a header and inferred column types."""
     return (spark.read.option("header", True).option("inferSchema", True).option("sep", delimiter)
             .option("encoding", encoding).csv(path))
-
-
-def split_statements(sql: str) -> list[str]:
-    """A14 helper: drop ``--`` and ``/* */`` comments, split on ';' outside quotes."""
-    out, cur = [], []
-    i, n = 0, len(sql)
-    quote = None
-    while i < n:
-        ch = sql[i]
-        if quote:
-            cur.append(ch)
-            if ch == quote:
-                if i + 1 < n and sql[i + 1] == quote:  # doubled quote inside a literal
-                    cur.append(sql[i + 1])
-                    i += 1
-                else:
-                    quote = None
-        elif ch in ("'", '"', "`"):
-            quote = ch
-            cur.append(ch)
-        elif sql.startswith("--", i):
-            j = sql.find("\n", i)
-            i = n if j < 0 else j
-            continue
-        elif sql.startswith("/*", i):
-            j = sql.find("*/", i + 2)
-            i = n if j < 0 else j + 2
-            continue
-        elif ch == ";":
-            stmt = "".join(cur).strip()
-            if stmt:
-                out.append(stmt)
-            cur = []
-        else:
-            cur.append(ch)
-        i += 1
-    stmt = "".join(cur).strip()
-    if stmt:
-        out.append(stmt)
-    return out
-
-
-def script_files(target: str, pattern: str | None = None) -> list[str]:
-    """A14 batch mode: ``*.sql`` / ``*.txt`` of a folder, sorted, deduplicated,
-    optionally filtered by a glob on the file stem."""
-    if os.path.isfile(target):
-        return [target]
-    files = sorted(set(glob.glob(os.path.join(target, "*.sql")) + glob.glob(os.path.join(target, "*.txt"))))
-    if pattern:
-        files = [f for f in files if fnmatch.fnmatch(os.path.splitext(os.path.basename(f))[0], pattern)]
-    return files
-
-
-def run_sql_script(spark: SparkSession, target: str, pattern: str | None = None) -> list[str]:
-    """Run every statement of a script (or of every script in a folder, in
-    name order) through ``spark.sql``; the first error stops the run.  Returns
-    the files executed."""
-    done = []
-    for f in script_files(target, pattern):
-        with open(f, encoding="utf-8") as fh:
-            for stmt in split_statements(fh.read()):
-                spark.sql(stmt)
-        done.append(f)
-    return done
