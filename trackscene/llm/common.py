@@ -57,6 +57,20 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+# ------------------------------------------------------------------ Arrow
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "string": pa.string(),
+          "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
+
+
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow form of a schema string of simple types."""
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (f.split(" ", 1) for f in schema.split(", "))])
+
+
+def arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(col, k.type) for col, k in zip(zip(*rows), schema)], schema=schema)
+
+
 # ------------------------------------------------------------------ Arrow text buffers
 def utf8(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying; null is empty."""

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, exact, html, mix, ngram, quality, substring, tokenio, toxicity, trie, warc
+from . import align, bpe, exact, html, minhash, mix, ngram, quality, substring, tokenio, toxicity, trie, warc
 
 #: Vocabulary files that the queries use; operators take a path.
-JSON_VOCABULARY, RANK_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+JSON_VOCABULARY, RANK_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,8 @@ QUERIES["op5_toxicity"] = lambda spark, sf_dir: toxicity.query(_table(spark, sf_
 _over("op8_html_extraction", "pages", html.query)
 _over("op9_warc_audit", "pages", warc.query)
 _over("op11_conversation_trie", "conversations", trie.query, trie.ORACLE)
+_over("op12_minhash_dedup", "documents", minhash.query, minhash.ORACLE)
+_over("op13_token_alignment", "documents", lambda d: align.query(d, vocabulary(JSON_VOCABULARY), vocabulary(PIECE_VOCABULARY)))
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

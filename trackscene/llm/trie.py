@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stash
+from .common import arrow_rows, arrow_schema, shuffle_partitions, stash
 
 #: Turns of a block, most turns taken over from another conversation, and most turns in a packed row.
 BLOCK, HEAD, CHUNK = 4, 8, 256
@@ -79,6 +79,7 @@ def turn_digests(conversations: DataFrame) -> DataFrame:
 
 
 CHUNKS = "conv_id long, part int, start long, bytes_before long, hash_before binary, hash_after binary, n int, n_bytes long, ds array<binary>, ns array<long>"
+_ARROW_CHUNKS = arrow_schema(CHUNKS)
 
 
 def chunks(turns: DataFrame) -> DataFrame:
@@ -111,24 +112,15 @@ def chunks(turns: DataFrame) -> DataFrame:
                 ds.append(d)
                 ns.append(n)
             if out:
-                yield _rows(out, CHUNKS)
+                yield arrow_rows(out, _ARROW_CHUNKS)
                 out = []
         close()
         if out:
-            yield _rows(out, CHUNKS)
+            yield arrow_rows(out, _ARROW_CHUNKS)
 
     return stash(t.mapInArrow(run, CHUNKS))
 
 
-_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "string": pa.string(),
-          "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
-
-
-def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    fields = [f.split(" ", 1) for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(col, _KINDS[kind]) for col, (_, kind) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
-
-
 def offsets(packed: DataFrame) -> DataFrame:
     """(conv_id, part, off_n, off_bytes, off_hash): what lies in earlier partitions, for conversations cut by a border."""
     cut = packed.groupBy("conv_id").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("conv_id")
@@ -176,6 +168,7 @@ def plans(head: DataFrame) -> DataFrame:
 
 
 BLOCKS = "conv_id long, k long, at long, head binary, digests array<binary>, sizes array<long>, pre long, whole boolean, len long, total long"
+_ARROW_BLOCKS = arrow_schema(BLOCKS)
 
 
 def pieces_of_blocks(chunked: DataFrame, plan: DataFrame) -> DataFrame:
@@ -209,7 +202,7 @@ def pieces_of_blocks(chunked: DataFrame, plan: DataFrame) -> DataFrame:
                     out.append((r["conv_id"], k, depth, head, digests, ns[i:i + m], pre, whole, r["len"], r["total"]))
                     pre, depth, i = pre + sum(ns[i:i + m]), depth + m, i + m
             if out:
-                yield _rows(out, BLOCKS)
+                yield arrow_rows(out, _ARROW_BLOCKS)
 
     p = stash(chunked.join(plan, "conv_id").select(*need).mapInArrow(run, BLOCKS))
     parts = F.sort_array(F.collect_list(F.struct("at", "head", "digests", "sizes", "pre")))  # at most BLOCK of them
@@ -252,7 +245,7 @@ def end_hashes(ends: DataFrame) -> DataFrame:
     e = ends.repartitionByRange(shuffle_partitions(ends.sparkSession), *keys).sortWithinPartitions(*keys)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = "digest binary, first long, ids string"
+        kind = arrow_schema("digest binary, first long, ids string")
         node, ids, out = None, [], []
         for batch in batches:
             for d, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -262,13 +255,13 @@ def end_hashes(ends: DataFrame) -> DataFrame:
                 node = d
                 ids.append(c)
             if out:
-                yield _rows(out, kind)
+                yield arrow_rows(out, kind)
                 out = []
         if ids:
-            yield _rows([(node, ids[0], ",".join(map(str, ids)))], kind)
+            yield arrow_rows([(node, ids[0], ",".join(map(str, ids)))], kind)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = "digest binary, ends_sha256 string"
+        kind = arrow_schema("digest binary, ends_sha256 string")
         node, sha, out = None, None, []
         for batch in batches:
             for d, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
@@ -279,10 +272,10 @@ def end_hashes(ends: DataFrame) -> DataFrame:
                 else:
                     sha.update(b"," + ids.encode())
             if out:
-                yield _rows(out, kind)
+                yield arrow_rows(out, kind)
                 out = []
         if node is not None:
-            yield _rows([(node, sha.hexdigest())], kind)
+            yield arrow_rows([(node, sha.hexdigest())], kind)
 
     p = stash(e.mapInArrow(packed, "digest binary, first long, ids string"))
     return p.repartition(shuffle_partitions(ends.sparkSession), "digest").sortWithinPartitions("digest", "first").mapInArrow(hashed, "digest binary, ends_sha256 string")
