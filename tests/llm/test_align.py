@@ -115,7 +115,7 @@ def test_fragments_of_ranges_compose_to_the_whole(libraries, size):
             w = (align.Fragment() + rest[0] + align.Fragment()).whole()
             assert w.closed[:-1] == want
             if g:
-                assert links + Counter(w.pairs) == Counter(x << 32 | y for xs, ys in g for x in xs for y in ys)
+                assert links + Counter(w.pairs) == Counter(x << align.B_BITS | y for xs, ys in g for x in xs for y in ys)
                 assert w.n == (sum(len(x) for x, _ in g), sum(len(y) for _, y in g), len(g), sum(len(x) * len(y) for x, y in g))
 
 

@@ -34,10 +34,14 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, shuffle_partitions, span_hashes, stash
 from .pretoken import SPACE, char_classes, char_codes
 
-#: Text of a batch in characters; documents above this many characters are dealt out in ranges; UTF-8 bytes of a range.
-BATCH_CHARS, LONG_CHARS, RANGE_BYTES = 3 << 20, 1 << 15, 1 << 13
+#: Characters read at once, characters of a batch; documents above this many are dealt out in ranges; UTF-8 bytes of a range.
+PIECE_CHARS, BATCH_CHARS, LONG_CHARS, RANGE_BYTES = 1 << 19, 3 << 20, 1 << 15, 1 << 13
+#: Bits of an id of b in a pair, and of a pair below a row's number: vocabularies of up to 2**20 ids.
+B_BITS, ROW_BITS = 20, 40
 #: Fragments composed by one task at a time, and distinct units kept by a worker (it only saves work).
-FAN, KEEP_UNITS = 8, 300_000
+FAN, KEEP_UNITS = 8, 400_000
+#: Distinct units given to the libraries as one text.
+JOINED_UNITS = 2000
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
 
@@ -77,8 +81,9 @@ class Pair:
         for i in range(top):
             s = str(i).encode()
             self.decimal[i, :len(s)] = np.frombuffer(s, np.uint8)
-        self.known: dict[int, tuple[bytes, bytes, bool]] = {}
-        self.older: dict[int, tuple[bytes, bytes, bool]] = {}
+        none = np.zeros(0, np.int64)
+        self.known, self.good = np.zeros(0, np.uint64), np.zeros(0, bool)  # units met, by hash in order
+        self.ids = [Lists(none.astype(np.uint32), none, none) for _ in range(2)]
 
     @classmethod
     def load(cls, json_path: str, model_path: str) -> Pair:
@@ -96,59 +101,94 @@ class Pair:
         start[first] = True
         return start[:-1]
 
-    def _encode(self, units: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        a = self.a.encode_batch_fast(units, add_special_tokens=False)
-        b = self.b.encode([u[1:] for u in units], num_threads=1)
-        out = []
-        for u, x, y in zip(units, a, b):
-            raw, ids = u.encode(), x.ids
-            same = b"".join([self.a_bytes[i] for i in ids]) == raw == b"".join([self.b_bytes[i] for i in y])
-            out.append((np.array(ids, "<u4").tobytes(), np.array(y, "<u4").tobytes(), same))
-        return out
-
-    def units(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, list[tuple[bytes, bytes, bool]], np.ndarray]:
-        """(unit number of each unit in order, ids of the distinct units, first unit of each text and the total)."""
+    def _encode(self, units: list[str]) -> tuple[list[bytes], list[bytes], list[bool]]:
+        """(ids of a, ids of b, whether both give the bytes back) of each unit."""
+        a: list[bytes] = [b""] * len(units)
+        b: list[bytes] = [b""] * len(units)
+        ok = [False] * len(units)
+        plain = [i for i, u in enumerate(units) if u[0] == " " and len(u) > 1 and not u[1].isspace() and not u[-1].isspace()]
+        alone = sorted(set(range(len(units))) - set(plain))
+        # units that may follow one another are encoded together: a border between them is a unit border there too
+        for k in range(0, len(plain) if self.cuts else 0, JOINED_UNITS):
+            some = plain[k:k + JOINED_UNITS]
+            end = np.cumsum([len(units[i].encode()) for i in some])
+            text = "".join([units[i] for i in some])
+            both = (self.a.encode(text, add_special_tokens=False).ids, self.a_bytes, self.a_size, a), (self.b.encode(text[1:]), self.b_bytes, self.b_size, b)
+            for ids, of, size, out in both:
+                at = np.searchsorted(np.cumsum(size[ids]), end)
+                if b"".join([of[i] for i in ids]) != text.encode() or not (np.cumsum(size[ids])[at] == end).all():
+                    alone += some
+                    break
+                raw, cut = np.array(ids, "<u4").tobytes(), [0, *((at + 1) * 4).tolist()]
+                for i, s, e in zip(some, cut[:-1], cut[1:]):
+                    out[i] = raw[s:e]
+            else:
+                for i in some:
+                    ok[i] = True
+        alone = alone if self.cuts else range(len(units))
+        for i in alone:
+            x, y, raw = self.a.encode(units[i], add_special_tokens=False).ids, self.b.encode(units[i][1:]), units[i].encode()
+            a[i], b[i] = np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes()
+            ok[i] = b"".join([self.a_bytes[t] for t in x]) == raw == b"".join([self.b_bytes[t] for t in y])
+        return a, b, ok
+
+    def units(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place among the known units of each unit in order, which of the known are good, first unit of each text and the total)."""
         cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         off = np.concatenate([[0], np.cumsum(sizes)])
         at = np.flatnonzero(self.unit_starts(cp, off[:-1]))
         end = np.append(at[1:], len(cp))
         with np.errstate(over="ignore"):
             h, where, unit = np.unique(span_hashes(char_codes()[cp], at, end), return_index=True, return_inverse=True)
-        if len(self.known) > KEEP_UNITS // 2:  # units that keep coming back stay, the others go
-            self.known, self.older = {}, self.known
-        keys, new = h.tolist(), []
-        for i, k in enumerate(keys):
-            if k not in self.known:
-                if k in self.older:
-                    self.known[k] = self.older[k]
-                else:
-                    new.append(i)
-        if new:
-            for i, x in zip(new, self._encode([text[s:e] for s, e in zip(at[where[new]].tolist(), end[where[new]].tolist())])):
-                self.known[keys[i]] = x
-        return unit, [self.known[k] for k in keys], np.searchsorted(at, off)
+        if len(self.known) > KEEP_UNITS:  # what this text holds is kept, the rest goes
+            self._keep(np.isin(self.known, h, assume_unique=True))
+        new = np.flatnonzero(~np.isin(h, self.known, assume_unique=True))
+        if len(new):
+            a, b, ok = self._encode([text[s:e] for s, e in zip(at[where[new]].tolist(), end[where[new]].tolist())])
+            order = np.argsort(np.concatenate([self.known, h[new]]), kind="stable")
+            self.known = np.concatenate([self.known, h[new]])[order]
+            self.good = np.concatenate([self.good, ok])[order]
+            self.ids = [x.added(raw, order) for x, raw in zip(self.ids, (a, b))]
+        return np.searchsorted(self.known, h)[unit], self.good, np.searchsorted(at, off)
+
+    def _keep(self, some: np.ndarray) -> None:
+        self.known, self.good = self.known[some], self.good[some]
+        self.ids = [x.picked(np.flatnonzero(some)) for x in self.ids]
 
     def tokens(self, text: str, sizes: np.ndarray) -> Tokens:
         """The tokens of texts lying one after another in ``text`` (each with its leading space), ``sizes`` code points each."""
-        unit, made, first = self.units(text, sizes)
+        unit, is_good, first = self.units(text, sizes)
         n = len(sizes)
         row = np.repeat(np.arange(n), np.diff(first))
         good = np.ones(n, bool)
-        good[row[~np.array([m[2] for m in made], bool)[unit]]] = False
+        good[row[~is_good[unit]]] = False
         keep = good[row]
         unit, row = unit[keep], row[keep]
-        a, at_a = _spread([m[0] for m in made], unit)
-        b, at_b = _spread([m[1] for m in made], unit)
+        (a, at_a), (b, at_b) = (x.spread(unit) for x in self.ids)
         return Tokens(self, n, good, a, np.repeat(row, at_a), b, np.repeat(row, at_b))
 
 
-def _spread(parts: list[bytes], pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of the picked parts one after another, number of ids of each pick)."""
-    size = np.array([len(p) // 4 for p in parts], np.int64)
-    flat = np.frombuffer(b"".join(parts), "<u4")
-    begin, per = (np.cumsum(size) - size)[pick], size[pick]
-    run = np.cumsum(per) - per
-    return flat[np.repeat(begin - run, per) + np.arange(per.sum())].astype(np.int64), per
+class Lists:
+    """Many short lists of ids, one after another."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray, begin: np.ndarray):
+        self.flat, self.size, self.begin = flat, size, begin
+
+    def added(self, raw: list[bytes], order: np.ndarray) -> Lists:
+        size = np.array([len(x) // 4 for x in raw], np.int64)
+        begin = len(self.flat) + np.cumsum(size) - size
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(raw), "<u4")])
+        return Lists(flat, np.concatenate([self.size, size])[order], np.concatenate([self.begin, begin])[order])
+
+    def spread(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the picked lists one after another, number of ids of each pick)."""
+        per = self.size[pick]
+        run = np.cumsum(per) - per
+        return self.flat[np.repeat(self.begin[pick] - run, per) + np.arange(per.sum())].astype(np.int64), per
+
+    def picked(self, pick: np.ndarray) -> Lists:
+        flat, size = self.spread(pick)
+        return Lists(flat.astype(np.uint32), size, np.cumsum(size) - size)
 
 
 class Tokens:
@@ -171,11 +211,11 @@ class Tokens:
         return {"n_a": per(self.row_a), "n_b": per(self.row_b), "n_groups": per(self.row_group), "n_links": per(self.row_group, self.in_a * self.in_b)}
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row, id pair) of every link: id of a in the upper half, id of b in the lower."""
+        """(row, id pair) of every link: id of a, then B_BITS of the id of b."""
         per = self.in_b[self.group_a]
         first_b = (np.cumsum(self.in_b) - self.in_b)[self.group_a]
         at = np.repeat(first_b - (np.cumsum(per) - per), per) + np.arange(per.sum())
-        return np.repeat(self.row_a, per), np.repeat(self.a, per) << 32 | self.b[at]
+        return np.repeat(self.row_a, per), np.repeat(self.a << B_BITS, per) | self.b[at]
 
     def strings(self) -> tuple[np.ndarray, np.ndarray]:
         """(the groups of all rows as text, each closed by a semicolon; where each row begins and the total)."""
@@ -223,7 +263,7 @@ class Fragment:
 
 def closed_group(a, b) -> tuple[bytes, tuple[int, int, int, int], tuple[int, ...]]:
     text = f"{','.join(map(str, a))}|{','.join(map(str, b))};".encode()
-    return text, (len(a), len(b), 1, len(a) * len(b)), tuple(int(x) << 32 | int(y) for x in a for y in b)
+    return text, (len(a), len(b), 1, len(a) * len(b)), tuple(int(x) << B_BITS | int(y) for x in a for y in b)
 
 
 def range_fragment(pair: Pair, text: str, lo: int, hi: int) -> tuple[Fragment, np.ndarray]:
@@ -269,13 +309,23 @@ def ranges(pair: Pair, text: str, size: int) -> Iterator[tuple[int, int, int, st
 
 
 # ------------------------------------------------------------------ Spark
-DOCS = "doc_id long, batch long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, steps binary, times binary"
+DOCS = "doc_id long, batch long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_pairs int, steps binary, times binary"
 TABLE = "pairs binary, docs binary"
 RANGES = "seq int, lo int, hi int, text string"
 FRAGMENT = ("key long, doc_id long, seq int, ok boolean, cut boolean, pa array<long>, pb array<long>, sa array<long>, sb array<long>, "
             "closed binary, n array<long>, more array<long>")
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Numbers in the fewest whole bytes that hold all of them (1, 2 or 4)."""
+    top = int(x.max()) if len(x) else 0
+    return x.astype("u1" if top < 256 else "<u2" if top < 65536 else "<u4").tobytes()
+
+
+def widened(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, {1: "u1", 2: "<u2", 4: "<u4"}[len(raw) // n]).astype(np.int64)
+
+
 def read_batches(docs: DataFrame, json_path: str, model_path: str, long_chars: int = LONG_CHARS, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One pass over the texts: a row per short document, a row per batch (its pair table), and a row per range of a long one.
 
@@ -291,26 +341,35 @@ def read_batches(docs: DataFrame, json_path: str, model_path: str, long_chars: i
         ids: list = []
         texts: list[str] = []
         empty: list = []
-        held = 0
+        waiting: list = []
+        held = size = 0
 
-        def close(number):
+        def read():
+            """Tokens, counts and group digests of the texts at hand; their distinct pairs wait for the batch to close."""
             t = pair.tokens("".join(texts), np.array([len(x) for x in texts]))
             t.align()
-            c = t.counts()
             raw, off = t.strings()
             raw, off = memoryview(raw), off.tolist()
             sha = [hashlib.sha256(raw[s:e - 1]).hexdigest() if e > s else "" for s, e in zip(off[:-1], off[1:])]
             row, link = t.links()
-            table, at = np.unique(link, return_inverse=True)
-            both, times = np.unique(row * max(1, len(table)) + at, return_counts=True)
-            row, at = np.divmod(both, max(1, len(table)))
-            cut = np.searchsorted(row, np.arange(len(texts) + 1))
-            steps = np.diff(at, prepend=0)
-            first = cut[:-1][cut[:-1] < cut[1:]]
-            steps[first] = at[first]  # the first pair of a document counts from 0
-            steps, times = steps.astype("<u4"), times.astype("<u4")
-            yield rows(len(texts), doc_id=ids, batch=[number] * len(texts), **c, groups_sha256=sha,
-                       steps=[steps[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:])], times=[times[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:])])
+            row <<= ROW_BITS
+            row |= link
+            both, times = np.unique(row, return_counts=True)
+            cut = np.searchsorted(both >> ROW_BITS, np.arange(len(texts) + 1))
+            waiting.append((list(ids), t.counts(), sha, both & ((1 << ROW_BITS) - 1), times, cut))
+
+        def close(number):
+            table, at = np.unique(np.concatenate([w[3] for w in waiting]), return_inverse=True)
+            done = 0
+            for doc, counts, sha, link, times, cut in waiting:
+                mine = at[done:done + len(link)]
+                done += len(link)
+                steps = np.diff(mine, prepend=0)
+                first = cut[:-1][cut[:-1] < cut[1:]]
+                steps[first] = mine[first]  # the first pair of a document counts from 0
+                spans = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+                yield rows(len(doc), doc_id=doc, batch=[number] * len(doc), **counts, groups_sha256=sha, n_pairs=np.diff(cut),
+                           steps=[narrow(steps[s:e]) for s, e in spans], times=[narrow(times[s:e]) for s, e in spans])
             if len(table):
                 yield rows(1, batch=[number], pairs=[table.astype("<i8").tobytes()], docs=[np.bincount(at, minlength=len(table)).astype("<u4").tobytes()])
 
@@ -330,14 +389,20 @@ def read_batches(docs: DataFrame, json_path: str, model_path: str, long_chars: i
                     ids.append(doc)
                     texts.append(" " + text)
                     held += len(text) + 32
-                    if held >= BATCH_CHARS:
+                    if held >= PIECE_CHARS:
+                        read()
+                        size += held
+                        ids, texts, held = [], [], 0
+                    if size >= BATCH_CHARS:
                         number += 1
                         yield from close(number)
-                        ids, texts, held = [], [], 0
+                        waiting, size = [], 0
             if empty:
                 yield tokenless(empty)
                 empty = []
         if texts:
+            read()
+        if waiting:
             yield from close(number + 1)
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -441,19 +506,19 @@ def aligned(docs: DataFrame, json_path: str, model_path: str, long_chars: int =
     held = asked.groupBy("pair").agg(F.sum("docs").alias("n"))
     if long:
         held = held.unionByName(long[1].groupBy("pair").agg(F.count("*").alias("n"))).groupBy("pair").agg(F.sum("n").alias("n"))
-    held = stash(held.select("pair", "n", F.shiftright("pair", 32).alias("a")))
+    held = stash(held.select("pair", "n", F.shiftright("pair", B_BITS).alias("a")))
     top = held.groupBy("a").agg(F.max("n").alias("top"))
     counts = stash(held.join(top, "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best")))
     answers = asked.select("batch", "pair").join(counts, "pair").select("batch", "pair", "n", "best")
-    short = found.where("n_links > 0").select("batch", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "steps", "times")
+    short = found.where("n_links > 0").select("batch", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_pairs", "steps", "times")
     out = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in RESULT)
 
     def answer(table: pa.Table, mine: pa.Table) -> pa.Table:  # a batch and its pair table, both of bounded size
         table = table.sort_by("pair")
         n, best = table.column("n").to_numpy(), table.column("best").to_numpy().astype(np.int64)
         good, total = [], []
-        for s, t in zip(mine.column("steps").to_pylist(), mine.column("times").to_pylist()):
-            at, times = np.cumsum(np.frombuffer(s, "<u4")), np.frombuffer(t, "<u4").astype(np.int64)
+        for k, s, t in zip(*(mine.column(c).to_pylist() for c in ("n_pairs", "steps", "times"))):
+            at, times = np.cumsum(widened(s, k)), widened(t, k)
             good.append(int((best[at] * times).sum()))
             total.append(int((n[at] * times).sum()))
         return mine.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"]).append_column("n_best", pa.array(good, pa.int64())).append_column(
