@@ -5,8 +5,6 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from trackscene.llm import minhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -66,15 +64,12 @@ def corpus():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("few", [64, 2])  # 2: nearly every key is split, and what is left is dealt in cells
-def test_against_all_pairs(make, corpus, few):
-    assert got(make(corpus).repartition(5), few=few) == plain(corpus)
+def test_against_all_pairs(make, corpus):
+    assert got(make(corpus).repartition(5)) == plain(corpus)
 
 
 def test_odd_rows(make, odd_rows, clashing):
-    want = plain(odd_rows)
-    assert got(make(odd_rows)) == want
-    assert got(clashing(make(odd_rows))) == want
+    assert got(clashing(make(odd_rows))) == plain(odd_rows)
     assert got(make([])) == []
 
 
@@ -101,30 +96,24 @@ def test_every_pair_within_the_distance_shares_a_key(apart, split):
         assert met >= {i for i in range(200) if (a[i, outside] != b[i, outside]).sum() <= minhash.MOST_APART}
 
 
-def test_distance_in_columns(spark):
-    rng = np.random.default_rng(3)
-    a, b = random_pairs(rng, 50, 9)
-    b[::2] = rng.integers(0, 1 << 16, b[::2].shape)
-    rows = [(i, [int(v) for v in x], [int(v) for v in y]) for i, (x, y) in enumerate(zip(a.view(np.int64), b.view(np.int64)))]
-    d = spark.createDataFrame(rows, "i long, x array<long>, y array<long>").select(
-        "i", *[F.struct(*[F.col(t)[k].alias(s) for k, s in enumerate(minhash.SIG)]).alias(t) for t in "xy"])
-    out = {r[0]: r[1] for r in d.select("i", minhash.distance("x", "y")).collect()}
-    assert [out[i] for i in range(50)] == (a != b).sum(axis=1).tolist()
-
-
-def test_split_and_dealt_pairs_equal_direct_ones(spark):
-    """Pairs of a hot key: the same whichever way they meet, none twice after distinct, none farther apart."""
+@pytest.mark.parametrize("top", [1, 40])  # members of the largest component: none large, one large
+def test_split_and_dealt_pairs_equal_direct_ones(spark, top):
+    """Pairs of a hot key: the same whichever way they meet, and none farther apart or of one component."""
     rng = np.random.default_rng(5)
     centre = rng.integers(0, 1 << 16, minhash.POSITIONS).astype(np.uint16)
     sig = np.tile(centre, (90, 1))
     for i in range(90):
         at = 4 + rng.choice(28, rng.integers(2, 14), replace=False)
         sig[i, at] = rng.integers(0, 1 << 16, len(at))
-    rows = [(5, 1, i.to_bytes(16, "big"), i.to_bytes(16, "big"), 100, *map(int, x)) for i, x in enumerate(np.ascontiguousarray(sig).view(np.int64))]
-    p = spark.createDataFrame(rows, "key long, used int, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in minhash.SIG))
-    want = {(i, j) for i, j in combinations(range(90), 2) if (sig[i] != sig[j]).sum() <= minhash.MOST_APART}
-    for few, splits in ((200, 2), (10, 2), (10, 1), (10, 0)):
-        out = minhash.pairs_apart(p, minhash.LEAST, few, splits).distinct().collect()
+    name = lambda i: i.to_bytes(16, "big")
+    longs = np.ascontiguousarray(sig).view(np.int64)
+    classes = spark.createDataFrame([(name(i), 100, *map(int, x)) for i, x in enumerate(longs)], "id binary, n long, " + ", ".join(f"{s} long" for s in minhash.SIG))
+    p = spark.createDataFrame([(5, 1, name(i), name(i)) if i >= top else (5, 1, name(i), name(0)) for i in range(90)],
+                              "key long, used int, id binary, component binary")
+    want = {(i, j) for i, j in combinations(range(90), 2) if not (i < top and j < top) and (sig[i] != sig[j]).sum() <= minhash.MOST_APART}
+    assert len(want) > 50
+    for few, splits in ((200, 2), (10, 1), (10, 0)):
+        out = minhash.pairs_apart(p, classes, minhash.LEAST, few, splits).distinct().collect()
         assert {(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in out} == want
 
 

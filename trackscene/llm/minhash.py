@@ -12,10 +12,11 @@
    each posting at most, so a large group of near copies falls to few centres.
    Of those within the distance the nearest is verified on the full sets, and
    verified links are joined to components.
-4. What is left are keys with members of several components.  Few members meet
-   in pairs; many are split by the same argument over the chunks not used yet,
-   and what still is many is dealt in cells of bounded size.  Only pairs of
-   different components within the distance leave, and are verified.
+4. What is left are keys with members of several components.  There the members
+   outside the key's largest component meet the others; where they are many, the
+   key is split first by the same argument over the chunks not used yet, and
+   what still is many is dealt in blocks.  Only pairs of different components
+   within the distance leave, and are verified.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ POSITIONS, BITS, CHUNKS = 32, 16, 8
 PER_CHUNK = POSITIONS // CHUNKS
 MOST_APART = 2 * CHUNKS - 1
 SIG = [f"s{i}" for i in range(POSITIONS * BITS // 64)]
-#: Members of a key that meet in pairs at once; more are split first.
+#: Members of a key outside its largest component that meet the others at once; more are split first.
 FEW = 64
 PIECE_BYTES = 1 << 19
 
@@ -125,15 +126,17 @@ def posted(classes: DataFrame) -> DataFrame:
     return classes.select("id", *SIG).mapInArrow(run, "key long, used int, id binary")
 
 
-def distance(x: str, y: str) -> Column:
-    """Positions in which two signatures differ; ``x`` and ``y`` are prefixes of their columns."""
-    total = F.lit(0)
-    for s in SIG:
-        z = F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))
-        for by, mask in ((8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-            z = z.bitwiseOR(F.shiftrightunsigned(z, by).bitwiseAND(F.lit(mask)))  # a position's bits meet in its lowest one
-        total = total + F.bit_count(z.bitwiseAND(F.lit(0x0001000100010001)))
-    return total
+def within(pairs: DataFrame) -> DataFrame:
+    """(a, b, apart) of the pairs whose signatures, in x.s0, ... and y.s0, ..., differ in at most MOST_APART positions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (_sig_of(batch.select([*[f"{t}{s}" for s in SIG]]).rename_columns(SIG)) for t in "xy")
+            apart = (x != y).sum(axis=1) if batch.num_rows else np.zeros(0, np.int64)
+            near = pa.array(apart <= MOST_APART)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart.astype(np.int32))], names=["a", "b", "apart"]).filter(near)
+
+    sig = [F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "xy" for s in SIG]
+    return pairs.select("a", "b", *sig).mapInArrow(run, "a binary, b binary, apart int")
 
 
 def _sizes_allow(x: str, y: str, least: tuple[int, int]) -> Column:
@@ -177,47 +180,56 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     return stash(j.mapInArrow(test, "a binary, b binary, linked boolean"))
 
 
-def _met(p: DataFrame, on: list[str], least: tuple[int, int]) -> DataFrame:
-    """(a, b) within the distance and of different components, of the members that share ``on``."""
-    x, y = p.alias("x"), p.alias("y")
-    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
-    apart = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-    cond = apart & _sizes_allow("x", "y", least) & (distance("x", "y") <= MOST_APART)
-    for s in same:
-        cond = cond & s
-    return x.join(y, cond).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: int = FEW, splits: int = 2) -> DataFrame:
+    """(a, b): all pairs of a key of ``p`` (key, used, id, component) within the distance and of different components.
 
-
-def pairs_apart(p: DataFrame, least: tuple[int, int], few: int = FEW, splits: int = 2) -> DataFrame:
-    """(a, b): all pairs of a key of ``p`` (key, used, id, component, n, signature) within the distance and of different components."""
-    size = p.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key", "m")
-    p = stash(p.join(size, "key"))
-    out = _met(p.where(F.col("m") <= few), ["key"], least)
-    many = p.where(F.col("m") > few)
+    In each key the members outside its largest component meet all members of
+    other components; so a key of one large group and a few others costs few
+    pairs for each member.  Keys with more than ``few`` others are split first.
+    """
+    sizes = p.groupBy("key", "component").agg(F.count("*").alias("c"))
+    key = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "component")).alias("top"))
+    key = key.select("key", (F.col("m") - F.col("top.c")).alias("others"), F.col("top.component").alias("top")).where("others > 0")
+    p = stash(p.join(key, "key").join(classes.select("id", "n", *SIG), "id"))
+    some = p.where(F.col("others") <= few)
+    many = p.where(F.col("others") > few)
     if not many.limit(1).count():
-        return out
-    if splits:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                used = batch.column(1).to_numpy(zero_copy_only=False)
-                for done in np.unique(used):  # chunks left over share the errors that may be left
-                    at = np.flatnonzero(used == done)
-                    rows = batch.take(pa.array(at))
-                    with np.errstate(over="ignore"):
-                        row, key, c = chunk_keys(_sig_of(rows), used[at].astype(np.int64), rows.column(0).to_numpy(zero_copy_only=False).view(U64),
-                                                 MOST_APART // (CHUNKS - int(done).bit_count()))
-                    more = rows.take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((done | (1 << c)).astype(np.int32)), *more.columns[2:]], names=rows.schema.names)
-
-        names = ["key", "used", "id", "component", "n", *SIG]
-        kinds = "key long, used int, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in SIG)
-        return out.union(pairs_apart(many.select(*names).mapInArrow(run, kinds), least, few, splits - 1))
-    # the rest in cells: every two of the blocks a key's members are dealt into meet in one of them
-    blocks = F.ceil(F.col("m") / few).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    cells = many.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cells = cells.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other"))
-    return out.union(_met(cells, ["key", "i", "j"], least))
+        return _met(some, ["key"], least)
+    if not splits:  # the rest in blocks of the others, which every member meets in turn
+        blocks = F.ceil(F.col("others") / few).cast("int")
+        block = F.when(F.col("component") != F.col("top"), F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        cells = many.withColumn("own", block).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        return _met(some, ["key"], least).union(_met(cells, ["key", "block"], least, (F.col("own") == F.col("block"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            used = batch.column(1).to_numpy(zero_copy_only=False)
+            for done in np.unique(used):  # the chunks left over share the errors that may be left
+                at = np.flatnonzero(used == done)
+                rows = batch.take(pa.array(at))
+                with np.errstate(over="ignore"):
+                    row, key, c = chunk_keys(_sig_of(rows), used[at].astype(np.int64), rows.column(0).to_numpy(zero_copy_only=False).view(U64),
+                                             MOST_APART // (CHUNKS - int(done).bit_count()))
+                more = rows.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((done | (1 << c)).astype(np.int32)), more.column(2), more.column(3)],
+                                                 names=["key", "used", "id", "component"])
+
+    split = stash(many.select("key", "used", "id", "component", *SIG).mapInArrow(run, "key long, used int, id binary, component binary"))
+    return _met(some, ["key"], least).union(pairs_apart(split, classes, least, few, splits - 1))
+
+
+def _met(p: DataFrame, on: list[str], least: tuple[int, int], mine: Column | None = None) -> DataFrame:
+    """(a, b) within the distance: members outside the largest component of ``on`` (those that ``mine`` picks) with the members of other components."""
+    other = p.where(F.col("component") != F.col("top"))
+    x, y = (other.where(mine) if mine is not None else other).alias("x"), p.alias("y")
+    cond = (F.col("x.component") != F.col("y.component")) & _sizes_allow("x", "y", least)
+    # two that are both outside meet twice: once is enough where one task sees both ways
+    cond = cond & ((F.col("y.component") == F.col("y.top")) | (F.col("x.id") < F.col("y.id")) | F.lit(mine is not None))
+    for c in on:
+        cond = cond & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    low, high = F.least("x.id", "y.id"), F.greatest("x.id", "y.id")
+    return within(x.join(y, cond).select(low.alias("a"), high.alias("b"), F.struct(*[F.col(f"x.{s}") for s in SIG]).alias("x"),
+                                         F.struct(*[F.col(f"y.{s}") for s in SIG]).alias("y"))).select("a", "b")
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, few: int = FEW) -> DataFrame:
@@ -242,14 +254,12 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     x, y = classes.alias("x"), classes.alias("y")
     hubs = p.groupBy("key").agg(F.min("id").alias("hub"))
     star = p.join(hubs, "key").where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    star = star.join(y, F.col("b") == F.col("y.id")).join(x, F.col("a") == F.col("x.id")).where(_sizes_allow("x", "y", least)).select(
-        "a", "b", distance("x", "y").alias("apart")).where(F.col("apart") <= MOST_APART)
+    star = within(star.join(y, F.col("b") == F.col("y.id")).join(x, F.col("a") == F.col("x.id")).where(_sizes_allow("x", "y", least)))
     nearest = stash(star.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("x")).select("x.a", "b"))
     seen = verified(nearest, d, classes, words, least)
     comp = components(seen.where("linked"))
-    members = (p.join(classes.select("id", "n", *SIG), "id").join(comp, "id", "left")
-               .select("key", "used", "id", F.coalesce("component", "id").alias("component"), "n", *SIG))
-    left = pairs_apart(members, least, few).distinct()
+    members = stash(p.join(comp, "id", "left").select("key", "used", "id", F.coalesce("component", "id").alias("component")))
+    left = pairs_apart(members, classes, least, few).distinct()
     tried = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = stash(left.join(tried, ["a", "b"], "left_anti"))
     if left.limit(1).count():
