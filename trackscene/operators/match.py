@@ -50,12 +50,36 @@ def scene_time_range(scenes: DataFrame, scene_time: str = "sensing_time") -> tup
     return r["a"], r["b"]
 
 
+def write_by_day(positions: DataFrame, path: str, ts: str = "ts", day: str = "day") -> None:
+    """The positions laid out by UTC day of ``ts``, each day dealt to as many files as its rows need; null times have a
+    folder of their own."""
+    pin_utc(positions.sparkSession)
+    d = positions.withColumn(day, F.col(ts).cast("date"))
+    # a rebalance splits large days and joins small ones; no day is bound to one task
+    d.hint("rebalance", day).write.partitionBy(day).parquet(path)
+
+
+def read_by_day(spark, path: str, schema=None) -> DataFrame:
+    """Positions that ``write_by_day`` laid out (``schema``: theirs, with the day last)."""
+    pin_utc(spark)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
+def _scene_days(scenes: DataFrame, scene_time: str, half: int) -> DataFrame:
+    """The UTC days that the windows of the scenes touch."""
+    us = epoch_micros(F.col(scene_time), scenes.schema[scene_time].dataType)
+    edge = lambda x: F.timestamp_micros(x).cast("date")
+    # Spark prunes only by a side with a condition it takes for selective; a null time has no window
+    some = scenes.where(F.col(scene_time) >= F.lit(dt.datetime(1, 1, 1)).cast(scenes.schema[scene_time].dataType))
+    return some.select(F.explode(F.sequence(edge(us - F.lit(half)), edge(us + F.lit(half)))).alias("_day")).distinct()
+
+
 def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *,
                  ts: str = "ts", lon: str = "lon", lat: str = "lat",
                  scene_key: str = "api_id", scene_time: str = "sensing_time",
                  box: Sequence[str] = ("xmin", "ymin", "xmax", "ymax"),
                  cell_size: float = 1.0, salt: int = 1, id_col: str = "id",
-                 between: tuple | None = None) -> DataFrame:
+                 between: tuple | None = None, day: str | None = None) -> DataFrame:
     """E2 (+D8, B5, B6): every (report, scene) with ``|ts - sensing_time| <= minutes``
     (inclusive) and the report inside the scene footprint box (inclusive).
 
@@ -64,6 +88,10 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
     replicated per salt, each report takes one salt from a hash of its id.
     ``between`` = (first, last) sensing time (``scene_time_range``) adds bounds on
     ``ts`` that reach the scan of the positions, so files outside are not read.
+    ``day`` names a column of ``positions`` that holds the UTC day of ``ts`` and
+    by which its files are laid out (``write_by_day``): the days that scene
+    windows touch are sent to all executors (a row for each calendar day, so
+    their number is bounded), and Spark prunes all other days while it runs.
 
     Output: all position columns, ``scene_key``, ``scene_time``, ``rel``
     ('before' when ts <= sensing time, else 'after'), ``diff_us`` (signed,
@@ -78,6 +106,8 @@ def match_window(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *
         first, last = (t if t is not None else dt.datetime(1970, 1, 1) for t in between)
         pad = dt.timedelta(microseconds=half)
         positions = positions.where((F.col(ts) >= F.lit(first - pad)) & (F.col(ts) <= F.lit(last + pad)))
+    if day is not None:
+        positions = positions.join(F.broadcast(_scene_days(scenes, scene_time, half).withColumnRenamed("_day", day)), day, "left_semi").select(*positions.columns)
     pos = (positions
            .where(F.col(ts).isNotNull() & F.col(lon).isNotNull() & F.col(lat).isNotNull())
            .select("*", F.floor(epoch_micros(F.col(ts), ts_type) / F.lit(width)).alias("_tb"),
@@ -222,9 +252,10 @@ def interpolate_pairs(pairs: DataFrame, *, keys: Sequence[str] = ("mmsi", "api_i
 
 def predict_positions(positions: DataFrame, scenes: DataFrame, minutes: float = 10, *,
                       digits: int | None = None, cell_size: float = 1.0,
-                      carry: Sequence[str] = ("ship_type", "length"), salt: int = 1) -> DataFrame:
-    """E2 -> E3/E5 -> E6 as one plan: a single shuffle after the (broadcast) join."""
-    m = match_window(positions, scenes, minutes, cell_size=cell_size, salt=salt)
+                      carry: Sequence[str] = ("ship_type", "length"), salt: int = 1, day: str | None = None) -> DataFrame:
+    """E2 -> E3/E5 -> E6 as one plan: a single shuffle after the (broadcast) join.  ``day`` as in ``match_window``."""
+    m = match_window(positions, scenes, minutes, cell_size=cell_size, salt=salt, day=day)
+    m = m.drop(day) if day else m
     pairs = nearest_before_after(m)
     return interpolate_pairs(pairs, digits=digits, carry=carry,
                              columns=["id", "mmsi", *carry, "api_id", "sensing_time", "lon", "lat"])
