@@ -35,11 +35,11 @@ from .common import arrow_schema, shuffle_partitions, span_hashes, stash
 from .pretoken import SPACE, char_classes, char_codes
 
 #: Characters read at once, characters of a batch; documents above this many are dealt out in ranges; UTF-8 bytes of a range.
-PIECE_CHARS, BATCH_CHARS, LONG_CHARS, RANGE_BYTES = 1 << 19, 3 << 20, 1 << 15, 1 << 13
+PIECE_CHARS, BATCH_CHARS, LONG_CHARS, RANGE_BYTES = 1 << 18, 3 << 20, 1 << 15, 1 << 13
 #: Bits of an id of b in a pair, and of a pair below a row's number: vocabularies of up to 2**20 ids.
 B_BITS, ROW_BITS = 20, 40
 #: Fragments composed by one task at a time, and distinct units kept by a worker (it only saves work).
-FAN, KEEP_UNITS = 8, 400_000
+FAN, KEEP_UNITS = 8, 250_000
 #: Distinct units given to the libraries as one text.
 JOINED_UNITS = 2000
 
@@ -326,6 +326,14 @@ def widened(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, {1: "u1", 2: "<u2", 4: "<u4"}[len(raw) // n]).astype(np.int64)
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[tuple[int | None, str | None]]:
+    """The rows of two columns, few of them in Python at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            part = batch.slice(i, rows)
+            yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+
+
 def read_batches(docs: DataFrame, json_path: str, model_path: str, long_chars: int = LONG_CHARS, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One pass over the texts: a row per short document, a row per batch (its pair table), and a row per range of a long one.
 
@@ -377,29 +385,30 @@ def read_batches(docs: DataFrame, json_path: str, model_path: str, long_chars: i
             zero = [0] * len(ids)
             return rows(len(ids), doc_id=ids, n_a=zero, n_b=zero, n_groups=zero, n_links=zero, groups_sha256=[""] * len(ids))
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not text:
-                    empty.append(doc)
-                elif len(text) > long_chars:
+        for doc, text in _few(batches):
+            if not text:
+                empty.append(doc)
+                if len(empty) == 1000:
+                    yield tokenless(empty)
+                    empty = []
+            elif len(text) > long_chars:
+                number += 1
+                for k, lo, hi, part in ranges(pair, " " + text, range_bytes):
+                    yield rows(1, doc_id=[doc], batch=[number], seq=[k], lo=[lo], hi=[hi], text=[part])
+            else:
+                ids.append(doc)
+                texts.append(" " + text)
+                held += len(text) + 32
+                if held >= PIECE_CHARS:
+                    read()
+                    size += held
+                    ids, texts, held = [], [], 0
+                if size >= BATCH_CHARS:
                     number += 1
-                    for k, lo, hi, part in ranges(pair, " " + text, range_bytes):
-                        yield rows(1, doc_id=[doc], batch=[number], seq=[k], lo=[lo], hi=[hi], text=[part])
-                else:
-                    ids.append(doc)
-                    texts.append(" " + text)
-                    held += len(text) + 32
-                    if held >= PIECE_CHARS:
-                        read()
-                        size += held
-                        ids, texts, held = [], [], 0
-                    if size >= BATCH_CHARS:
-                        number += 1
-                        yield from close(number)
-                        waiting, size = [], 0
-            if empty:
-                yield tokenless(empty)
-                empty = []
+                    yield from close(number)
+                    waiting, size = [], 0
+        if empty:
+            yield tokenless(empty)
         if texts:
             read()
         if waiting:
@@ -434,38 +443,37 @@ def long_documents(found: DataFrame, json_path: str, model_path: str) -> tuple[D
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair.load(json_path, model_path)
         for batch in batches:
-            for x in batch.to_pylist():
+            for x in (x for i in range(0, batch.num_rows, 50) for x in batch.slice(i, 50).to_pylist()):
                 f, links = range_fragment(pair, x["text"], x["lo"], x["hi"])
                 u, n = np.unique(links, return_counts=True)
                 row = (*_fragment_row(x["key"], x["doc_id"], x["seq"], f), u.tolist(), n.tolist())
                 yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, row))], arrow)
 
-    def compose(group: pa.Table) -> pa.Table:
-        got = sorted(group.to_pylist(), key=lambda x: x["seq"])
-        whole = Fragment()
+    ended = "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, more array<long>"
+    kind = arrow_schema(ended)
+
+    def met(group: pa.Table) -> tuple[dict, Fragment]:
+        got, whole = sorted(group.to_pylist(), key=lambda x: x["seq"]), Fragment()
         for x in got:
             whole = whole + _fragment_of(x)
-        row = _fragment_row(got[0]["key"], got[0]["doc_id"], got[0]["seq"] // FAN, whole)
-        return pa.Table.from_pylist([dict(zip(plain.names, row))], plain)
+        return got[0], whole
+
+    def compose(group: pa.Table) -> pa.Table:
+        first, f = met(group)
+        return pa.Table.from_pylist([dict(zip(plain.names, _fragment_row(first["key"], first["doc_id"], first["seq"] // FAN, f)))], plain)
+
+    def finish(group: pa.Table) -> pa.Table:
+        first, f = met(group)
+        w = f.whole()
+        sha = hashlib.sha256(w.closed[:-1]).hexdigest() if w.closed else ""
+        return pa.Table.from_pylist([dict(zip(kind.names, (first["key"], first["doc_id"], *w.n, sha, list(w.pairs))))], kind)
 
     f = stash(r.repartition(shuffle_partitions(spark), "key", "seq").mapInArrow(fragments, made))
     tree = f.select(*plain.names)
-    while last:
+    while last >= FAN:
         tree = tree.groupBy("key", (F.col("seq") / FAN).cast("int")).applyInArrow(compose, FRAGMENT)
         last //= FAN
-    ended = "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, more array<long>"
-    kind = arrow_schema(ended)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x in batch.to_pylist():
-                w = _fragment_of(x).whole()
-                sha = hashlib.sha256(w.closed[:-1]).hexdigest() if w.closed else ""
-                out.append(dict(zip(kind.names, (x["key"], x["doc_id"], *w.n, sha, list(w.pairs)))))
-            yield pa.RecordBatch.from_pylist(out, kind)
-
-    done = stash(tree.mapInArrow(finish, ended))
+    done = stash(tree.groupBy("key").applyInArrow(finish, ended))  # at most FAN fragments of a document are left
     good = done.where("n_links > 0")
     pairs = (f.join(good.select("key"), "key", "left_semi").select("key", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("key", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
              .unionByName(good.select("key", F.explode("more").alias("pair"), F.lit(1).cast("long").alias("times"))))
