@@ -236,16 +236,8 @@ def _piece_box_area(rx: pd.Series, ry: pd.Series, x0: pd.Series, y0: pd.Series,
     return pd.DataFrame({"area": areas, "hit": hits})
 
 
-def water_area(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
-               box=("xmin", "ymin", "xmax", "ymax"), rings: str = "rings",
-               cell_size_m: float = 100_000.0) -> DataFrame:
-    """E7 (D3, D6, D7, F2): per scene, the summed planar EPSG:3857 area of
-    (scene box ∩ water polygon) over all water polygons touching the box
-    (overlaps count twice, as in the reference); NULL when none touches.
-
-    ``scenes``: key + lon/lat box; ``water``: polygons in EPSG:3857.  Water is
-    cut into cells exactly (no margin) so per-cell areas simply add up.
-    """
+def _scene_water_areas(scenes: DataFrame, water: DataFrame, carry: list[str], key: str, box, rings: str, cell_size_m: float) -> DataFrame:
+    """(_k, carried columns of water, _a): every piece of water that a scene's box reaches, with the area they share."""
     xmin, ymin, xmax, ymax = box
     sc = scenes.select(F.col(key).alias("_k"),
                        mercator_x(xmin).alias("_mx0"), mercator_y(ymin).alias("_my0"),
@@ -256,8 +248,8 @@ def water_area(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
                                                   F.floor(F.col("_mx1") / cell_size_m))))
           .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("_my0") / cell_size_m),
                                                   F.floor(F.col("_my1") / cell_size_m)))))
-    pieces = (split_by_cell(water.select(rings), cell_size_m, rings=rings, margin=0.0)
-              .select("_cx", "_cy",
+    pieces = (split_by_cell(water.select(*carry, rings), cell_size_m, rings=rings, margin=0.0)
+              .select(*carry, "_cx", "_cy",
                       F.expr("transform(_rings, r -> transform(r, p -> p.x))").alias("_rx"),
                       F.expr("transform(_rings, r -> transform(r, p -> p.y))").alias("_ry"),
                       F.array_min(F.flatten(F.expr("transform(_rings, r -> transform(r, p -> p.x))"))).alias("_px0"),
@@ -268,7 +260,28 @@ def water_area(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
             & (pieces["_px0"] <= sc["_mx1"]) & (pieces["_px1"] >= sc["_mx0"])
             & (pieces["_py0"] <= sc["_my1"]) & (pieces["_py1"] >= sc["_my0"]))
     pairs = sc.join(pieces, cond, "inner")
-    ab = pairs.select("_k", _piece_box_area("_rx", "_ry", "_mx0", "_my0", "_mx1", "_my1").alias("_a"))
+    return pairs.select("_k", *carry, _piece_box_area("_rx", "_ry", "_mx0", "_my0", "_mx1", "_my1").alias("_a"))
+
+
+def water_area(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
+               box=("xmin", "ymin", "xmax", "ymax"), rings: str = "rings",
+               cell_size_m: float = 100_000.0) -> DataFrame:
+    """E7 (D3, D6, D7, F2): per scene, the summed planar EPSG:3857 area of
+    (scene box ∩ water polygon) over all water polygons touching the box
+    (overlaps count twice, as in the reference); NULL when none touches.
+
+    ``scenes``: key + lon/lat box; ``water``: polygons in EPSG:3857.  Water is
+    cut into cells exactly (no margin) so per-cell areas simply add up.
+    """
+    ab = _scene_water_areas(scenes, water, [], key, box, rings, cell_size_m)
     per_scene = (ab.where(F.col("_a.hit")).groupBy("_k")
                  .agg(F.sum("_a.area").alias("water_area")))
     return scenes.join(per_scene, scenes[key] == per_scene["_k"], "left").drop("_k")
+
+
+def scenes_on_water(scenes: DataFrame, water: DataFrame, *, key: str = "api_id", water_key: str = "id",
+                    box=("xmin", "ymin", "xmax", "ymax"), rings: str = "rings", cell_size_m: float = 100_000.0) -> DataFrame:
+    """(scene key, water key, area) of every scene box and water polygon that intersect, touching edges and corners
+    included (area 0).  Arguments as in ``water_area``."""
+    ab = _scene_water_areas(scenes, water, [water_key], key, box, rings, cell_size_m)
+    return ab.where(F.col("_a.hit")).groupBy(F.col("_k").alias(key), water_key).agg(F.sum("_a.area").alias("area"))

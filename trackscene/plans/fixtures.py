@@ -58,6 +58,36 @@ def scenes(spark: SparkSession, d: str) -> DataFrame:
                     (F.lit(12.0) + k % 3).alias("xmax"), (F.lit(57.0) + k % 2).alias("ymax"))
 
 
+def catalog(spark: SparkSession, d: str) -> DataFrame:
+    """A scene catalog that grows with the data: a scene for each supplier, several a day, boxes on quarter degrees."""
+    k = F.col("s_suppkey").cast("bigint")
+    s = table(spark, d, "supplier").select(k.alias("k"))
+    x, y = F.lit(4.0) + (F.col("k") % 64) / F.lit(4.0), F.lit(50.0) + (F.col("k") * 7 % 48) / F.lit(4.0)
+    return s.select(F.concat(F.lit("S2_"), F.col("k").cast("string")).alias("api_id"),
+                    (F.lit("2024-01-01 10:30:00").cast("timestamp_ntz") + F.make_dt_interval((F.col("k") % 60).cast("int"), F.lit(0), F.lit(0), F.lit(0))).alias("sensing_time"),
+                    ((F.col("k") * 37 % 100) / F.lit(10.0)).alias("cloud_cover"),
+                    x.alias("xmin"), y.alias("ymin"), (x + 4.0).alias("xmax"), (y + 3.0).alias("ymax"))
+
+
+def seas(spark: SparkSession, d: str) -> DataFrame:
+    """Water boxes that grow with the data; their edges lie on quarter degrees too, so that some only touch a scene."""
+    k = F.col("s_suppkey").cast("bigint")
+    s = table(spark, d, "supplier").select(k.alias("k"))
+    x, y = F.lit(3.0) + (F.col("k") * 13 % 84) / F.lit(4.0), F.lit(49.0) + (F.col("k") * 11 % 60) / F.lit(4.0)
+    return s.select(F.col("k").alias("id"), x.alias("xmin"), y.alias("ymin"), (x + F.lit(0.75) + (F.col("k") % 3) / F.lit(4.0)).alias("xmax"),
+                    (y + F.lit(0.5) + (F.col("k") % 2) / F.lit(4.0)).alias("ymax"))
+
+
+def sea_polygons(spark: SparkSession, d: str) -> DataFrame:
+    return seas(spark, d).select("id", F.array(box_ring("xmin", "ymin", "xmax", "ymax")).alias("rings"))
+
+
+def passes(spark: SparkSession, d: str) -> DataFrame:
+    """Every scene with two sensing times under one api_id, ninety minutes apart."""
+    s = scenes(spark, d)
+    return s.unionByName(s.withColumn("sensing_time", F.col("sensing_time") + F.make_dt_interval(F.lit(0), F.lit(1), F.lit(30), F.lit(0))))
+
+
 def water(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "region")
     k = F.col("r_regionkey")
@@ -115,6 +145,17 @@ WATER_SQL = """SELECT CAST(r_regionkey AS BIGINT) AS id, 8e0 + r_regionkey*1.2e0
        8.9e0 + r_regionkey*1.2e0 AS xmax, 55.7e0 + r_regionkey*0.5e0 AS ymax
 FROM region"""
 
+CATALOG_SQL = """SELECT concat('S2_', k) AS api_id, CAST('2024-01-01 10:30:00' AS TIMESTAMP) + (k % 60) * INTERVAL '1' DAY AS sensing_time,
+       (k*37 % 100)/10e0 AS cloud_cover, 4e0 + (k % 64)/4e0 AS xmin, 50e0 + (k*7 % 48)/4e0 AS ymin,
+       8e0 + (k % 64)/4e0 AS xmax, 53e0 + (k*7 % 48)/4e0 AS ymax
+FROM (SELECT CAST(s_suppkey AS BIGINT) AS k FROM supplier) s"""
+
+SEAS_SQL = """SELECT k AS id, 3e0 + (k*13 % 84)/4e0 AS xmin, 49e0 + (k*11 % 60)/4e0 AS ymin,
+       3.75e0 + (k*13 % 84)/4e0 + (k % 3)/4e0 AS xmax, 49.5e0 + (k*11 % 60)/4e0 + (k % 2)/4e0 AS ymax
+FROM (SELECT CAST(s_suppkey AS BIGINT) AS k FROM supplier) s"""
+
+PASSES_SQL = "SELECT * FROM scenes UNION ALL SELECT * REPLACE (sensing_time + INTERVAL '90' MINUTE AS sensing_time) FROM scenes"
+
 MATCHED_SQL = f"""SELECT a.*, s.api_id, s.sensing_time,
          CASE WHEN ts <= sensing_time THEN 'before' ELSE 'after' END AS rel,
          abs({us('sensing_time', 'ts')})/1e6 AS time_diff

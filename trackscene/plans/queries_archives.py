@@ -54,7 +54,7 @@ def q_archive_ranges(spark: SparkSession, d: str) -> DataFrame:
 
 @register("archive_filter", with_views("""
 SELECT key FROM r WHERE zip_start IS NOT NULL AND zip_end > DATE '2024-01-15' AND zip_start < DATE '2024-06-01'
-   AND contains(key, 'aisdk')""", "archive_dates", extra={"keys": KEYS_SQL, "r": """
+   AND contains(key, '2024-04')""", "archive_dates", extra={"keys": KEYS_SQL, "r": """
 SELECT key,
        CASE WHEN regexp_matches(key, '^raw/ais/aisdk-\\d+-\\d+\\.zip$')
             THEN CAST(strptime(regexp_extract(key, 'aisdk-(\\d+-\\d+)\\.zip', 1) || '-01', '%Y-%m-%d') AS DATE)
@@ -66,7 +66,7 @@ SELECT key,
             THEN CAST(strptime(regexp_extract(key, 'aisdk-(\\d+-\\d+-\\d+)\\.zip', 1), '%Y-%m-%d') + INTERVAL '1' DAY AS DATE) END AS zip_end
 FROM keys"""}))
 def q_archive_filter(spark: SparkSession, d: str) -> DataFrame:
-    return ar.filter_archives(archive_keys(spark, d), "2024-01-15", "2024-06-01", key_contains="aisdk")
+    return ar.filter_archives(archive_keys(spark, d), "2024-01-15", "2024-06-01", key_contains="2024-04")
 
 
 MEMBERS_SQL = """SELECT 'aisdk-' || strftime(d, '%Y-%m-%d') || '.csv' AS member FROM archive_dates
@@ -92,13 +92,12 @@ def q_needed_members(spark: SparkSession, d: str) -> DataFrame:
 
 @register("download_plan", with_views(f"""
 SELECT DISTINCT {ZIP_SQL} AS zipname, {URL_SQL} AS url FROM archive_dates
-WHERE day(d) IN (1, 15)
-  AND {ZIP_SQL} NOT IN (SELECT {ZIP_SQL} FROM archive_dates
+WHERE {ZIP_SQL} NOT IN (SELECT {ZIP_SQL} FROM archive_dates
                         WHERE month(d) = 12 OR d BETWEEN DATE '2024-05-01' AND DATE '2024-05-15')""",
                                       "archive_dates"))
 def q_download_plan(spark: SparkSession, d: str) -> DataFrame:
     dates = fx.archive_dates(spark, d)
-    wanted = dates.where(F.dayofmonth("d").isin(1, 15)).withColumnRenamed("d", "date")
+    wanted = dates.withColumnRenamed("d", "date")
     stored = dates.where((F.month("d") == 12) | F.col("d").between(F.lit("2024-05-01").cast("date"),
                                                                    F.lit("2024-05-15").cast("date")))
     existing = ar.archive_plan(stored.withColumnRenamed("d", "date"), ARCHIVE_BASE).select("zipname")

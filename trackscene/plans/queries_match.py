@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import match
+from ..session import checkpoint_dir
 from . import fixtures as fx
 from .fixtures import HALF_WINDOW_MIN, us, with_views
 from .registry import register
@@ -37,6 +40,27 @@ def q_closest_fixes_per_scene(spark: SparkSession, d: str) -> DataFrame:
     return match.closest_fixes(matched(spark, d), keys=("mmsi", "api_id"), columns=CLOSEST_COLS)
 
 
+@register("closest_fixes_two_passes", with_views(f"""
+SELECT id, ts, mmsi, lon, lat, ship_type, length, api_id, sensing_time, rel, time_diff FROM (
+  SELECT m.*, row_number() OVER (PARTITION BY api_id, mmsi, rel
+                                 ORDER BY abs({us('sensing_time', 'ts')}), id, sensing_time) AS rnk
+  FROM two m) t
+WHERE rnk = 1""", "ais", "scenes", extra={"passes": fx.PASSES_SQL, "two": fx.MATCHED_SQL.replace("JOIN scenes s", "JOIN passes s")}))
+def q_closest_fixes_two_passes(spark: SparkSession, d: str) -> DataFrame:
+    """E4 where it differs from E3: one api_id has two sensing times, and only the nearest report of both survives."""
+    m = match.match_window(fx.ais(spark, d), fx.passes(spark, d), HALF_WINDOW_MIN)
+    return match.closest_fixes(m, keys=("mmsi", "api_id"), columns=CLOSEST_COLS)
+
+
+@register("closest_fixes_by_day", with_views("SELECT * FROM closest", "closest"))
+def q_closest_fixes_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """E3 on reports laid out by day: only days that a scene's window touches are read."""
+    path = f"{checkpoint_dir(spark)}/by-day-{uuid.uuid4().hex}"
+    match.write_by_day(fx.ais(spark, d), path)
+    m = match.match_window(match.read_by_day(spark, path), fx.scenes(spark, d), HALF_WINDOW_MIN, day="day")
+    return match.closest_fixes(m.drop("day"), columns=CLOSEST_COLS)
+
+
 @register("predict_positions", with_views("SELECT * FROM predicted", "predicted"))
 def q_predict_positions(spark: SparkSession, d: str) -> DataFrame:
     return predicted(spark, d)

@@ -159,7 +159,7 @@ def q_patch_tags(spark: SparkSession, d: str) -> DataFrame:
 def members(spark: SparkSession, d: str) -> DataFrame:
     """Archive listings per scene: a QI_DATA decoy first, a 20 m B02, two 10 m B03
     copies, B08 missing when key % 5 == 0 and TCI missing when key % 3 == 0."""
-    s = fx.scenes(spark, d).select("api_id", F.substring("api_id", 4, 10).cast("int").alias("k"))
+    s = fx.catalog(spark, d).select("api_id", F.substring("api_id", 4, 10).cast("int").alias("k"))
     root = F.concat(F.col("api_id"), F.lit(".SAFE/GRANULE/L2A/"))
     entries = F.array(
         F.concat(root, F.lit("QI_DATA/T_B02_10m.jp2")),
@@ -198,7 +198,7 @@ SELECT f.api_id, f.band, f.member FROM (
 WHERE f.api_id IN (SELECT api_id FROM (
   SELECT m.api_id, count(DISTINCT s.band) AS n
   FROM mem m JOIN sfx s ON contains(m.member, '/IMG_DATA/') AND ends_with(m.member, s.suffix)
-  WHERE s.band <> 'TCI' GROUP BY m.api_id) c WHERE n = 4)""", "scenes", extra={"mem": MEMBERS_SQL, "sfx": SUFFIX_SQL}))
+  WHERE s.band <> 'TCI' GROUP BY m.api_id) c WHERE n = 4)""", extra={"scenes": fx.CATALOG_SQL, "mem": MEMBERS_SQL, "sfx": SUFFIX_SQL}))
 def q_band_complete(spark: SparkSession, d: str) -> DataFrame:
     return rs.band_members(members(spark, d), BANDS + ("TCI",)).select("api_id", "band", "member")
 
