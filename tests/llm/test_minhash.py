@@ -107,13 +107,17 @@ def test_split_and_dealt_pairs_equal_direct_ones(spark, top):
         sig[i, at] = rng.integers(0, 1 << 16, len(at))
     name = lambda i: i.to_bytes(16, "big")
     longs = np.ascontiguousarray(sig).view(np.int64)
-    classes = spark.createDataFrame([(name(i), 100, *map(int, x)) for i, x in enumerate(longs)], "id binary, n long, " + ", ".join(f"{s} long" for s in minhash.SIG))
+    fine = rng.integers(0, 256, (1, minhash.MORE)).astype(np.uint8).repeat(90, 0)
+    fine[::3, :20] = rng.integers(0, 256, fine[::3, :20].shape)
+    longs = np.concatenate([longs, np.ascontiguousarray(fine).view(np.int64)], 1)
+    classes = spark.createDataFrame([(name(i), 100, *map(int, x)) for i, x in enumerate(longs)], "id binary, n long, " + ", ".join(f"{s} long" for s in minhash.SIG + minhash.FINE))
     p = spark.createDataFrame([(5, 1, name(i), name(i)) if i >= top else (5, 1, name(i), name(0)) for i in range(90)],
                               "key long, used int, id binary, component binary")
-    want = {(i, j) for i, j in combinations(range(90), 2) if not (i < top and j < top) and (sig[i] != sig[j]).sum() <= minhash.MOST_APART}
+    want = {(i, j) for i, j in combinations(range(90), 2) if not (i < top and j < top) and (sig[i] != sig[j]).sum() <= minhash.MOST_APART
+            and (sig[i] != sig[j]).sum() + (fine[i] != fine[j]).sum() <= minhash.ALL_APART}
     assert len(want) > 50
-    for few, splits in ((200, 2), (10, 1), (10, 0)):
-        out = minhash.pairs_apart(p, classes, minhash.LEAST, few, splits).distinct().collect()
+    for few, splits, run in ((200, 2, 4096), (200, 2, 5), (10, 1, 5), (10, 0, 5)):
+        out = minhash.pairs_apart(p, classes, minhash.LEAST, few, splits, run).distinct().collect()
         assert {(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in out} == want
 
 
@@ -129,5 +133,6 @@ def test_similar_sets_are_within_the_distance():
                 k = int(rng.integers(0, max(1, int(n * 0.081))))  # k changed members of n: similarity (n - k) / (n + k)
                 y[rng.choice(len(x), k, replace=False)] = rng.integers(0, 1 << 63, k).astype(np.uint64)
                 pairs.append(np.unique(y))
-            sig = minhash.signatures([x, *pairs])[1]
-            assert ((sig[1:] != sig[0]).sum(axis=1) <= minhash.MOST_APART).all()
+            _, sig, fine = minhash.signatures([x, *pairs])
+            apart = (sig[1:] != sig[0]).sum(axis=1)
+            assert (apart <= minhash.MOST_APART).all() and (apart + (fine[1:] != fine[0]).sum(axis=1) <= minhash.ALL_APART).all()

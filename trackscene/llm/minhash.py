@@ -3,20 +3,23 @@
 1. Every text becomes its set of 3-word shingles, and the set a signature of
    ``POSITIONS`` minimum hashes, ``BITS`` bits of each.  Equal sets are one
    class, named by 128 bits, so copies never meet.
-2. Two signatures that differ in at most ``MOST_APART`` positions agree, by
-   pigeonhole, on all but one position of at least one of ``CHUNKS`` chunks.
-   Each class is therefore posted under every chunk with each of its positions
-   left out in turn.  All pairs within the distance share a key; none is lost.
-   A pair of similarity 0.85 is farther apart with a probability below 4e-6.
+2. Two signatures that differ in at most ``MOST_APART`` of their first
+   ``POSITIONS`` positions agree, by pigeonhole, on all but one position of at
+   least one of ``CHUNKS`` chunks.  Each class is therefore posted under every
+   chunk with each of its positions left out in turn.  All pairs within the
+   distance share a key; none is lost.  ``MORE`` further positions sharpen the
+   distance: at most ``ALL_APART`` of all may differ.  A pair of similarity 0.85
+   is farther apart with a probability below 1e-5.
 3. Each class first meets the smallest member of each of its keys, a pair for
    each posting at most, so a large group of near copies falls to few centres.
    Of those within the distance the nearest is verified on the full sets, and
    verified links are joined to components.
-4. What is left are keys with members of several components.  There the members
-   outside the key's largest component meet the others; where they are many, the
-   key is split first by the same argument over the chunks not used yet, and
-   what still is many is dealt in blocks.  Only pairs of different components
-   within the distance leave, and are verified.
+4. What is left are keys with members of several components.  Up to ``RUN``
+   members are compared in one task, in blocks; only pairs of different
+   components within the distance leave it.  In a larger key the members outside
+   its largest component meet the others; where they are many, the key is split
+   first by the same argument over the chunks not used yet, and what still is
+   many is dealt in blocks.  What is found is verified.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,21 +42,25 @@ WORDS, LEAST = 3, (85, 100)
 POSITIONS, BITS, CHUNKS = 32, 16, 8
 PER_CHUNK = POSITIONS // CHUNKS
 MOST_APART = 2 * CHUNKS - 1
-SIG = [f"s{i}" for i in range(POSITIONS * BITS // 64)]
-#: Members of a key outside its largest component that meet the others at once; more are split first.
-FEW = 64
+#: Further positions of a byte each, and positions of all that may differ.
+MORE, ALL_APART = 96, 39
+SIG, FINE = [f"s{i}" for i in range(POSITIONS * BITS // 64)], [f"f{i}" for i in range(MORE // 8)]
+#: Members of a key that one task compares; members outside the largest component that meet the others at once in larger keys.
+RUN, FEW = 4096, 64
 PIECE_BYTES = 1 << 19
 
-_MULT = mix64(np.arange(1, POSITIONS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | ONE
+_MULT = mix64(np.arange(1, POSITIONS + MORE + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | ONE
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(names, signatures) of non-empty sets: 128 bits of each whole set, and its minimum hashes' low bits."""
+def signatures(sets: list[np.ndarray], fine: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names, signatures, further positions) of non-empty sets: 128 bits of each whole set, and its minimum hashes' low bits."""
     flat = np.concatenate(sets)
     at = np.cumsum([0, *map(len, sets)])[:-1]
     name = np.stack([np.add.reduceat(mix64(flat ^ U64(0x243F6A8885A308D3)), at), np.add.reduceat(mix64(flat * U64(0x13198A2E03707345) + ONE), at)], 1)
-    low = np.stack([np.minimum.reduceat(flat * m, at) for m in _MULT], 1)
-    return name, (mix64(low) & U64((1 << BITS) - 1)).astype(np.uint16)
+    if not fine:
+        return name, np.zeros((len(sets), 0), np.uint16), np.zeros((len(sets), 0), np.uint8)
+    low = mix64(np.stack([np.minimum.reduceat(flat * m, at) for m in _MULT], 1))
+    return name, (low[:, :POSITIONS] & U64((1 << BITS) - 1)).astype(np.uint16), (low[:, POSITIONS:] & U64(255)).astype(np.uint8)
 
 
 def _row_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -64,23 +72,23 @@ def _row_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, lis
 
 
 def profile(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, id, s0, s1, ... of every row: size, name and signature of its set; null names for empty sets."""
-    kinds = "doc_id long, n long, id binary, " + ", ".join(f"{s} long" for s in SIG)
+    """doc_id, n, id, s0, s1, ..., f0, ... of every row: size, name and signature of its set; null names for empty sets."""
+    kinds = "doc_id long, n long, id binary, " + ", ".join(f"{s} long" for s in SIG + FINE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, sets in _row_sets(batch, words):
                 n = np.array([len(s) for s in sets])
                 full = np.flatnonzero(n)
-                ids, sig = [None] * len(sets), np.zeros((len(sets), len(SIG)), np.int64)
+                ids, sig = [None] * len(sets), np.zeros((len(sets), len(SIG) + len(FINE)), np.int64)
                 if len(full):
                     with np.errstate(over="ignore"):
-                        name, low = signatures([sets[i] for i in full])
-                    sig[full] = low.view(np.int64)
+                        name, low, more = signatures([sets[i] for i in full])
+                    sig[full] = np.concatenate([np.ascontiguousarray(low).view(np.int64), np.ascontiguousarray(more).view(np.int64)], 1)
                     for i, x in zip(full, name):
                         ids[i] = x.tobytes()
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
-                                                  *map(pa.array, sig.T.copy())], names=["doc_id", "n", "id", *SIG])
+                                                  *map(pa.array, sig.T.copy())], names=["doc_id", "n", "id", *SIG, *FINE])
 
     return stash(docs.select("doc_id", "text").mapInArrow(run, kinds))
 
@@ -106,10 +114,13 @@ def chunk_keys(sig: np.ndarray, skip: np.ndarray, seed: np.ndarray, errors: int)
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(used)
 
 
+def _longs(batch: pa.RecordBatch, names: list[str], kind) -> np.ndarray:
+    longs = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in names], 1)
+    return np.ascontiguousarray(longs).view(kind).reshape(len(longs), -1)
+
+
 def _sig_of(batch: pa.RecordBatch) -> np.ndarray:
-    at = batch.schema.names.index(SIG[0])
-    longs = np.stack([batch.column(at + i).to_numpy(zero_copy_only=False) for i in range(len(SIG))], 1)
-    return np.ascontiguousarray(longs).view(np.uint16).reshape(len(longs), POSITIONS)
+    return _longs(batch, SIG, np.uint16)
 
 
 def posted(classes: DataFrame) -> DataFrame:
@@ -127,15 +138,17 @@ def posted(classes: DataFrame) -> DataFrame:
 
 
 def within(pairs: DataFrame) -> DataFrame:
-    """(a, b, apart) of the pairs whose signatures, in x.s0, ... and y.s0, ..., differ in at most MOST_APART positions."""
+    """(a, b, apart) of the pairs whose signatures, in the columns of the structs x and y, are within the distance."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (_sig_of(batch.select([*[f"{t}{s}" for s in SIG]]).rename_columns(SIG)) for t in "xy")
-            apart = (x != y).sum(axis=1) if batch.num_rows else np.zeros(0, np.int64)
-            near = pa.array(apart <= MOST_APART)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart.astype(np.int32))], names=["a", "b", "apart"]).filter(near)
-
-    sig = [F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "xy" for s in SIG]
+            if not batch.num_rows:
+                continue
+            apart, far = ((_longs(batch, [f"x{c}" for c in names], kind) != _longs(batch, [f"y{c}" for c in names], kind)).sum(axis=1)
+                          for names, kind in ((SIG, np.uint16), (FINE, np.uint8)))
+            near = pa.array((apart <= MOST_APART) & (apart + far <= ALL_APART))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((apart + far).astype(np.int32))], names=["a", "b", "apart"]).filter(near)
+
+    sig = [F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "xy" for s in SIG + FINE]
     return pairs.select("a", "b", *sig).mapInArrow(run, "a binary, b binary, apart int")
 
 
@@ -163,7 +176,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
                 full = [s for s in sets if len(s)]
                 if full:
                     with np.errstate(over="ignore"):
-                        names = [x.tobytes() for x in signatures(full)[0]]
+                        names = [x.tobytes() for x in signatures(full, fine=False)[0]]
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([s.tobytes() for s in full], pa.binary())], names=["id", "s"])
 
     # rows that repeat a set (repeated or null ids) give it more than once
@@ -180,28 +193,34 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     return stash(j.mapInArrow(test, "a binary, b binary, linked boolean"))
 
 
-def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: int = FEW, splits: int = 2) -> DataFrame:
+def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: int = FEW, splits: int = 2, run: int = RUN) -> DataFrame:
     """(a, b): all pairs of a key of ``p`` (key, used, id, component) within the distance and of different components.
 
-    In each key the members outside its largest component meet all members of
-    other components; so a key of one large group and a few others costs few
-    pairs for each member.  Keys with more than ``few`` others are split first.
+    Keys of up to ``run`` members are compared in one task.  In a larger key the
+    members outside its largest component meet all members of other components;
+    so a key of one large group and a few others costs few pairs for each
+    member.  Larger keys with more than ``few`` others are split first.
     """
     sizes = p.groupBy("key", "component").agg(F.count("*").alias("c"))
     key = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "component")).alias("top"))
-    key = key.select("key", (F.col("m") - F.col("top.c")).alias("others"), F.col("top.component").alias("top")).where("others > 0")
-    p = stash(p.join(key, "key").join(classes.select("id", "n", *SIG), "id"))
-    some = p.where(F.col("others") <= few)
-    many = p.where(F.col("others") > few)
+    key = stash(key.select("key", "m", (F.col("m") - F.col("top.c")).alias("others"), F.col("top.component").alias("top")).where("others > 0"))
+    full = classes.select("id", "n", *SIG, *FINE)
+    found = _compared(p.join(key.where(F.col("m") <= run).select("key"), "key").join(full, "id"), least)
+    if not key.where(F.col("m") > run).limit(1).count():
+        return found
+    large = stash(p.join(key.where(F.col("m") > run).drop("m"), "key").join(full, "id"))
+    some = large.where(F.col("others") <= few)
+    many = large.where(F.col("others") > few)
+    found = found.union(_met(some, ["key"], least))
     if not many.limit(1).count():
-        return _met(some, ["key"], least)
+        return found
     if not splits:  # the rest in blocks of the others, which every member meets in turn
         blocks = F.ceil(F.col("others") / few).cast("int")
         block = F.when(F.col("component") != F.col("top"), F.pmod(F.xxhash64("id"), blocks).cast("int"))
         cells = many.withColumn("own", block).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        return _met(some, ["key"], least).union(_met(cells, ["key", "block"], least, (F.col("own") == F.col("block"))))
+        return found.union(_met(cells, ["key", "block"], least, (F.col("own") == F.col("block"))))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             used = batch.column(1).to_numpy(zero_copy_only=False)
             for done in np.unique(used):  # the chunks left over share the errors that may be left
@@ -214,8 +233,56 @@ def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: i
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((done | (1 << c)).astype(np.int32)), more.column(2), more.column(3)],
                                                  names=["key", "used", "id", "component"])
 
-    split = stash(many.select("key", "used", "id", "component", *SIG).mapInArrow(run, "key long, used int, id binary, component binary"))
-    return _met(some, ["key"], least).union(pairs_apart(split, classes, least, few, splits - 1))
+    parts = stash(many.select("key", "used", "id", "component", *SIG).mapInArrow(split, "key long, used int, id binary, component binary"))
+    return found.union(pairs_apart(parts, classes, least, few, splits - 1, run))
+
+
+def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b) of different components within the distance, of keys that fit in a task: members lie together by key."""
+    n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = "key long, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in SIG + FINE)
+    names = [k.split(" ")[0] for k in kinds.split(", ")]
+    d = p.select(*names).repartition(n, "key").sortWithinPartitions("key")
+
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        """Of whole keys lying one after another."""
+        t = t.combine_chunks()
+        key, size = t.column("key").to_numpy(), t.column("n").to_numpy()
+        sig, fine = (_longs(t.to_batches()[0], c, k) for c, k in ((SIG, np.uint16), (FINE, np.uint8)))
+        _, comp = np.unique(np.array(t.column("component").to_pylist(), object), return_inverse=True)
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        left, right = [], []
+        for s, e in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
+            for i in range(s, e - 1):
+                other = np.arange(i + 1, e)
+                other = other[(comp[other] != comp[i]) & (np.minimum(size[other], size[i]) * least[1] >= np.maximum(size[other], size[i]) * least[0])]
+                if len(other):
+                    apart = (sig[other] != sig[i]).sum(axis=1)
+                    other, apart = other[apart <= MOST_APART], apart[apart <= MOST_APART]
+                    other = other[apart + (fine[other] != fine[i]).sum(axis=1) <= ALL_APART]
+                    left.append(np.full(len(other), i))
+                    right.append(other)
+        ids = t.column("id").combine_chunks()
+        x, y = (ids.take(pa.array(np.concatenate(z) if z else np.zeros(0, np.int64))) for z in (left, right))
+        swap = pc.greater(x, y)
+        return pa.RecordBatch.from_arrays([pc.if_else(swap, y, x), pc.if_else(swap, x, y)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            if not t.num_rows:
+                continue
+            key = t.column("key").to_numpy()
+            last = int(np.searchsorted(key, key[-1]))  # the last key may go on
+            held = t.slice(last)
+            if last:
+                yield pairs(t.slice(0, last))
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return d.mapInArrow(run, "a binary, b binary")
 
 
 def _met(p: DataFrame, on: list[str], least: tuple[int, int], mine: Column | None = None) -> DataFrame:
@@ -228,14 +295,14 @@ def _met(p: DataFrame, on: list[str], least: tuple[int, int], mine: Column | Non
     for c in on:
         cond = cond & (F.col(f"x.{c}") == F.col(f"y.{c}"))
     low, high = F.least("x.id", "y.id"), F.greatest("x.id", "y.id")
-    return within(x.join(y, cond).select(low.alias("a"), high.alias("b"), F.struct(*[F.col(f"x.{s}") for s in SIG]).alias("x"),
-                                         F.struct(*[F.col(f"y.{s}") for s in SIG]).alias("y"))).select("a", "b")
+    return within(x.join(y, cond).select(low.alias("a"), high.alias("b"), F.struct(*[F.col(f"x.{s}") for s in SIG + FINE]).alias("x"),
+                                         F.struct(*[F.col(f"y.{s}") for s in SIG + FINE]).alias("y"))).select("a", "b")
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, few: int = FEW) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
-    Two rows are linked when their signatures are within ``MOST_APART`` and the
+    Two rows are linked when their signatures are within the distance and the
     Jaccard similarity of their full shingle sets is at least ``least[0] /
     least[1]``.  component_id is the smallest doc_id reachable over links,
     itself included; kept tells whether that is the row's own.  A text of fewer
@@ -247,7 +314,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = profile(d, words)
-    classes = stash(rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *SIG)]))
+    classes = stash(rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *SIG, *FINE)]))
     p = stash(posted(classes))
     shared = p.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     p = stash(p.join(shared, "key", "left_semi"))
