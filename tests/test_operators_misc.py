@@ -1,5 +1,6 @@
 """Operator behaviours without a registered query twin (A6, A11 all-of, K1 variants, E1 duplicates)."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,42 @@ def test_checkpoint_dir_and_lineage_cut(spark):
     assert cut.count() == 100 and cut.agg({"v": "sum"}).first()[0] == 9900
     assert os.listdir(d)  # the reliable checkpoint was written there
     assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()  # lineage is cut
+
+
+def test_stac_pages_with_odd_values(spark):
+    from trackscene.operators.records import read_stac
+    page = '{"features": [%s]}'
+    ok = '{"id": "A", "properties": {"datetime": "2024-01-02T03:04:05.5Z", "eo:cloud_cover": 7, "proj:epsg": "no number"}, "geometry": null, "bbox": [1, 2.5]}'
+    rows = [(1, page % ok), (2, None), (3, "{"), (4, '{"features": 5}'), (5, page % '{"id": "B", "properties": {"datetime": "soon"}}, 7, {"id": 9}'), (6, page % ""), (7, "[1]")]
+    features, rejects = read_stac(spark.createDataFrame(rows, "page long, json string"))
+    f = features.collect()
+    assert [(r["api_id"], str(r["datetime"]), r["cloud_cover"], r["proj_epsg"], r["bbox"]) for r in f] == [("A", "2024-01-02 03:04:05.500000", 7.0, None, "[1.0, 2.5]")]
+    assert sorted(map(tuple, rejects.collect()), key=str) == [(2, None, "no JSON"), (3, None, "no JSON"), (4, None, "no features"), (5, 0, "bad datetime"), (7, None, "no features")]
+    empty, none = read_stac(spark.createDataFrame([], "page long, json string"))
+    assert empty.count() == none.count() == 0
+
+
+def test_augmentation_is_a_function_of_key_seed_and_epoch(spark):
+    from pyspark.sql import functions as F
+
+    from trackscene.operators import raster as ra
+    df = spark.createDataFrame([(i, [float(v) for v in range(12)]) for i in range(400)] + [(400, None)], "id long, px array<double>")
+    a = {r["id"]: r for r in ra.augment_plan(ra.augment(df, "px", 1, 3, 4, 7, 0), "id", 7, 0).collect()}
+    assert a[400]["augmented"] is None
+    b = {r["id"]: r["augmented"] for r in ra.augment(df.repartition(5), "px", 1, 3, 4, 7, 0).collect()}
+    assert b == {k: r["augmented"] for k, r in a.items()}
+    other = {r["id"]: r["augmented"] for r in ra.augment(df, "px", 1, 3, 4, 7, 1).collect()}
+    assert sum(other[i] != b[i] for i in range(400)) > 200
+    for r in a.values():
+        p = r["plan"]
+        if r["augmented"] is not None:
+            x = np.arange(12.0).reshape(3, 4)
+            x = np.fliplr(x) if p["across"] else x
+            x = np.flipud(x) if p["down"] else x
+            x = np.rot90(x, p["turns"]).ravel()
+            np.testing.assert_allclose(r["augmented"], np.maximum(x * p["scale"] + p["shift"], 0) if p["shade"] else x)
+    for part, share in (("across", .5), ("down", .5), ("shade", .5)):
+        assert abs(sum(r["plan"][part] for r in a.values()) / 401 - share) < 0.08
+    assert {r["plan"]["turns"] for r in a.values()} == {0, 1, 2, 3}
+    u = [r[0] for r in df.select(ra.draw("id", 1, 2, 3)).collect()]
+    assert 0 <= min(u) < 0.02 and 0.98 < max(u) < 1 and df.select(F.countDistinct(ra.draw("id", 1, 2, 3))).first()[0] == 401

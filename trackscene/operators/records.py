@@ -88,6 +88,38 @@ def flatten_stac(pages: DataFrame, json_col: str = "json") -> DataFrame:
     return out.dropna(subset=["api_id", "datetime"])
 
 
+def read_stac(pages: DataFrame, page: str = "page", json_col: str = "json") -> tuple[DataFrame, DataFrame]:
+    """A5 + C7 with a report: ``(features, rejects)`` of search-result pages.
+
+    Pages are parsed as VARIANT, so one odd value costs its own field and not
+    the page.  ``features`` has the columns of ``flatten_stac`` with
+    ``datetime`` as a timestamp; rows without ``api_id`` or ``datetime`` are
+    dropped, as in the reference.  ``rejects`` has (page, feature, reason): a
+    page that is no JSON, a page without a list of features, a feature whose
+    datetime cannot be read (``feature`` is its position, null for whole pages).
+    A null page is no JSON.
+    """
+    d = pages.select(F.col(page).alias("_page"), F.try_parse_json(json_col).alias("_doc"))
+    d = d.withColumn("_features", F.try_variant_get("_doc", "$.features", "array<variant>"))
+    bad = d.where(F.col("_features").isNull()).select(
+        F.col("_page").alias("page"), F.lit(None).cast("int").alias("feature"),
+        F.when(F.col("_doc").isNull(), "no JSON").otherwise("no features").alias("reason"))
+    f = d.select("_page", F.posexplode("_features").alias("_at", "_f"))
+    text = F.try_variant_get("_f", "$.properties.datetime", "string")
+    get = {"string": lambda path: F.try_variant_get("_f", path, "string"), "double": lambda path: F.try_variant_get("_f", path, "double"),
+           "int": lambda path: F.try_variant_get("_f", path, "int")}
+    f = f.select("_page", "_at", get["string"]("$.id").alias("api_id"), text.alias("_text"), F.try_to_timestamp(text).alias("datetime"),
+                 get["double"]('$.properties["eo:cloud_cover"]').alias("cloud_cover"), get["string"]("$.properties.platform").alias("platform"),
+                 get["string"]("$.properties.constellation").alias("constellation"), get["int"]('$.properties["proj:epsg"]').alias("proj_epsg"),
+                 F.to_json(F.try_variant_get("_f", "$.geometry", "variant")).alias("geom_geojson"),
+                 F.try_variant_get("_f", "$.bbox", "array<double>").alias("_bbox"))
+    bbox = F.concat(F.lit("["), F.array_join(F.col("_bbox").cast("array<string>"), ", "), F.lit("]"))
+    late = f.where(F.col("_text").isNotNull() & F.col("datetime").isNull()).select(
+        F.col("_page").alias("page"), F.col("_at").alias("feature"), F.lit("bad datetime").alias("reason"))
+    out = f.withColumn("bbox", bbox).drop("_page", "_at", "_text", "_bbox").dropna(subset=["api_id", "datetime"])
+    return out, bad.unionByName(late)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys present more than once (partial aggregation, one shuffle)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timefn import utc_ntz
 from ..operators import archives as ar
 from ..operators import records as rec
 from . import fixtures as fx
@@ -132,7 +133,7 @@ def q_clean_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A5
-def stac_pages(spark: SparkSession, d: str) -> DataFrame:
+def stac_pages(spark: SparkSession, d: str, keep_page: bool = False) -> DataFrame:
     """Scene-search result pages built from events: up to 100 features per page."""
     e = fx.table(spark, d, "events")
     eid = F.col("event_id")
@@ -146,8 +147,10 @@ def stac_pages(spark: SparkSession, d: str) -> DataFrame:
                  .alias("coordinates")).alias("geometry"),
         F.array((eid % 90).cast("double"), (eid % 45).cast("double"),
                 (eid % 90 + 1).cast("double"), (eid % 45 + 1).cast("double")).alias("bbox"))
-    return (e.select((eid / 100).cast("bigint").alias("page"), feat.alias("f"))
-            .groupBy("page").agg(F.to_json(F.struct(F.collect_list("f").alias("features"))).alias("json")))
+    return (e.select((eid / 100).cast("bigint").alias("page"), eid.alias("n"), feat.alias("f"))
+            # a page is an answer of at most 100 features, in the order of their ids
+            .groupBy("page").agg(F.to_json(F.struct(F.transform(F.sort_array(F.collect_list(F.struct("n", "f"))), lambda x: x["f"]).alias("features"))).alias("json"))
+            .select(*(["page"] if keep_page else []), "json"))
 
 
 @register("flatten_json", """
@@ -163,6 +166,40 @@ def q_flatten_json(spark: SparkSession, d: str) -> DataFrame:
     return rec.flatten_stac(stac_pages(spark, d))
 
 
+def damaged_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The pages of ``stac_pages``, some cut off, some an error message, and some features with a time that is none."""
+    p, k = stac_pages(spark, d, keep_page=True), F.col("page")
+    text = F.when(k % 7 == 3, F.expr("substring(json, 1, 120)")).when(k % 11 == 5, F.lit('{"message": "busy"}')).otherwise(
+        F.regexp_replace("json", "T(\\d\\d):(\\d\\d):13Z", "T$1:$2:73Z"))
+    return p.select("page", text.alias("json"))
+
+
+PAGED = """SELECT event_id // 100 AS page, event_id % 13 <> 0 AS named, event_id % 17 <> 0 AS timed, date_trunc('second', ts) AS secs, second(ts) = 13 AS odd,
+       row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS feature, * FROM events"""
+
+
+@register("stac_features", """
+SELECT 'E' || event_id AS api_id, secs AS datetime, value AS cloud_cover, event_type AS platform, 'sentinel-2' AS constellation,
+       CAST(32601 + user_id % 60 AS INTEGER) AS proj_epsg,
+       '[' || CAST(CAST(event_id % 90 AS DOUBLE) AS VARCHAR) || ', ' || CAST(CAST(event_id % 45 AS DOUBLE) AS VARCHAR)
+           || ', ' || CAST(CAST(event_id % 90 + 1 AS DOUBLE) AS VARCHAR) || ', ' || CAST(CAST(event_id % 45 + 1 AS DOUBLE) AS VARCHAR) || ']' AS bbox,
+       CAST(event_id % 90 AS DOUBLE) AS x, CAST(event_id % 45 AS DOUBLE) AS y
+FROM (""" + PAGED + """) e WHERE named AND timed AND NOT odd AND page % 7 <> 3 AND page % 11 <> 5""")
+def q_stac_features(spark: SparkSession, d: str) -> DataFrame:
+    features, _ = rec.read_stac(damaged_pages(spark, d))
+    xy = F.from_json("geom_geojson", "coordinates array<double>")["coordinates"]
+    return features.withColumn("datetime", utc_ntz("datetime")).select("*", xy[0].alias("x"), xy[1].alias("y")).drop("geom_geojson")
+
+
+@register("stac_rejects", """
+SELECT page, CAST(NULL AS INTEGER) AS feature, CASE WHEN page % 7 = 3 THEN 'no JSON' ELSE 'no features' END AS reason
+FROM (SELECT DISTINCT event_id // 100 AS page FROM events) p WHERE page % 7 = 3 OR page % 11 = 5
+UNION ALL
+SELECT page, CAST(feature AS INTEGER), 'bad datetime' FROM (""" + PAGED + """) e WHERE timed AND odd AND page % 7 <> 3 AND page % 11 <> 5""")
+def q_stac_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return rec.read_stac(damaged_pages(spark, d))[1]
+
+
 @register("stac_props", """
 SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
 WHERE json_extract(props, '$.k') IS NOT NULL""")

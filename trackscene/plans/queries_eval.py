@@ -421,3 +421,32 @@ SELECT y_true, y_pred, CAST(sum(n) AS BIGINT) AS n FROM cmf GROUP BY y_true, y_p
 def q_confusion_all_folds(spark: SparkSession, d: str) -> DataFrame:
     pf = predictions(spark, d).join(folds_df(spark, d).select("vec_id", "fold"), "vec_id")
     return ev.confusion_sum(ev.confusion(pf, N_CLASSES, K))
+
+
+# ------------------------------------------------------------------ J9
+def _u(i: int) -> str:
+    return f"CAST(('0x' || substr(md5(vec_id || ':{SEED}:3:{i}'), 1, 13)) AS BIGINT) / 4503599627370496e0"
+
+
+AUGMENT_SQL = f"""
+WITH pt AS ({PT_SQL}),
+u AS (SELECT vec_id, bands, {', '.join(f'{_u(i)} AS u{i}' for i in range(7))} FROM pt),
+p AS (SELECT *, CASE WHEN u2 < 0.5 THEN 1 + CAST(floor(u3 * 3) AS INTEGER) ELSE 0 END AS turns,
+  CASE WHEN u4 < 0.5 THEN 0.9e0 + 0.2e0 * u5 ELSE 1e0 END AS scale, CASE WHEN u4 < 0.5 THEN 0.06e0 * u6 - 0.03e0 ELSE 0e0 END AS shift FROM u),
+-- the pixel (r, c) of a turned image comes from (tr, tc) of the mirrored one, and that from (sr, sc) of the first
+t AS (SELECT *, i // 4 AS r, i % 4 AS c FROM p, (SELECT unnest(range(16)) AS i) x),
+m AS (SELECT *, CASE turns WHEN 0 THEN r WHEN 1 THEN c WHEN 2 THEN 3 - r ELSE 3 - c END AS tr,
+  CASE turns WHEN 0 THEN c WHEN 1 THEN 3 - r WHEN 2 THEN 3 - c ELSE r END AS tc FROM t),
+s AS (SELECT *, 1 + 4 * (CASE WHEN u1 < 0.5 THEN 3 - tr ELSE tr END) + (CASE WHEN u0 < 0.5 THEN 3 - tc ELSE tc END) AS src FROM m),
+g AS (SELECT vec_id, any_value(turns) AS turns, any_value(scale) AS scale, any_value(shift) AS shift, any_value(u4) AS u4,
+  list(i ORDER BY i) AS i, list([bands[1][src], bands[2][src], bands[3][src], bands[4][src]] ORDER BY i) AS px FROM s GROUP BY vec_id)
+SELECT vec_id, turns, list_transform(flatten([list_transform(px, lambda v: v[1]), list_transform(px, lambda v: v[2]), list_transform(px, lambda v: v[3]),
+  list_transform(px, lambda v: v[4])]), lambda v: round(CASE WHEN u4 < 0.5 THEN greatest(v * scale + shift, 0e0) ELSE v END, 6)) AS augmented FROM g"""
+
+
+@register("augment", AUGMENT_SQL)
+def q_augment(spark: SparkSession, d: str) -> DataFrame:
+    p = patches(spark, d).select("vec_id", F.flatten("bands").alias("pixels"))
+    a = ra.augment(p, "pixels", 4, 4, 4, SEED, 3, key="vec_id")
+    turns = ra.augment_plan(p, "vec_id", SEED, 3).select("vec_id", F.col("plan.turns").alias("turns"))
+    return a.join(turns, "vec_id").select("vec_id", "turns", F.transform("augmented", lambda v: F.round(v, 6)).alias("augmented"))
