@@ -153,6 +153,13 @@ def _edges_expr(ring: str) -> str:
             f"(a, b) -> named_struct('ax', a.x, 'ay', a.y, 'bx', b.x, 'by', b.y))")
 
 
+def crossings_sql(px: str, py: str, rings: str) -> str:
+    """How many edges of all rings a ray from the point to the right crosses: odd inside."""
+    return (f"aggregate({rings}, 0, (acc, r) -> acc + size(filter({_edges_expr('r')}, e -> "
+            f"(e.ay > {py}) <> (e.by > {py}) AND "
+            f"{px} < try_divide((e.bx - e.ax) * ({py} - e.ay), e.by - e.ay) + e.ax)))")
+
+
 def point_in_polygon_sql(px: str, py: str, rings: str) -> str:
     """D9 as a SQL expression: inside or on the boundary (holes excluded, hole
     boundary included).  Even-odd crossing count over all rings plus an exact
@@ -162,10 +169,7 @@ def point_in_polygon_sql(px: str, py: str, rings: str) -> str:
               f"(e.bx - e.ax) * ({py} - e.ay) = (e.by - e.ay) * ({px} - e.ax) "
               f"AND {px} BETWEEN least(e.ax, e.bx) AND greatest(e.ax, e.bx) "
               f"AND {py} BETWEEN least(e.ay, e.by) AND greatest(e.ay, e.by)))")
-    crossings = (f"aggregate({rings}, 0, (acc, r) -> acc + size(filter({_edges_expr('r')}, e -> "
-                 f"(e.ay > {py}) <> (e.by > {py}) AND "
-                 f"{px} < try_divide((e.bx - e.ax) * ({py} - e.ay), e.by - e.ay) + e.ax)))")
-    return f"(({on_seg}) OR ({crossings}) % 2 = 1)"
+    return f"(({on_seg}) OR ({crossings_sql(px, py, rings)}) % 2 = 1)"
 
 
 def point_in_polygon(px: str, py: str, rings: str) -> Column:

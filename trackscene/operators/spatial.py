@@ -8,6 +8,9 @@ an equi join on the cell key plus a native point-in-polygon expression, which
 Spark plans as a hash join (broadcast when the measured cell table is small,
 shuffled with AQE skew splitting otherwise) -- never a nested-loop join.
 
+For the semi join the cells are a hierarchical cover (``cover``): cells that no
+edge reaches are merged into larger ones, and points in them skip the ring test.
+
 Cutting is done per polygon in a ``mapInPandas`` task with numpy (recursive
 halving of the cell range, Sutherland-Hodgman clipping), so the cost is
 O(vertices x log(cells)) per polygon.
@@ -23,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geo import (mercator_x, mercator_y, point_in_polygon_sql, rings_from_mercator)
+from ..functions.geo import crossings_sql, mercator_x, mercator_y, rings_from_mercator
+from ..session import stash
 
 
 # ---------------------------------------------------------------- numpy geometry helpers
@@ -136,7 +140,47 @@ def split_polygon(rings_x, rings_y, cell: float, margin: float):
             stack.append((p0, p1, q0, q1, sub, es[emask]))
 
 
+#: Cells of a side merged into one of the next level of a cover, and levels above the finest.
+COVER_FACTOR, COVER_LEVELS = 4, 2
+
+
+def cover_polygon(rings_x, rings_y, cell: float, margin: float):
+    """A hierarchical cover of one polygon: yields (level, cx, cy, rings, edges).
+
+    Cells of level k measure ``cell * COVER_FACTOR**k``.  A cell that no edge
+    reaches lies wholly inside (rings and edges None) or outside (left out), so
+    the inside of a large polygon is few large cells; only cells of level 0 meet
+    its edges, with rings clipped to the cell grown by ``margin`` and the
+    original edges near it.
+    """
+    rings = [_open(rx, ry) for rx, ry in zip(rings_x, rings_y)]
+    rings = [(x, y) for x, y in rings if len(x) >= 3]
+    if not rings:
+        return
+    edges = np.concatenate([np.stack([x, y, np.roll(x, -1), np.roll(y, -1)], axis=1) for x, y in rings])
+    top = cell * COVER_FACTOR ** COVER_LEVELS
+    span = [range(math.floor((edges[:, i].min() - margin) / top), math.floor((edges[:, i].max() + margin) / top) + 1) for i in (0, 1)]
+    stack = [(COVER_LEVELS, cx, cy, rings, edges) for cx in span[0] for cy in span[1]]
+    while stack:
+        level, cx, cy, rs, es = stack.pop()
+        side = cell * COVER_FACTOR ** level
+        box = (cx * side - margin, cy * side - margin, (cx + 1) * side + margin, (cy + 1) * side + margin)
+        near = es[(np.maximum(es[:, 0], es[:, 2]) >= box[0]) & (np.minimum(es[:, 0], es[:, 2]) <= box[2])
+                  & (np.maximum(es[:, 1], es[:, 3]) >= box[1]) & (np.minimum(es[:, 1], es[:, 3]) <= box[3])]
+        cut = [c for c in (clip_ring(x, y, box) for x, y in rs) if len(c[0]) >= 3]
+        if not len(near):  # no edge here: each ring holds all of the cell or nothing of it
+            if len(cut) % 2:
+                yield level, cx, cy, None, None
+        elif not level:
+            yield 0, cx, cy, cut, near
+        elif cut:
+            stack += [(level - 1, cx * COVER_FACTOR + i, cy * COVER_FACTOR + j, cut, near) for i in range(COVER_FACTOR) for j in range(COVER_FACTOR)]
+
+
 # ---------------------------------------------------------------- Spark operators
+#: Pieces of polygons handed from Python to Spark at a time.
+PIECES = 256
+
 _PIECE_FIELDS = [
     T.StructField("_cx", T.LongType()), T.StructField("_cy", T.LongType()),
     T.StructField("_rx", T.ArrayType(T.ArrayType(T.DoubleType()))),
@@ -165,18 +209,17 @@ def split_by_cell(polygons: DataFrame, cell_size: float, *, rings: str = "rings"
     names = [f.name for f in keep]
 
     def cut(batches):
+        columns = names + ["_cx", "_cy", "_rx", "_ry", "_edges"]
+        out = []
         for pdf in batches:
-            out = {n: [] for n in names + ["_cx", "_cy", "_rx", "_ry", "_edges"]}
             for rec in pdf.to_dict("records"):
                 for cx, cy, rs, es in split_polygon(rec["_rx"], rec["_ry"], cell_size, margin):
-                    for n in names:
-                        out[n].append(rec[n])
-                    out["_cx"].append(cx)
-                    out["_cy"].append(cy)
-                    out["_rx"].append([np.append(x, x[0]) for x, _ in rs])
-                    out["_ry"].append([np.append(y, y[0]) for _, y in rs])
-                    out["_edges"].append(list(es))
-            yield pd.DataFrame(out, columns=names + ["_cx", "_cy", "_rx", "_ry", "_edges"])
+                    out.append((*[rec[n] for n in names], cx, cy, [np.append(x, x[0]) for x, _ in rs], [np.append(y, y[0]) for _, y in rs], list(es)))
+                    if len(out) == PIECES:  # a polygon of many cells is handed on in parts
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+        if out:
+            yield pd.DataFrame(out, columns=columns)
 
     pieces = base.mapInPandas(cut, schema)
     ring_structs = F.expr("transform(_rx, (rx, i) -> zip_with(rx, _ry[i], (a, b) -> named_struct('x', a, 'y', b)))")
@@ -185,6 +228,29 @@ def split_by_cell(polygons: DataFrame, cell_size: float, *, rings: str = "rings"
             .drop("_rx", "_ry", "_edges").withColumnRenamed("_edge_list", "_edges"))
 
 
+def cover(polygons: DataFrame, cell_size: float, *, rings: str = "rings", margin: float | None = None) -> DataFrame:
+    """(_level, _cx, _cy, _rings, _edges): the hierarchical cover of all polygons; null rings are cells wholly inside."""
+    margin = cell_size * 1e-3 if margin is None else margin
+    schema = T.StructType([T.StructField("_level", T.IntegerType()), *_PIECE_FIELDS])
+
+    def cut(batches):
+        out = []
+        for pdf in batches:
+            for rx, ry in zip(pdf["_rx"], pdf["_ry"]):
+                for level, cx, cy, rs, es in cover_polygon(rx, ry, cell_size, margin):
+                    out.append((level, cx, cy, None, None, None) if rs is None else
+                               (level, cx, cy, [np.append(x, x[0]) for x, _ in rs], [np.append(y, y[0]) for _, y in rs], list(es)))
+                    if len(out) == PIECES:
+                        yield pd.DataFrame(out, columns=schema.names)
+                        out = []
+        if out:
+            yield pd.DataFrame(out, columns=schema.names)
+
+    pieces = _rings_xy(polygons.select(rings), rings).mapInPandas(cut, schema)
+    return pieces.select("_level", "_cx", "_cy", F.expr("transform(_rx, (rx, i) -> zip_with(rx, _ry[i], (a, b) -> named_struct('x', a, 'y', b)))").alias("_rings"),
+                         F.expr("transform(_edges, e -> named_struct('ax', e[0], 'ay', e[1], 'bx', e[2], 'by', e[3]))").alias("_edges"))
+
+
 def _on_edges_sql(px: str, py: str, edges: str) -> str:
     return (f"exists({edges}, e -> (e.bx - e.ax) * ({py} - e.ay) = (e.by - e.ay) * ({px} - e.ax) "
             f"AND {px} BETWEEN least(e.ax, e.bx) AND greatest(e.ax, e.bx) "
@@ -205,21 +271,31 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, *, lon: str = "lo
         polys = polys.withColumn(rings, rings_from_mercator(rings))
     elif polygon_crs != 4326:
         raise ValueError("polygon_crs must be 4326 or 3857")
-    pieces = split_by_cell(polys, cell_size, rings=rings)
-    pts = (points.withColumn("_pcx", F.floor(F.col(lon) / F.lit(cell_size)))
-           .withColumn("_pcy", F.floor(F.col(lat) / F.lit(cell_size))))
-    inside = F.expr(f"({_on_edges_sql(lon, lat, '_edges')}) OR ({point_in_polygon_sql(lon, lat, '_rings')})")
-    cond = (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & inside
+    # the original edges settle the boundary, the clipped rings the inside: each is tested once
+    inside = F.expr(f"({_on_edges_sql(lon, lat, '_edges')}) OR ({crossings_sql(lon, lat, '_rings')}) % 2 = 1")
+    at = lambda c, side: F.floor(F.col(c) / F.lit(side))
+    key = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(F.col(lon), F.col(lat))
+    if how == "left_semi":
+        # a point in a large inside cell is keyed by that cell, any other by its finest cell: one key a point
+        pieces = stash(cover(polys, cell_size, rings=rings))
+        pts = points.withColumn("_plevel", F.lit(0)).withColumn("_pcx", at(lon, cell_size)).withColumn("_pcy", at(lat, cell_size))
+        for level in range(1, COVER_LEVELS + 1):
+            side = cell_size * COVER_FACTOR ** level
+            full = pieces.where(F.col("_level") == level).select(F.col("_cx").alias("_fx"), F.col("_cy").alias("_fy")).distinct().withColumn("_full", F.lit(True))
+            pts = pts.join(full, (at(lon, side) == F.col("_fx")) & (at(lat, side) == F.col("_fy")), "left")
+            pts = (pts.withColumn("_plevel", F.when(F.col("_full"), level).otherwise(F.col("_plevel")))
+                   .withColumn("_pcx", F.when(F.col("_full"), F.col("_fx")).otherwise(F.col("_pcx")))
+                   .withColumn("_pcy", F.when(F.col("_full"), F.col("_fy")).otherwise(F.col("_pcy"))).drop("_fx", "_fy", "_full"))
+        cond = (pts["_plevel"] == pieces["_level"]) & (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & (F.col("_edges").isNull() | inside)
+    else:
+        pieces = split_by_cell(polys, cell_size, rings=rings)
+        pts = points.withColumn("_pcx", at(lon, cell_size)).withColumn("_pcy", at(lat, cell_size))
+        cond = (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & inside
     if salt > 1:
-        key = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(F.col(lon), F.col(lat))
         pts = pts.withColumn("_psalt", F.pmod(key, F.lit(salt)).cast("int"))
         pieces = pieces.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        cond = ((pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & (pts["_psalt"] == pieces["_salt"])
-                & inside)
-    if how == "left_semi":
-        return pts.join(pieces, cond, "left_semi").drop("_pcx", "_pcy", "_psalt")
-    j = pts.join(pieces, cond, how)
-    return j.drop("_pcx", "_pcy", "_psalt", "_salt", "_cx", "_cy", "_rings", "_edges")
+        cond = cond & (F.col("_psalt") == F.col("_salt"))
+    return pts.join(pieces, cond, how).drop("_plevel", "_pcx", "_pcy", "_psalt", "_salt", "_level", "_cx", "_cy", "_rings", "_edges")
 
 
 _AREA_SCHEMA = T.StructType([T.StructField("area", T.DoubleType()), T.StructField("hit", T.BooleanType())])
