@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from .common import column, pack
 from .pretoken import WordIds, texts_in_pieces
 
+#: Distinct matches a worker keeps (it only saves work), and rows of a batch read at a time.
+KEEP_WORDS, FEW_ROWS = 150_000, 500
 #: The rank of a pair that no merge joins.
 NONE = np.int32(2**31 - 1)
 
@@ -52,7 +54,7 @@ class MergeModel:
         self.sizes = np.array([len(p) for p in parts], np.int64)
         self.begin = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(parts), np.uint8)
-        self.words = WordIds(lambda words: self.replay([w.encode() for w in words]))
+        self.words = WordIds(lambda words: self.replay([w.encode() for w in words]), KEEP_WORDS)
 
     @classmethod
     def load(cls, path: str) -> MergeModel:
@@ -170,7 +172,7 @@ def digests(docs: DataFrame, ranks: str, text: str = "text", with_ids: bool = Fa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = MergeModel.load(ranks)
-        for batch in batches:
+        for batch in (x.slice(i, FEW_ROWS) for x in batches for i in range(0, x.num_rows, FEW_ROWS)):
             for a, b, joined, sizes in texts_in_pieces(batch.column(1)):
                 ids, off = model.words.ids(joined, sizes)
                 raw, run_off = model.decode(ids)
