@@ -35,11 +35,11 @@ from .common import arrow_schema, shuffle_partitions, span_hashes, stash
 from .pretoken import SPACE, char_classes, char_codes
 
 #: Characters read at once, characters of a batch; documents above this many are dealt out in ranges; UTF-8 bytes of a range.
-PIECE_CHARS, BATCH_CHARS, LONG_CHARS, RANGE_BYTES = 1 << 18, 3 << 20, 1 << 15, 1 << 13
+PIECE_CHARS, BATCH_CHARS, LONG_CHARS, RANGE_BYTES = 1 << 19, 3 << 20, 1 << 15, 1 << 13
 #: Bits of an id of b in a pair, and of a pair below a row's number: vocabularies of up to 2**20 ids.
 B_BITS, ROW_BITS = 20, 40
 #: Fragments composed by one task at a time, and distinct units kept by a worker (it only saves work).
-FAN, KEEP_UNITS = 8, 250_000
+FAN, KEEP_UNITS = 8, 500_000
 #: Distinct units given to the libraries as one text.
 JOINED_UNITS = 2000
 
