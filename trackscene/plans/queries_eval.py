@@ -163,6 +163,17 @@ def q_percentile_stats(spark: SparkSession, d: str) -> DataFrame:
     return stats_df(spark, d)
 
 
+@register("percentile_stats_all_folds", with_views(f"""
+SELECT round, band, round(q[1], 6) AS low, round(CASE WHEN q[2] <= q[1] THEN q[1] + 1e-3 ELSE q[2] END, 6) AS high
+FROM (SELECT round, CAST(b - 1 AS BIGINT) AS band, quantile_cont(v, [0.02, 0.98]) AS q
+      FROM (SELECT round, generate_subscripts(bands, 1) AS b, unnest(bands) AS px
+            FROM (SELECT r.range AS round, f.bands FROM range({K}) r JOIN folds f ON f.fold NOT IN (r.range, (r.range + 1) % {K})) x) t,
+           unnest(px) AS u(v)
+      GROUP BY round, b) s""", extra=views("pt", "folds")))
+def q_percentile_stats_all_folds(spark: SparkSession, d: str) -> DataFrame:
+    return qa.percentile_stats_all_folds(folds_df(spark, d), K)
+
+
 def _round_list_sql(e: str) -> str:
     return f"list_transform({e}, lambda x: round(x, 6))"
 
