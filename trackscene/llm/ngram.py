@@ -239,7 +239,9 @@ def jaccard_links(x: np.ndarray, y: np.ndarray, least: tuple[int, int]) -> bool:
 
 def set_table(docs: DataFrame, rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(id, s): the sets of the classes ``ids``, each made from one row that has it."""
-    pick = stash(rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("_pick")).select("_pick").distinct())
+    # one row a class first, so that a class of very many copies is no hot key of the join
+    one = rows.groupBy("id").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("_pick"))
+    pick = stash(one.join(ids, "id", "left_semi").select("_pick").distinct())
     few = pick.count() <= BROADCAST_IDS
     d = docs.join(F.broadcast(pick) if few else pick, F.coalesce(docs["doc_id"], F.lit(-1)) == pick["_pick"], "left_semi")
 
@@ -265,18 +267,21 @@ def set_table(docs: DataFrame, rows: DataFrame, ids: DataFrame, words: int) -> D
     return stash(sets.dropDuplicates(["id"]) if repeated else sets)  # without repeated ids each class was picked once
 
 
-def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame, rows: DataFrame, words: int, least: tuple[int, int],
-             seen: DataFrame | None = None) -> DataFrame:
-    """(a, b, linked) of each pair of classes (a, b) that the bitmaps allow, once, less those in ``seen``."""
+def candidates(pairs: DataFrame, bits: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b, apart): the distinct pairs of classes that the bitmaps allow, and in how many bits these differ."""
     p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    p = p if seen is None else p.join(seen, ["a", "b"], "left_anti")
     x, y = bits.alias("x"), bits.alias("y")
-    p = stash(p.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(_near_bits("x", "y", least)).select("a", "b"))
+    apart = sum((F.bit_count(F.col(f"x.{k}").bitwiseXOR(F.col(f"y.{k}"))) for k in BITS), F.lit(0))
+    return stash(p.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(_near_bits("x", "y", least)).select("a", "b", apart.alias("apart")))
+
+
+def verified(p: DataFrame, docs: DataFrame, rows: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+    """(a, b, linked) of distinct pairs of classes, on their full sets."""
     if not p.limit(1).count():
-        return p.withColumn("linked", F.lit(False))
+        return p.select("a", "b", F.lit(False).alias("linked"))
     sets = set_table(docs, rows, p.select(F.col("a").alias("id")).union(p.select("b")).distinct(), words)
     # merge joins at every size: sets are never broadcast, and a hub of many pairs is a skewed key that Spark splits
-    j = p.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
+    j = p.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
     j = j.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,6 +293,32 @@ def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame, rows: DataFrame
     return stash(j.mapInArrow(run, "a long, b long, linked boolean"))
 
 
+def settled(p: DataFrame, comp: DataFrame | None, seen: DataFrame | None, docs: DataFrame, rows: DataFrame, words: int,
+            least: tuple[int, int]) -> tuple[DataFrame | None, DataFrame | None]:
+    """(components, pairs tried so far) once all pairs ``p`` (a, b, apart) of different components are settled.
+
+    Every class tries its likeliest partner first, the one whose bitmap differs
+    least; what that joins need not be tried, so most sets travel once.
+    """
+    def apart(p: DataFrame) -> DataFrame:
+        if comp is not None:
+            of = lambda c: comp.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+            p = p.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "apart")
+        return p if seen is None else p.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+
+    for likeliest in (True, False):
+        left = apart(p)
+        if likeliest:
+            ends = left.select(F.col("a").alias("id"), "apart", "a", "b").union(left.select("b", "apart", "a", "b"))
+            left = ends.groupBy("id").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+        got = verified(stash(left.select("a", "b")), docs, rows, words, least)
+        new = got.where("linked").limit(1).count()
+        seen = got if seen is None else stash(seen.union(got))
+        if new:
+            comp = components(seen.where("linked"))
+    return comp, seen
+
+
 def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, with_class: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -307,18 +338,17 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     hubs = p.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("pos", "id", "n")).alias("hub"))
     p = stash(p.join(hubs, "g").where("id != hub.id"))
     met = p.alias("x").where(_possible("x", "x.hub", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-    seen = verified(met, bits, d, rows, words, least)
-    comp = components(seen.where("linked"))
+    comp, seen = settled(candidates(met, bits, least), None, None, d, rows, words, least)
+    named = comp if comp is not None else rows.select("id", F.col("id").alias("component")).limit(0)
     # all pairs of an n-gram without its hub, which has met all others, that are still apart
-    c = p.where("m > 2").select("g", "id", "pos").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    c = p.where("m > 2").select("g", "id", "pos").join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = c.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("g")
     c = stash(c.join(open_, "g", "left_semi").join(bits, "id"))
     x, y = c.alias("x"), c.alias("y")
     left = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
                   & _possible("x", "y", least) & _near_bits("x", "y", least)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    rest = verified(left, bits, d, rows, words, least, seen)
-    if rest.where("linked").limit(1).count():
-        comp = components(seen.union(rest).where("linked"))
+    comp, seen = settled(candidates(left, bits, least), comp, seen, d, rows, words, least)
+    comp = comp if comp is not None else named
     classes = (rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc")).join(comp, "id", "left")
                .withColumn("component", F.coalesce("component", "id")))
     named = classes.join(classes.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("id", "component", "component_id")
