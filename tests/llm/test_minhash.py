@@ -110,11 +110,14 @@ def test_split_and_dealt_pairs_equal_direct_ones(spark, top):
     fine = rng.integers(0, 256, (1, minhash.MORE)).astype(np.uint8).repeat(90, 0)
     fine[::3, :20] = rng.integers(0, 256, fine[::3, :20].shape)
     longs = np.concatenate([longs, np.ascontiguousarray(fine).view(np.int64)], 1)
-    classes = spark.createDataFrame([(name(i), 100, *map(int, x)) for i, x in enumerate(longs)], "id binary, n long, " + ", ".join(f"{s} long" for s in minhash.SIG + minhash.FINE))
-    p = spark.createDataFrame([(5, 1, name(i), name(i)) if i >= top else (5, 1, name(i), name(0)) for i in range(90)],
-                              "key long, used int, id binary, component binary")
+    maps = np.zeros((90, len(minhash.MAP)), np.int64)
+    maps[::7, 0] = -1  # 64 bits: more than two sets of 100 may differ in
+    longs = np.concatenate([longs, maps], 1)
+    classes = spark.createDataFrame([(name(i), 100, *map(int, x)) for i, x in enumerate(longs)], "id binary, n long, " + ", ".join(f"{s} long" for s in minhash.ALL))
+    p = spark.createDataFrame([(5, 1, 0, name(i), name(i)) if i >= top else (5, 1, 0, name(i), name(0)) for i in range(90)],
+                              "key long, used int, out int, id binary, component binary")
     want = {(i, j) for i, j in combinations(range(90), 2) if not (i < top and j < top) and (sig[i] != sig[j]).sum() <= minhash.MOST_APART
-            and (sig[i] != sig[j]).sum() + (fine[i] != fine[j]).sum() <= minhash.ALL_APART}
+            and (i % 7 == 0) == (j % 7 == 0) and (sig[i] != sig[j]).sum() + (fine[i] != fine[j]).sum() <= minhash.ALL_APART}
     assert len(want) > 50
     for few, splits, run in ((200, 2, 4096), (200, 2, 5), (10, 1, 5), (10, 0, 5)):
         out = minhash.pairs_apart(p, classes, minhash.LEAST, few, splits, run).distinct().collect()
@@ -136,3 +139,15 @@ def test_similar_sets_are_within_the_distance():
             _, sig, fine = minhash.signatures([x, *pairs])
             apart = (sig[1:] != sig[0]).sum(axis=1)
             assert (apart <= minhash.MOST_APART).all() and (apart + (fine[1:] != fine[0]).sum(axis=1) <= minhash.ALL_APART).all()
+
+
+def test_every_pair_leaves_one_key():
+    rng = np.random.default_rng(2)
+    for apart in (0, 1, 5, 12, 15):
+        a, b = random_pairs(rng, 60, apart)
+        shared = 0
+        for c in range(minhash.CHUNKS):
+            for out in range(minhash.PER_CHUNK):
+                stay = [c * minhash.PER_CHUNK + i for i in range(minhash.PER_CHUNK) if i != out]
+                shared = shared + (minhash._first_key(a != b, c, out) & (a[:, stay] == b[:, stay]).all(axis=1)).astype(int)
+        assert (shared == 1).all()

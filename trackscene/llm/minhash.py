@@ -15,8 +15,10 @@
    Of those within the distance the nearest is verified on the full sets, and
    verified links are joined to components.
 4. What is left are keys with members of several components.  Up to ``RUN``
-   members are compared in one task, in blocks; only pairs of different
-   components within the distance leave it.  In a larger key the members outside
+   members are compared in one task; only pairs of different components leave
+   it that are within the distance and that the parity bitmaps of the sets allow
+   (bits that differ stand for members that differ, so no link is lost), and a
+   pair leaves the first of its keys alone.  In a larger key the members outside
    its largest component meet the others; where they are many, the key is split
    first by the same argument over the chunks not used yet, and what still is
    many is dealt in blocks.  What is found is verified.
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import ONE, U64, mix64, pieces, stash, utf8
 from .components import components
-from .ngram import shingle_sets
+from .ngram import parity, shingle_sets
 
 WORDS, LEAST = 3, (85, 100)
 #: Minimum hashes of a signature, bits kept of each, chunks they are split into, and positions that may differ.
@@ -45,6 +47,9 @@ MOST_APART = 2 * CHUNKS - 1
 #: Further positions of a byte each, and positions of all that may differ.
 MORE, ALL_APART = 96, 39
 SIG, FINE = [f"s{i}" for i in range(POSITIONS * BITS // 64)], [f"f{i}" for i in range(MORE // 8)]
+#: Longs of the parity bitmap of a set.
+MAP = [f"p{i}" for i in range(8)]
+ALL = SIG + FINE + MAP
 #: Members of a key that one task compares; members outside the largest component that meet the others at once in larger keys.
 RUN, FEW = 4096, 64
 PIECE_BYTES = 1 << 19
@@ -73,33 +78,34 @@ def _row_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, lis
 
 def profile(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n, id, s0, s1, ..., f0, ... of every row: size, name and signature of its set; null names for empty sets."""
-    kinds = "doc_id long, n long, id binary, " + ", ".join(f"{s} long" for s in SIG + FINE)
+    kinds = "doc_id long, n long, id binary, " + ", ".join(f"{s} long" for s in ALL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, sets in _row_sets(batch, words):
                 n = np.array([len(s) for s in sets])
                 full = np.flatnonzero(n)
-                ids, sig = [None] * len(sets), np.zeros((len(sets), len(SIG) + len(FINE)), np.int64)
+                ids, sig = [None] * len(sets), np.zeros((len(sets), len(ALL)), np.int64)
                 if len(full):
                     with np.errstate(over="ignore"):
                         name, low, more = signatures([sets[i] for i in full])
-                    sig[full] = np.concatenate([np.ascontiguousarray(low).view(np.int64), np.ascontiguousarray(more).view(np.int64)], 1)
+                    sig[full] = np.concatenate([np.ascontiguousarray(low).view(np.int64), np.ascontiguousarray(more).view(np.int64),
+                                                    np.stack([parity(sets[i]) for i in full])], 1)
                     for i, x in zip(full, name):
                         ids[i] = x.tobytes()
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
-                                                  *map(pa.array, sig.T.copy())], names=["doc_id", "n", "id", *SIG, *FINE])
+                                                  *map(pa.array, sig.T.copy())], names=["doc_id", "n", "id", *ALL])
 
     return stash(docs.select("doc_id", "text").mapInArrow(run, kinds))
 
 
-def chunk_keys(sig: np.ndarray, skip: np.ndarray, seed: np.ndarray, errors: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, chunk) of every way to leave ``errors`` positions out of a chunk not in the bit mask ``skip``.
+def chunk_keys(sig: np.ndarray, skip: np.ndarray, seed: np.ndarray, errors: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, chunk, first position left out) of every way to leave ``errors`` positions out of a chunk not in the bit mask ``skip``.
 
     Signatures that differ in at most ``errors`` positions of a chunk have a
     key of it in common; ``seed`` tells the groups apart in which keys count.
     """
-    rows, keys, used = [], [], []
+    rows, keys, used, out = [], [], [], []
     for c in range(CHUNKS):
         free = np.flatnonzero((skip >> c) & 1 == 0)
         part = sig[free, c * PER_CHUNK:(c + 1) * PER_CHUNK].astype(U64)
@@ -111,7 +117,8 @@ def chunk_keys(sig: np.ndarray, skip: np.ndarray, seed: np.ndarray, errors: int)
             rows.append(free)
             keys.append(h)
             used.append(np.full(len(free), c))
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(used)
+            out.append(np.full(len(free), next((i for i in range(PER_CHUNK) if i not in stay), 0)))
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(used), np.concatenate(out)
 
 
 def _longs(batch: pa.RecordBatch, names: list[str], kind) -> np.ndarray:
@@ -124,31 +131,39 @@ def _sig_of(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def posted(classes: DataFrame) -> DataFrame:
-    """(key, used, id): every class under its keys with one error in a chunk; ``used`` marks the chunk."""
+    """(key, used, out, id): every class under its keys with one error in a chunk; ``used`` marks the chunk, ``out`` is the position left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 none = np.zeros(batch.num_rows, np.int64)
                 with np.errstate(over="ignore"):
-                    row, key, c = chunk_keys(_sig_of(batch), none, none.astype(U64), 1)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((1 << c).astype(np.int32)), batch.column(0).take(pa.array(row))],
-                                                 names=["key", "used", "id"])
+                    row, key, c, out = chunk_keys(_sig_of(batch), none, none.astype(U64), 1)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((1 << c).astype(np.int32)), pa.array(out.astype(np.int32)),
+                                                  batch.column(0).take(pa.array(row))], names=["key", "used", "out", "id"])
 
-    return classes.select("id", *SIG).mapInArrow(run, "key long, used int, id binary")
+    return classes.select("id", *SIG).mapInArrow(run, "key long, used int, out int, id binary")
 
 
-def within(pairs: DataFrame) -> DataFrame:
-    """(a, b, apart) of the pairs whose signatures, in the columns of the structs x and y, are within the distance."""
+def bits_allow(bits: np.ndarray, size: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """Whether sets of ``size`` members together whose bitmaps differ in ``bits`` may be similar enough."""
+    a, b = least
+    return (a + b) * bits <= (b - a) * size
+
+
+def within(pairs: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b, apart) of the pairs, classes in the structs x and y, that are within the distance and that the bitmaps allow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             apart, far = ((_longs(batch, [f"x{c}" for c in names], kind) != _longs(batch, [f"y{c}" for c in names], kind)).sum(axis=1)
                           for names, kind in ((SIG, np.uint16), (FINE, np.uint8)))
-            near = pa.array((apart <= MOST_APART) & (apart + far <= ALL_APART))
+            bits = np.bitwise_count(_longs(batch, [f"x{c}" for c in MAP], np.uint64) ^ _longs(batch, [f"y{c}" for c in MAP], np.uint64)).sum(axis=1, dtype=np.int64)
+            size = sum(batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("xn", "yn"))
+            near = pa.array((apart <= MOST_APART) & (apart + far <= ALL_APART) & bits_allow(bits, size, least))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((apart + far).astype(np.int32))], names=["a", "b", "apart"]).filter(near)
 
-    sig = [F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "xy" for s in SIG + FINE]
+    sig = [F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "xy" for s in ["n", *ALL]]
     return pairs.select("a", "b", *sig).mapInArrow(run, "a binary, b binary, apart int")
 
 
@@ -204,7 +219,7 @@ def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: i
     sizes = p.groupBy("key", "component").agg(F.count("*").alias("c"))
     key = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "component")).alias("top"))
     key = stash(key.select("key", "m", (F.col("m") - F.col("top.c")).alias("others"), F.col("top.component").alias("top")).where("others > 0"))
-    full = classes.select("id", "n", *SIG, *FINE)
+    full = classes.select("id", "n", *ALL)
     found = _compared(p.join(key.where(F.col("m") <= run).select("key"), "key").join(full, "id"), least)
     if not key.where(F.col("m") > run).limit(1).count():
         return found
@@ -227,20 +242,28 @@ def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: i
                 at = np.flatnonzero(used == done)
                 rows = batch.take(pa.array(at))
                 with np.errstate(over="ignore"):
-                    row, key, c = chunk_keys(_sig_of(rows), used[at].astype(np.int64), rows.column(0).to_numpy(zero_copy_only=False).view(U64),
+                    row, key, c, _ = chunk_keys(_sig_of(rows), used[at].astype(np.int64), rows.column(0).to_numpy(zero_copy_only=False).view(U64),
                                              MOST_APART // (CHUNKS - int(done).bit_count()))
                 more = rows.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((done | (1 << c)).astype(np.int32)), more.column(2), more.column(3)],
-                                                 names=["key", "used", "id", "component"])
+                none = pa.nulls(len(row), pa.int32())  # a pair of split keys leaves each of them
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((done | (1 << c)).astype(np.int32)), none, more.column(2), more.column(3)],
+                                                 names=["key", "used", "out", "id", "component"])
 
-    parts = stash(many.select("key", "used", "id", "component", *SIG).mapInArrow(split, "key long, used int, id binary, component binary"))
+    parts = stash(many.select("key", "used", "id", "component", *SIG).mapInArrow(split, "key long, used int, out int, id binary, component binary"))
     return found.union(pairs_apart(parts, classes, least, few, splits - 1, run))
 
 
+def _first_key(differ: np.ndarray, chunk: int, out: int) -> np.ndarray:
+    """Whether the key of ``chunk`` without position ``out`` is the first that pairs differing so have in common."""
+    wrong = differ.reshape(len(differ), CHUNKS, PER_CHUNK)
+    first = np.argmax(wrong.sum(axis=2) <= 1, axis=1)
+    return (first == chunk) & (np.argmax(wrong[:, chunk], axis=1) == out)  # no position wrong: the key without position 0
+
+
 def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
     """(a, b) of different components within the distance, of keys that fit in a task: members lie together by key."""
     n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kinds = "key long, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in SIG + FINE)
+    kinds = "key long, used int, out int, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in ALL)
     names = [k.split(" ")[0] for k in kinds.split(", ")]
     d = p.select(*names).repartition(n, "key").sortWithinPartitions("key")
 
@@ -248,7 +271,8 @@ def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
         """Of whole keys lying one after another."""
         t = t.combine_chunks()
         key, size = t.column("key").to_numpy(), t.column("n").to_numpy()
-        sig, fine = (_longs(t.to_batches()[0], c, k) for c, k in ((SIG, np.uint16), (FINE, np.uint8)))
+        sig, fine, bits = (_longs(t.to_batches()[0], c, k) for c, k in ((SIG, np.uint16), (FINE, np.uint8), (MAP, np.uint64)))
+        chunk, out = (t.column(c).fill_null(-1).to_numpy() for c in ("used", "out"))
         _, comp = np.unique(np.array(t.column("component").to_pylist(), object), return_inverse=True)
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         left, right = [], []
@@ -257,8 +281,12 @@ def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
                 other = np.arange(i + 1, e)
                 other = other[(comp[other] != comp[i]) & (np.minimum(size[other], size[i]) * least[1] >= np.maximum(size[other], size[i]) * least[0])]
                 if len(other):
-                    apart = (sig[other] != sig[i]).sum(axis=1)
-                    other, apart = other[apart <= MOST_APART], apart[apart <= MOST_APART]
+                    differ = sig[other] != sig[i]
+                    apart = differ.sum(axis=1)
+                    near = (apart <= MOST_APART) & bits_allow(np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64), size[other] + size[i], least)
+                    if out[i] >= 0:
+                        near &= _first_key(differ, int(chunk[i]).bit_length() - 1, int(out[i]))
+                    other, apart = other[near], apart[near]
                     other = other[apart + (fine[other] != fine[i]).sum(axis=1) <= ALL_APART]
                     left.append(np.full(len(other), i))
                     right.append(other)
@@ -295,8 +323,8 @@ def _met(p: DataFrame, on: list[str], least: tuple[int, int], mine: Column | Non
     for c in on:
         cond = cond & (F.col(f"x.{c}") == F.col(f"y.{c}"))
     low, high = F.least("x.id", "y.id"), F.greatest("x.id", "y.id")
-    return within(x.join(y, cond).select(low.alias("a"), high.alias("b"), F.struct(*[F.col(f"x.{s}") for s in SIG + FINE]).alias("x"),
-                                         F.struct(*[F.col(f"y.{s}") for s in SIG + FINE]).alias("y"))).select("a", "b")
+    return within(x.join(y, cond).select(low.alias("a"), high.alias("b"), F.struct(*[F.col(f"x.{s}") for s in ["n", *ALL]]).alias("x"),
+                                         F.struct(*[F.col(f"y.{s}") for s in ["n", *ALL]]).alias("y")), least).select("a", "b")
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, few: int = FEW) -> DataFrame:
@@ -314,18 +342,18 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = profile(d, words)
-    classes = stash(rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *SIG, *FINE)]))
+    classes = stash(rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *ALL)]))
     p = stash(posted(classes))
     shared = p.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     p = stash(p.join(shared, "key", "left_semi"))
     x, y = classes.alias("x"), classes.alias("y")
     hubs = p.groupBy("key").agg(F.min("id").alias("hub"))
     star = p.join(hubs, "key").where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    star = within(star.join(y, F.col("b") == F.col("y.id")).join(x, F.col("a") == F.col("x.id")).where(_sizes_allow("x", "y", least)))
+    star = within(star.join(y, F.col("b") == F.col("y.id")).join(x, F.col("a") == F.col("x.id")).where(_sizes_allow("x", "y", least)), least)
     nearest = stash(star.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("x")).select("x.a", "b"))
     seen = verified(nearest, d, classes, words, least)
     comp = components(seen.where("linked"))
-    members = stash(p.join(comp, "id", "left").select("key", "used", "id", F.coalesce("component", "id").alias("component")))
+    members = stash(p.join(comp, "id", "left").select("key", "used", "out", "id", F.coalesce("component", "id").alias("component")))
     left = pairs_apart(members, classes, least, few).distinct()
     tried = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = stash(left.join(tried, ["a", "b"], "left_anti"))
