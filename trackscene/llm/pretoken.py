@@ -26,14 +26,14 @@ def char_classes() -> np.ndarray:
     """The class of every code point, by the pattern's own character classes."""
     if "class" not in _TABLES:
         import regex
-        points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
-        every = "".join(map(chr, points))
+        points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+        every = points.astype("<u4").tobytes().decode("utf-32-le")  # without an object for each character
         got = np.full(len(points), OTHER, np.uint8)
         for kind, pattern in ((SPACE, r"\s+"), (LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
             for m in regex.finditer(pattern, every):
                 got[m.start():m.end()] = kind
         table = np.full(0x110000, OTHER, np.uint8)
-        table[np.array(points)] = got
+        table[points] = got
         _TABLES["class"] = table
         _TABLES["code"] = mix64(np.arange(1, 0x110001, dtype=U64) * U64(0xD1342543DE82EF95))
     return _TABLES["class"]
