@@ -357,10 +357,15 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     left = pairs_apart(members, classes, least, few).distinct()
     tried = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = stash(left.join(tried, ["a", "b"], "left_anti"))
-    if left.limit(1).count():
-        more = verified(left, d, classes, words, least)
-        if more.where("linked").limit(1).count():
-            comp = components(seen.union(more).where("linked"))
+    for one_each in (True, True, False):  # a pair for each class first: what that joins need not be tried
+        if not left.limit(1).count():
+            break
+        some = stash(left.groupBy("a").agg(F.min("b").alias("b")).union(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct()) if one_each else left
+        seen = stash(seen.union(verified(some, d, classes, words, least)))
+        comp = components(seen.where("linked"))
+        of = lambda c: comp.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+        left = left.join(some, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        left = stash(left.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"))
     named = classes.select("id", "doc_id").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = named.join(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("id", "component_id")
     # written first, so that the join below deals both sides out itself and can split a class of many copies
