@@ -118,3 +118,14 @@ def test_bounds_on_time_change_no_match(spark):
     assert a.count() == 61 and sorted(a.collect()) == sorted(b.collect())
     none = scenes.limit(0)
     assert match.match_window(pos, none, 30, between=match.scene_time_range(none)).count() == 0
+
+
+def test_archive_filter_keeps_every_month_of_its_range(spark, scratch):
+    from trackscene.plans import registry
+    registry.load_all()
+    # days 2023-10-01 + key: a month archive before the range, two that reach it, day archives inside and after it, one day twice
+    keys = [0, 92, 130, 152, 183, 214, 244, 244, 250]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{scratch}/orders.parquet")
+    got = sorted(r["key"] for r in registry.QUERIES["archive_filter"](spark, scratch).collect())
+    assert got == ["raw/ais/aisdk-2024-01.zip", "raw/ais/aisdk-2024-02.zip", "raw/ais/aisdk-2024-03-01.zip", "raw/ais/aisdk-2024-04-01.zip",
+                   "raw/ais/aisdk-2024-05-02.zip"]

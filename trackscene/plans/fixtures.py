@@ -114,9 +114,10 @@ def water_triangles(spark: SparkSession, d: str) -> DataFrame:
 
 def archive_dates(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    return (o.select(F.date_add(F.lit("2023-10-01").cast("date"),
-                                (F.col("o_orderkey") % 600).cast("int")).alias("d"))
-            .distinct())
+    # the days as an aggregate: filters on archive names are tried on distinct days, not pushed down to every order
+    return (o.groupBy(F.date_add(F.lit("2023-10-01").cast("date"), (F.col("o_orderkey") % 600).cast("int")).alias("_d"))
+            .agg(F.max(F.date_add(F.lit("2023-10-01").cast("date"), (F.col("o_orderkey") % 600).cast("int"))).alias("d"))
+            .select("d"))
 
 
 # ------------------------------------------------------------------ DuckDB oracle text
