@@ -22,7 +22,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,6 +196,28 @@ def _rings_xy(polygons: DataFrame, rings: str) -> DataFrame:
             .drop(rings))
 
 
+def _with_bounds(polygons: DataFrame, rings: str) -> DataFrame:
+    """Polygons with ``_px0``.. ``_py1``, their bounds, and ``_rect``: whether they are one ring that is just these bounds."""
+    points = F.flatten(F.col(rings))
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    ring = F.get(F.col(rings), F.lit(0))
+    at = lambda i, c: F.get(ring, F.lit(i))[c]
+    turns = lambda a, b: (at(0, a) == at(1, a)) & (at(1, b) == at(2, b)) & (at(2, a) == at(3, a)) & (at(3, b) == at(0, b))
+    closed = (F.size(ring) == 5) & (at(0, "x") == at(4, "x")) & (at(0, "y") == at(4, "y"))
+    rect = (F.size(F.col(rings)) == 1) & closed & (turns("x", "y") | turns("y", "x"))
+    return polygons.select("*", F.array_min(xs).alias("_px0"), F.array_min(ys).alias("_py0"), F.array_max(xs).alias("_px1"),
+                           F.array_max(ys).alias("_py1"), F.coalesce(rect, F.lit(False)).alias("_rect"))
+
+
+def _spread(polygons: DataFrame) -> DataFrame:
+    """Polygons dealt to all cores: few of them fill one small file, yet cutting them is most of the work."""
+    return polygons.repartition(4 * polygons.sparkSession.sparkContext.defaultParallelism)
+
+
+def _cells(lo: str, hi: str, side: float):
+    return F.explode(F.sequence(F.floor(F.col(lo) / F.lit(side)), F.floor(F.col(hi) / F.lit(side))))
+
+
 def split_by_cell(polygons: DataFrame, cell_size: float, *, rings: str = "rings",
                   margin: float | None = None) -> DataFrame:
     """One row per (polygon, grid cell) it reaches: other columns of the polygon,
@@ -306,37 +328,73 @@ def _piece_box_area(rx: pd.Series, ry: pd.Series, x0: pd.Series, y0: pd.Series,
                     x1: pd.Series, y1: pd.Series) -> pd.DataFrame:
     areas, hits = [], []
     for a, b, p, q, r, s in zip(rx, ry, x0, y0, x1, y1):
-        area, hit = polygon_box_area(a, b, (p, q, r, s))
+        area, hit = (0.0, False) if a is None else polygon_box_area(a, b, (p, q, r, s))
         areas.append(area)
         hits.append(hit)
     return pd.DataFrame({"area": areas, "hit": hits})
 
 
-def _scene_water_areas(scenes: DataFrame, water: DataFrame, carry: list[str], key: str, box, rings: str, cell_size_m: float) -> DataFrame:
-    """(_k, carried columns of water, _a): every piece of water that a scene's box reaches, with the area they share."""
+_BOUNDS = ["_px0", "_py0", "_px1", "_py1"]
+
+
+def _scene_cells(scenes: DataFrame, key: str, box, cell_size_m: float) -> DataFrame:
+    """(_k, _mx0.. _my1, _once, _sx, _sy, _cx, _cy): every scene's box in EPSG:3857 in each cell it reaches, with the box's
+    first cell and whether its key comes once."""
     xmin, ymin, xmax, ymax = box
     sc = scenes.select(F.col(key).alias("_k"),
                        mercator_x(xmin).alias("_mx0"), mercator_y(ymin).alias("_my0"),
                        mercator_x(xmax).alias("_mx1"), mercator_y(ymax).alias("_my1"))
-    sc = (sc.where(F.col("_mx0").isNotNull() & F.col("_my0").isNotNull()
-                   & F.col("_mx1").isNotNull() & F.col("_my1").isNotNull())
-          .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("_mx0") / cell_size_m),
-                                                  F.floor(F.col("_mx1") / cell_size_m))))
-          .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("_my0") / cell_size_m),
-                                                  F.floor(F.col("_my1") / cell_size_m)))))
-    pieces = (split_by_cell(water.select(*carry, rings), cell_size_m, rings=rings, margin=0.0)
-              .select(*carry, "_cx", "_cy",
-                      F.expr("transform(_rings, r -> transform(r, p -> p.x))").alias("_rx"),
-                      F.expr("transform(_rings, r -> transform(r, p -> p.y))").alias("_ry"),
-                      F.array_min(F.flatten(F.expr("transform(_rings, r -> transform(r, p -> p.x))"))).alias("_px0"),
-                      F.array_max(F.flatten(F.expr("transform(_rings, r -> transform(r, p -> p.x))"))).alias("_px1"),
-                      F.array_min(F.flatten(F.expr("transform(_rings, r -> transform(r, p -> p.y))"))).alias("_py0"),
-                      F.array_max(F.flatten(F.expr("transform(_rings, r -> transform(r, p -> p.y))"))).alias("_py1")))
-    cond = ((sc["_cx"] == pieces["_cx"]) & (sc["_cy"] == pieces["_cy"])
-            & (pieces["_px0"] <= sc["_mx1"]) & (pieces["_px1"] >= sc["_mx0"])
-            & (pieces["_py0"] <= sc["_my1"]) & (pieces["_py1"] >= sc["_my0"]))
-    pairs = sc.join(pieces, cond, "inner")
-    return pairs.select("_k", *carry, _piece_box_area("_rx", "_ry", "_mx0", "_my0", "_mx1", "_my1").alias("_a"))
+    sc = sc.where((F.col("_mx0") <= F.col("_mx1")) & (F.col("_my0") <= F.col("_my1")))
+    return (sc.withColumn("_once", F.count(F.lit(1)).over(Window.partitionBy("_k")) == 1)
+            .withColumn("_sx", F.floor(F.col("_mx0") / cell_size_m)).withColumn("_sy", F.floor(F.col("_my0") / cell_size_m))
+            .withColumn("_cx", _cells("_mx0", "_mx1", cell_size_m)).withColumn("_cy", _cells("_my0", "_my1", cell_size_m)))
+
+
+def _meet(sc: DataFrame, water: DataFrame):
+    """Scene boxes and water rows of one cell whose bounds meet (merge join: cells hold many rows on both sides)."""
+    cond = ((sc["_cx"] == water["_cx"]) & (sc["_cy"] == water["_cy"])
+            & (water["_px0"] <= sc["_mx1"]) & (water["_px1"] >= sc["_mx0"])
+            & (water["_py0"] <= sc["_my1"]) & (water["_py1"] >= sc["_my0"]))
+    return sc.hint("merge"), water, cond
+
+
+def _shared_bounds():
+    """Area that a scene's box and the bounds of a water row share."""
+    return ((F.least("_mx1", "_px1") - F.greatest("_mx0", "_px0")) * (F.least("_my1", "_py1") - F.greatest("_my0", "_py0")))
+
+
+def _box_water(water: DataFrame, carry: list[str], cell_size_m: float) -> DataFrame:
+    """Water polygons that are boxes, whole, in each cell they reach, with their first cell."""
+    return (water.where("_rect").select(*carry, *_BOUNDS, *[c for c in water.columns if c == "_wonce"])
+            .withColumn("_wx", F.floor(F.col("_px0") / cell_size_m)).withColumn("_wy", F.floor(F.col("_py0") / cell_size_m))
+            .withColumn("_cx", _cells("_px0", "_px1", cell_size_m)).withColumn("_cy", _cells("_py0", "_py1", cell_size_m)))
+
+
+def _areas_on_boxes(sc: DataFrame, boxes: DataFrame, carry: list[str]) -> DataFrame:
+    """(_k, carried columns, area) once per scene and box of water that meet: in the cell of the corner where both begin."""
+    sc, boxes, cond = _meet(sc, boxes)
+    first = (sc["_cx"] == F.greatest("_sx", "_wx")) & (sc["_cy"] == F.greatest("_sy", "_wy"))
+    return sc.join(boxes, cond & first).select("_k", *carry, _shared_bounds().alias("area"))
+
+
+def _areas_on_pieces(sc: DataFrame, water: DataFrame, carry: list[str], rings: str, cell_size_m: float) -> DataFrame:
+    """(_k, carried columns, area) for every scene and piece of other water that meet.  Only pieces that the edge of a
+    scene's box cuts are clipped: one inside it has its own area, and one that fills its bounds (a cell of open water)
+    the shared bounds."""
+    pieces = split_by_cell(_spread(water.where(~F.col("_rect")).select(*carry, rings)), cell_size_m, rings=rings, margin=0.0)
+    pieces = _with_bounds(pieces.select(*carry, "_cx", "_cy", "_rings"), "_rings")
+    pieces = (_rings_xy(pieces, "_rings")
+              .withColumn("_own", _piece_box_area("_rx", "_ry", *[F.lit(float(v)) for v in ("-inf", "-inf", "inf", "inf")])["area"]))
+    sc, pieces, cond = _meet(sc, pieces)
+    pairs = sc.join(pieces, cond)
+    inside = ((F.col("_px0") >= F.col("_mx0")) & (F.col("_px1") <= F.col("_mx1"))
+              & (F.col("_py0") >= F.col("_my0")) & (F.col("_py1") <= F.col("_my1")))
+    plain = F.when(F.col("_rect"), _shared_bounds()).when(inside, F.col("_own"))
+    pairs = pairs.select("_k", *carry, "_mx0", "_my0", "_mx1", "_my1", plain.alias("_plain"),
+                         *[F.when(plain.isNull(), F.col(c)).alias(c) for c in ("_rx", "_ry")])
+    return (pairs.withColumn("_a", _piece_box_area("_rx", "_ry", "_mx0", "_my0", "_mx1", "_my1"))
+            .where(F.col("_plain").isNotNull() | F.col("_a.hit"))
+            .select("_k", *carry, F.coalesce("_plain", "_a.area").alias("area")))
 
 
 def water_area(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
@@ -346,12 +404,13 @@ def water_area(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
     (scene box ∩ water polygon) over all water polygons touching the box
     (overlaps count twice, as in the reference); NULL when none touches.
 
-    ``scenes``: key + lon/lat box; ``water``: polygons in EPSG:3857.  Water is
-    cut into cells exactly (no margin) so per-cell areas simply add up.
+    ``scenes``: key + lon/lat box; ``water``: polygons in EPSG:3857.  Water that
+    is no box is cut into cells exactly (no margin) so per-cell areas simply add up.
     """
-    ab = _scene_water_areas(scenes, water, [], key, box, rings, cell_size_m)
-    per_scene = (ab.where(F.col("_a.hit")).groupBy("_k")
-                 .agg(F.sum("_a.area").alias("water_area")))
+    sc, water = _scene_cells(scenes, key, box, cell_size_m), _with_bounds(water.select(rings), rings)
+    areas = (_areas_on_boxes(sc, _box_water(water, [], cell_size_m), [])
+             .unionByName(_areas_on_pieces(sc, water, [], rings, cell_size_m)))
+    per_scene = areas.groupBy("_k").agg(F.sum("area").alias("water_area"))
     return scenes.join(per_scene, scenes[key] == per_scene["_k"], "left").drop("_k")
 
 
@@ -359,5 +418,14 @@ def scenes_on_water(scenes: DataFrame, water: DataFrame, *, key: str = "api_id",
                     box=("xmin", "ymin", "xmax", "ymax"), rings: str = "rings", cell_size_m: float = 100_000.0) -> DataFrame:
     """(scene key, water key, area) of every scene box and water polygon that intersect, touching edges and corners
     included (area 0).  Arguments as in ``water_area``."""
-    ab = _scene_water_areas(scenes, water, [water_key], key, box, rings, cell_size_m)
-    return ab.where(F.col("_a.hit")).groupBy(F.col("_k").alias(key), water_key).agg(F.sum("_a.area").alias("area"))
+    sc = _scene_cells(scenes, key, box, cell_size_m)
+    water = (_with_bounds(water.select(water_key, rings), rings)
+             .withColumn("_wonce", F.count(F.lit(1)).over(Window.partitionBy(water_key)) == 1))
+    boxes, carry = _box_water(water, [water_key], cell_size_m), [water_key]
+    # keys that come once meet once: their pairs are ready; pieces and repeated keys are summed
+    ready = _areas_on_boxes(sc.where("_once"), boxes.where("_wonce"), carry)
+    parts = (_areas_on_boxes(sc.where("NOT _once"), boxes, carry)
+             .unionByName(_areas_on_boxes(sc.where("_once"), boxes.where("NOT _wonce"), carry))
+             .unionByName(_areas_on_pieces(sc, water, carry, rings, cell_size_m)))
+    return (ready.unionByName(parts.groupBy("_k", water_key).agg(F.sum("area").alias("area")))
+            .select(F.col("_k").alias(key), water_key, "area"))
