@@ -97,3 +97,18 @@ def test_many_boxes_meet_in_time(spark):
     meet = [(a <= c[:, None] + w) & (a + z >= c[:, None]) for a, c, w, z in ((x, u, 0.75, 4), (y, v, 0.5, 3))]
     over = [(a < c[:, None] + w) & (a + z > c[:, None]) for a, c, w, z in ((x, u, 0.75, 4), (y, v, 0.5, 3))]
     assert rest == (over[0] & over[1]).sum() and touching + rest == (meet[0] & meet[1]).sum()
+
+
+def test_scene_select_of_many_scenes_in_time(spark, scratch):
+    import __spark_entry__ as E
+    import duckdb
+    from trackscene.plans.check import rows_hash
+    spark.range(1500).selectExpr("id * 7 + id % 3 AS s_suppkey").coalesce(1).write.parquet(f"{scratch}/supplier.parquet")
+    begun = time.monotonic()
+    rows = E.queries()["scene_select"](spark, scratch).collect()
+    assert time.monotonic() - begun < 60
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW supplier AS SELECT * FROM read_parquet('{scratch}/supplier.parquet/*.parquet')")
+        cur = con.execute(E.oracle_sql()["scene_select"])
+        names, want = [c[0] for c in cur.description], cur.fetchall()
+    assert len(rows) > 500 and rows_hash(rows[0].__fields__, [tuple(r) for r in rows]) == rows_hash(names, want)
