@@ -1,10 +1,13 @@
 """The hierarchical cover: same points as a plain test, few cells for an ocean, bounded batches."""
 import math
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from trackscene.functions.geo import box_ring
 from trackscene.operators import spatial
 
 
@@ -62,3 +65,32 @@ def test_an_ocean_is_few_cells():
 def test_pieces_leave_in_bounded_batches(spark, shapes, monkeypatch):
     seen = spatial.split_by_cell(_polygons(spark, shapes), 0.5)
     assert seen.count() == sum(1 for s in shapes for _ in spatial.split_polygon([[x for x, _ in r] for r in s], [[y for _, y in r] for r in s], 0.5, 5e-4))
+
+
+def test_points_of_many_overlapping_boxes(spark):
+    """Boxes that overlap leave few rows to test, and borders, holes and points that are none stay exact; one by one they took minutes."""
+    n, m = 12_000, 20_000
+    boxes = spark.range(n).selectExpr("id", "id * 13 % 840 / 40D AS xmin", "id * 11 % 601 / 40D AS ymin", "id * 13 % 840 / 40D + 0.75D + id % 3 / 4D AS xmax",
+                                      "id * 11 % 601 / 40D + 0.5D AS ymax").where("xmin NOT BETWEEN 8 AND 12")
+    rings = boxes.select(F.array(box_ring("xmin", "ymin", "xmax", "ymax")).alias("rings"))
+    points = spark.range(m).selectExpr("id", "id * 7919 % 2400 / 100D AS lon", "id * 104729 % 1700 / 100D AS lat")
+    odd = spark.createDataFrame([(m, float("nan"), 1.0), (m + 1, 1.0, float("nan")), (m + 2, None, 1.0), (0, 0.0, 0.0)], "id long, lon double, lat double")
+    begun = time.monotonic()
+    got = sorted(r["id"] for r in spatial.points_in_polygons(points.unionByName(odd), rings).collect())
+    assert time.monotonic() - begun < 60
+    b = np.array(boxes.select("xmin", "ymin", "xmax", "ymax").collect())
+    want = [0] if ((b[:, 0] <= 0) & (b[:, 1] <= 0)).any() else []
+    for r in points.collect():
+        want += [r["id"]] * bool(((b[:, 0] <= r["lon"]) & (r["lon"] <= b[:, 2]) & (b[:, 1] <= r["lat"]) & (r["lat"] <= b[:, 3])).any())
+    assert got == sorted(want) and 0.3 * m < len(got) < 0.95 * m
+    assert spatial._semi_pieces(rings, 1.0, "rings").where("_px0 IS NOT NULL").count() < 2 * n
+
+
+def test_boxes_and_other_polygons_together(spark, shapes):
+    rng = random.Random(10)
+    square = lambda x, y, w, h: [[(x, y), (x + w, y), (x + w, y + h), (x, y + h)]]
+    mixed = [*shapes, square(-40.0, -24.0, 5.5, 3.0), square(44.25, -20.0, 0.5, 40.0), square(50.0, 10.0, 2.0, 0.0), square(45.0, 0.0, 3.0, 3.0)]
+    pts = [(rng.randint(-170, 220) / 4, rng.randint(-100, 100) / 4) for _ in range(1500)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "id long, lon double, lat double")
+    got = sorted(r["id"] for r in spatial.points_in_polygons(df, _polygons(spark, mixed)).collect())
+    assert got == [i for i, p in enumerate(pts) if any(_inside(*p, s) for s in mixed)]

@@ -279,6 +279,34 @@ def _on_edges_sql(px: str, py: str, edges: str) -> str:
             f"AND {py} BETWEEN least(e.ay, e.by) AND greatest(e.ay, e.by))")
 
 
+_BOUNDS = ["_px0", "_py0", "_px1", "_py1"]
+
+#: Boxes of at most so many cells a side are covered by Spark, with cells one level finer than those of other polygons.
+BOX_CELLS, BOX_LEVEL = 4, -1
+
+
+def _semi_pieces(polygons: DataFrame, cell_size: float, rings: str) -> DataFrame:
+    """(_level, _cx, _cy, bounds, _rings, _edges): what a point may lie in, by cell.  Null bounds are cells wholly inside
+    some polygon, null edges polygons that are just their bounds; rows that lie only in whole cells are left out."""
+    margin, fine = cell_size * 1e-3, cell_size * float(COVER_FACTOR) ** BOX_LEVEL
+    cells = lambda lo, hi: F.floor(F.col(hi) / F.lit(cell_size)) - F.floor(F.col(lo) / F.lit(cell_size))
+    polys = _with_bounds(polygons.select(rings), rings)
+    polys = polys.withColumn("_rect", F.coalesce(F.col("_rect") & (cells("_px0", "_px1") < BOX_CELLS) & (cells("_py0", "_py1") < BOX_CELLS), F.lit(False)))
+    reach = (polys.where("_rect").select(*_BOUNDS).distinct()
+             .withColumn("_cx", _cells("_px0", "_px1", fine)).withColumn("_cy", _cells("_py0", "_py1", fine)))
+    spans = lambda c, lo, hi: (F.col(lo) <= F.col(c) * F.lit(fine) - F.lit(margin)) & (F.col(hi) >= (F.col(c) + 1) * F.lit(fine) + F.lit(margin))
+    whole = spans("_cx", "_px0", "_px1") & spans("_cy", "_py0", "_py1")
+    full = reach.where(whole).select("_cx", "_cy").distinct()
+    edge = reach.where(~whole).join(full, ["_cx", "_cy"], "left_anti")
+    up = lambda c: F.floor(F.col(c) / F.lit(COVER_FACTOR)).alias(c)
+    other = cover(_spread(polys.where("NOT _rect")), cell_size, rings=rings, margin=margin)
+    ends = [F.expr(f"concat(transform(flatten(_rings), p -> p.{c}), transform(_edges, e -> e.a{c}), transform(_edges, e -> e.b{c}))") for c in "xy"]
+    other = other.select("*", *[m(e).alias(b) for b, m, e in zip(_BOUNDS, (F.array_min, F.array_min, F.array_max, F.array_max), ends * 2)])
+    return (edge.select(up("_cx"), up("_cy"), *_BOUNDS).distinct().withColumn("_level", F.lit(0))
+            .unionByName(full.withColumn("_level", F.lit(BOX_LEVEL)), allowMissingColumns=True)
+            .unionByName(other, allowMissingColumns=True))
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, *, lon: str = "lon", lat: str = "lat",
                        rings: str = "rings", polygon_crs: int = 4326, cell_size: float = 1.0,
                        how: str = "left_semi", salt: int = 1, id_col: str | None = None) -> DataFrame:
@@ -295,29 +323,31 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, *, lon: str = "lo
         raise ValueError("polygon_crs must be 4326 or 3857")
     # the original edges settle the boundary, the clipped rings the inside: each is tested once
     inside = F.expr(f"({_on_edges_sql(lon, lat, '_edges')}) OR ({crossings_sql(lon, lat, '_rings')}) % 2 = 1")
-    at = lambda c, side: F.floor(F.col(c) / F.lit(side))
+    at = lambda c, side: F.floor(F.nanvl(F.col(c), F.lit(None).cast("double")) / F.lit(side))
     key = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(F.col(lon), F.col(lat))
     if how == "left_semi":
-        # a point in a large inside cell is keyed by that cell, any other by its finest cell: one key a point
-        pieces = stash(cover(polys, cell_size, rings=rings))
+        # a point in a whole inside cell is keyed by that cell, any other by its finest cell: one key a point
+        pieces = stash(_semi_pieces(polys, cell_size, rings))
         pts = points.withColumn("_plevel", F.lit(0)).withColumn("_pcx", at(lon, cell_size)).withColumn("_pcy", at(lat, cell_size))
-        for level in range(1, COVER_LEVELS + 1):
-            side = cell_size * COVER_FACTOR ** level
+        for level in (BOX_LEVEL, *range(1, COVER_LEVELS + 1)):
+            side = cell_size * float(COVER_FACTOR) ** level
             full = pieces.where(F.col("_level") == level).select(F.col("_cx").alias("_fx"), F.col("_cy").alias("_fy")).distinct().withColumn("_full", F.lit(True))
             pts = pts.join(full, (at(lon, side) == F.col("_fx")) & (at(lat, side) == F.col("_fy")), "left")
             pts = (pts.withColumn("_plevel", F.when(F.col("_full"), level).otherwise(F.col("_plevel")))
                    .withColumn("_pcx", F.when(F.col("_full"), F.col("_fx")).otherwise(F.col("_pcx")))
                    .withColumn("_pcy", F.when(F.col("_full"), F.col("_fy")).otherwise(F.col("_pcy"))).drop("_fx", "_fy", "_full"))
-        cond = (pts["_plevel"] == pieces["_level"]) & (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & (F.col("_edges").isNull() | inside)
+        in_box = F.col(lon).between(F.col("_px0"), F.col("_px1")) & F.col(lat).between(F.col("_py0"), F.col("_py1"))
+        cond = ((pts["_plevel"] == pieces["_level"]) & (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"])
+                & F.when(F.col("_px0").isNotNull(), in_box & (F.col("_edges").isNull() | inside)).otherwise(F.lit(True)))
     else:
-        pieces = split_by_cell(polys, cell_size, rings=rings)
+        pieces = split_by_cell(_spread(polys), cell_size, rings=rings)
         pts = points.withColumn("_pcx", at(lon, cell_size)).withColumn("_pcy", at(lat, cell_size))
         cond = (pts["_pcx"] == pieces["_cx"]) & (pts["_pcy"] == pieces["_cy"]) & inside
     if salt > 1:
         pts = pts.withColumn("_psalt", F.pmod(key, F.lit(salt)).cast("int"))
         pieces = pieces.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         cond = cond & (F.col("_psalt") == F.col("_salt"))
-    return pts.join(pieces, cond, how).drop("_plevel", "_pcx", "_pcy", "_psalt", "_salt", "_level", "_cx", "_cy", "_rings", "_edges")
+    return pts.join(pieces, cond, how).drop("_plevel", "_pcx", "_pcy", "_psalt", "_salt", "_level", "_cx", "_cy", "_rings", "_edges", *_BOUNDS)
 
 
 _AREA_SCHEMA = T.StructType([T.StructField("area", T.DoubleType()), T.StructField("hit", T.BooleanType())])
@@ -334,9 +364,6 @@ def _piece_box_area(rx: pd.Series, ry: pd.Series, x0: pd.Series, y0: pd.Series,
     return pd.DataFrame({"area": areas, "hit": hits})
 
 
-_BOUNDS = ["_px0", "_py0", "_px1", "_py1"]
-
-
 def _scene_cells(scenes: DataFrame, key: str, box, cell_size_m: float) -> DataFrame:
     """(_k, _mx0.. _my1, _once, _sx, _sy, _cx, _cy): every scene's box in EPSG:3857 in each cell it reaches, with the box's
     first cell and whether its key comes once."""
