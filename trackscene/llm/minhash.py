@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cap_arrow_bytes
 from .common import ONE, U64, mix64, pieces, stash, utf8
 from .components import components
 from .ngram import parity, shingle_sets
@@ -340,6 +341,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     others but name no component.  An empty table gives no rows, and other
     columns are not read.
     """
+    cap_arrow_bytes(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = profile(d, words)
     classes = stash(rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *ALL)]))

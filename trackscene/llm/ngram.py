@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cap_arrow_bytes
 from .common import BYTE_CODE, ONE, U64, lower_ascii, mix64, pack, pieces, shuffle_partitions, span_hashes, stash, utf8, word_spans
 from .components import components
 
@@ -302,6 +303,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     sets; null ids are linked like others but are no component's name.  An empty
     table gives no rows, and other columns are not read.
     """
+    cap_arrow_bytes(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows, slots = profile(d, words)
     p = postings(d, slots, words, least)

@@ -7,6 +7,7 @@ on a cluster passes its own session and its own ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,6 +54,14 @@ def cap_arrow_batch(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def cap_arrow_bytes(spark: SparkSession, size: int = 1 << 20) -> None:
+    """Rows cross to Python in batches of about ``size`` bytes, not of 10,000 rows whatever their length (never raised)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    m = re.fullmatch(r"(\d+)b?", spark.conf.get(key, None) or "")
+    if m is None or int(m[1]) > size:
+        spark.conf.set(key, str(size))
+
+
 _SCRATCH_CKPT: dict[int, str] = {}
 
 
