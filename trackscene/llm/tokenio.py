@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import cap_arrow_bytes, checkpoint_dir
 from .common import shuffle_partitions, text_of
 from .pretoken import WordIds, texts_in_pieces
 
@@ -107,6 +107,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
     (default: the shuffle partitions) is how many ranges of ids are made; only
     the texts move, once.
     """
+    cap_arrow_bytes(docs.sparkSession)
     n = shards or shuffle_partitions(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     d = d.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
