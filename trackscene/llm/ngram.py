@@ -16,7 +16,9 @@
    different components, so no link between them is lost.
 4. A pair leaves the join only if length, position and the parity bitmaps of
    the two sets allow the similarity (bits that differ stand for n-grams that
-   differ); what leaves is verified once on the sets, after the suffix filter.
+   differ).  Sets too large for that bitmap have a wider one of a bit or two a
+   member, which pairs of them must pass too; what is left is verified once on
+   the sets, after the suffix filter.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ SLOT_BITS, RANGE_BITS = 20, 16
 #: Longs of a class's parity bitmap.
 BITMAP = 8
 BITS = [f"b{i}" for i in range(BITMAP)]
+#: Members beyond which a set has a wide bitmap besides.
+WIDE_FROM = 64 * BITMAP
 #: Postings gathered before they are dealt to buckets, and ids up to which a set of ids is sent to all executors.
 FLUSH, BROADCAST_IDS = 1 << 19, 200_000
 
@@ -85,14 +89,35 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def wide_parity(s: np.ndarray) -> bytes | None:
+    """A parity bitmap of a bit a member at least, its size a power of two; None for sets that the plain one serves."""
+    if len(s) <= WIDE_FROM:
+        return None
+    k = (len(s) - 1).bit_length()
+    bits = np.bincount((mix64(s) >> U64(64 - k)).astype(np.int64), minlength=1 << k) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_allows(x: bytes, y: bytes, n: int, least: tuple[int, int]) -> bool:
+    """Whether the wide bitmaps of two sets of ``n`` members together allow them to be similar enough."""
+    a, b = least
+    x, y = (np.unpackbits(np.frombuffer(w, np.uint8), bitorder="little") for w in (x, y))
+    while len(x) != len(y):  # the larger one folds: neighbours stand for the same leading bits
+        if len(x) > len(y):
+            x = x[0::2] ^ x[1::2]
+        else:
+            y = y[0::2] ^ y[1::2]
+    return (a + b) * int(np.count_nonzero(x != y)) <= (b - a) * n
+
+
 def _signed(x) -> np.ndarray:
     return np.array(x, U64).view(np.int64)
 
 
 def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """((doc_id, n, id, bits): size, digest and bitmap of each row's set; the count table of all shingles)."""
-    names = ["doc_id", "n", "id", "part", "slots", *BITS]
-    kinds = "doc_id long, n long, id long, part int, slots binary, " + ", ".join(f"{b} long" for b in BITS)
+    """((doc_id, n, id, wide, bits): size, digest and bitmaps of each row's set; the count table of all shingles)."""
+    names = ["doc_id", "n", "id", "part", "slots", "wide", *BITS]
+    kinds = "doc_id long, n long, id long, part int, slots binary, wide binary, " + ", ".join(f"{b} long" for b in BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SLOT_BITS, np.int64)
@@ -103,12 +128,13 @@ def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                 slots[:] += np.bincount(at, minlength=len(slots))
 
         for batch in batches:
-            ids, n, d, bits, seen, held = [], [], [], [], [], 0
+            ids, n, d, bits, wide, seen, held = [], [], [], [], [], [], 0
             for doc, s in _sets(batch, words):
                 ids.append(doc)
                 n.append(len(s))
                 d.append(digest(s)[0])
                 bits.append(parity(s))
+                wide.append(wide_parity(s))
                 seen.append(s)
                 held += len(s)
                 if held > 1 << 20:
@@ -117,13 +143,13 @@ def profile(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             count(seen)
             m = len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(_signed(d)),
-                                              pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()),
+                                              pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.array(wide, pa.binary()),
                                               *map(pa.array, np.array(bits, np.int64).reshape(m, BITMAP).T.copy())], names=names)
         if slots.any():
             parts = slots.reshape(-1, 1 << RANGE_BITS)
             m = len(parts)
             yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64())] * 3 + [
-                pa.array(range(m), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), *[pa.nulls(m, pa.int64())] * BITMAP], names=names)
+                pa.array(range(m), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.nulls(m, pa.binary()), *[pa.nulls(m, pa.int64())] * BITMAP], names=names)
 
     def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -268,13 +294,28 @@ def set_table(docs: DataFrame, rows: DataFrame, ids: DataFrame, words: int) -> D
     return stash(sets.dropDuplicates(["id"]) if repeated else sets)  # without repeated ids each class was picked once
 
 
-def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame, rows: DataFrame, words: int, least: tuple[int, int],
+def _near_wide(pairs: DataFrame, wide: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose wide bitmaps allow the similarity; one that lacks a bitmap stays."""
+    j = pairs.join(wide.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")).hint("merge"), "a", "left")
+    j = j.join(wide.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")).hint("merge"), "b", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, wa, wb = batch.column(2).to_pylist(), batch.column(3), batch.column(4)
+            ok = [m is None or wide_allows(wa[i].as_buffer(), wb[i].as_buffer(), m, least) for i, m in enumerate(n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return j.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "wa", "wb").mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, bits: DataFrame, wide: DataFrame, docs: DataFrame, rows: DataFrame, words: int, least: tuple[int, int],
              seen: DataFrame | None = None) -> DataFrame:
     """(a, b, linked) of each pair of classes (a, b) that the bitmaps allow, once, less those in ``seen``."""
     p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     p = p if seen is None else p.join(seen, ["a", "b"], "left_anti")
     x, y = bits.alias("x"), bits.alias("y")
-    p = stash(p.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(_near_bits("x", "y", least)).select("a", "b"))
+    p = p.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(_near_bits("x", "y", least)).select("a", "b")
+    p = stash(_near_wide(p, wide, least))
     if not p.limit(1).count():
         return p.withColumn("linked", F.lit(False))
     sets = set_table(docs, rows, p.select(F.col("a").alias("id")).union(p.select("b")).distinct(), words)
@@ -307,11 +348,13 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows, slots = profile(d, words)
     p = postings(d, slots, words, least)
-    bits = stash(rows.select("id", "n", *BITS).join(p.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
+    posted = p.select("id").distinct()
+    bits = stash(rows.select("id", "n", *BITS).join(posted, "id", "left_semi").dropDuplicates(["id"]))
+    wide = stash(rows.where("wide is not null").select("id", "n", "wide").join(posted, "id", "left_semi").dropDuplicates(["id"]))
     hubs = p.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("pos", "id", "n")).alias("hub"))
     p = stash(p.join(hubs, "g").where("id != hub.id"))
     met = p.alias("x").where(_possible("x", "x.hub", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-    seen = verified(met, bits, d, rows, words, least)
+    seen = verified(met, bits, wide, d, rows, words, least)
     comp = components(seen.where("linked"))
     # all pairs of an n-gram without its hub, which has met all others, that are still apart
     c = p.where("m > 2").select("g", "id", "pos").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -320,7 +363,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     x, y = c.alias("x"), c.alias("y")
     left = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
                   & _possible("x", "y", least) & _near_bits("x", "y", least)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    rest = verified(left, bits, d, rows, words, least, seen)
+    rest = verified(left, bits, wide, d, rows, words, least, seen)
     if rest.where("linked").limit(1).count():
         comp = components(seen.union(rest).where("linked"))
     classes = (rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc")).join(comp, "id", "left")
