@@ -112,3 +112,11 @@ def test_scene_select_of_many_scenes_in_time(spark, scratch):
         cur = con.execute(E.oracle_sql()["scene_select"])
         names, want = [c[0] for c in cur.description], cur.fetchall()
     assert len(rows) > 500 and rows_hash(rows[0].__fields__, [tuple(r) for r in rows]) == rows_hash(names, want)
+
+
+def test_a_filter_makes_the_rings_of_water_once(spark):
+    """Each ring was made anew for every corner that the test for boxes reads, which made plans slow to prepare."""
+    seas = spark.range(50).selectExpr("id", "id % 7 / 4D AS xmin", "id % 5 / 4D AS ymin", "id % 7 / 4D + 1 AS xmax", "id % 5 / 4D + 1 AS ymax")
+    polys = seas.select("id", rings_to_mercator(F.array(box_ring("xmin", "ymin", "xmax", "ymax"))).alias("rings"))
+    plan = spatial._with_bounds(polys, "rings").where("_rect")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("TAN(") <= 4

@@ -198,15 +198,20 @@ def _rings_xy(polygons: DataFrame, rings: str) -> DataFrame:
 
 def _with_bounds(polygons: DataFrame, rings: str) -> DataFrame:
     """Polygons with ``_px0``.. ``_py1``, their bounds, and ``_rect``: whether they are one ring that is just these bounds."""
-    points = F.flatten(F.col(rings))
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    ring = F.get(F.col(rings), F.lit(0))
-    at = lambda i, c: F.get(ring, F.lit(i))[c]
-    turns = lambda a, b: (at(0, a) == at(1, a)) & (at(1, b) == at(2, b)) & (at(2, a) == at(3, a)) & (at(3, b) == at(0, b))
-    closed = (F.size(ring) == 5) & (at(0, "x") == at(4, "x")) & (at(0, "y") == at(4, "y"))
-    rect = (F.size(F.col(rings)) == 1) & closed & (turns("x", "y") | turns("y", "x"))
-    return polygons.select("*", F.array_min(xs).alias("_px0"), F.array_min(ys).alias("_py0"), F.array_max(xs).alias("_px1"),
-                           F.array_max(ys).alias("_py1"), F.coalesce(rect, F.lit(False)).alias("_rect"))
+    def shape(polygon):
+        points = F.flatten(polygon)
+        xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+        ring = F.get(polygon, F.lit(0))
+        at = lambda i, c: F.get(ring, F.lit(i))[c]
+        turns = lambda a, b: (at(0, a) == at(1, a)) & (at(1, b) == at(2, b)) & (at(2, a) == at(3, a)) & (at(3, b) == at(0, b))
+        closed = (F.size(ring) == 5) & (at(0, "x") == at(4, "x")) & (at(0, "y") == at(4, "y"))
+        rect = (F.size(polygon) == 1) & closed & (turns("x", "y") | turns("y", "x"))
+        return F.struct(F.array_min(xs).alias("_px0"), F.array_min(ys).alias("_py0"), F.array_max(xs).alias("_px1"),
+                        F.array_max(ys).alias("_py1"), F.coalesce(rect, F.lit(False)).alias("_rect"))
+
+    # the lambda names the polygon once: a filter on plain columns would make its rings anew for every corner it reads
+    shaped = polygons.select("*", F.get(F.transform(F.array(F.col(rings)), shape), F.lit(0)).alias("_shape"))
+    return shaped.select("*", "_shape.*").drop("_shape")
 
 
 def _spread(polygons: DataFrame) -> DataFrame:
