@@ -120,3 +120,10 @@ def test_a_filter_makes_the_rings_of_water_once(spark):
     polys = seas.select("id", rings_to_mercator(F.array(box_ring("xmin", "ymin", "xmax", "ymax"))).alias("rings"))
     plan = spatial._with_bounds(polys, "rings").where("_rect")._jdf.queryExecution().optimizedPlan().toString()
     assert 1 <= plan.count("TAN(") <= 4
+
+
+def test_scene_select_measures_clear_scenes_only(spark, scratch):
+    import __spark_entry__ as E
+    spark.range(40).selectExpr("id AS s_suppkey").coalesce(1).write.parquet(f"{scratch}/supplier.parquet")
+    plan = E.queries()["scene_select"](spark, scratch)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("< 5.0)") >= 3  # of the scenes returned, of those that meet boxes and of those that meet other water

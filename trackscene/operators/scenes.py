@@ -23,10 +23,15 @@ def scene_boxes(catalog: DataFrame, bbox: str = "bbox") -> DataFrame:
     return out
 
 
+def clear_scenes(scenes: DataFrame, max_cloud: float = 5.0, cloud: str = "cloud_cover") -> DataFrame:
+    """The cloud half of C1, for use before water is measured; NULLs drop out."""
+    return scenes.where(F.col(cloud) < F.lit(float(max_cloud)))
+
+
 def select_scenes(scenes: DataFrame, max_cloud: float = 5.0, min_water: float = 1e7,
                   cloud: str = "cloud_cover", water: str = "water_area") -> DataFrame:
     """Strict ``cloud < max_cloud AND water > min_water``; NULLs drop out."""
-    return scenes.where((F.col(cloud) < F.lit(float(max_cloud))) & (F.col(water) > F.lit(float(min_water))))
+    return clear_scenes(scenes, max_cloud, cloud).where(F.col(water) > F.lit(float(min_water)))
 
 
 def images_per_day(scenes: DataFrame, time_col: str = "sensing_time", min_images: int = 1,

@@ -31,10 +31,9 @@ FROM ms s LEFT JOIN mw w
 GROUP BY s.api_id, s.sensing_time, s.cloud_cover"""
 
 
-def water_area_df(spark: SparkSession, d: str) -> DataFrame:
+def water_area_df(spark: SparkSession, d: str, scenes: DataFrame | None = None) -> DataFrame:
     water3857 = fx.sea_polygons(spark, d).withColumn("rings", rings_to_mercator("rings"))
-    scenes = fx.catalog(spark, d)
-    wa = spatial.water_area(scenes, water3857)
+    wa = spatial.water_area(fx.catalog(spark, d) if scenes is None else scenes, water3857)
     return wa.select("api_id", "sensing_time", "cloud_cover", F.round("water_area", 0).alias("water_area"))
 
 
@@ -49,7 +48,8 @@ SELECT *, count(*) OVER (PARTITION BY year(sensing_time), month(sensing_time), d
 FROM wa WHERE cloud_cover < 5 AND water_area > 10000000""",
                                      extra={"scenes": fx.CATALOG_SQL, "water": fx.SEAS_SQL, "ms": MERC_SCENES, "mw": MERC_WATER, "wa": WATER_AREA}))
 def q_scene_select(spark: SparkSession, d: str) -> DataFrame:
-    return sc.images_per_day(sc.select_scenes(water_area_df(spark, d)))
+    # cloudy scenes go before their water is measured: a filter after the sum is not pushed below it
+    return sc.images_per_day(sc.select_scenes(water_area_df(spark, d, sc.clear_scenes(fx.catalog(spark, d)))))
 
 
 @register("images_per_day", with_views("""
