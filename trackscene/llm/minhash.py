@@ -10,22 +10,24 @@
    distance share a key; none is lost.  ``MORE`` further positions sharpen the
    distance: at most ``ALL_APART`` of all may differ.  A pair of similarity 0.85
    is farther apart with a probability below 1e-5.
-3. Each class first meets the smallest member of each of its keys, a pair for
-   each posting at most, so a large group of near copies falls to few centres.
-   Of those within the distance the nearest is verified on the full sets, and
-   verified links are joined to components.
+3. Each class first meets the hub of each of its keys, a pair for each posting
+   at most.  The hub is the member with most others in all its keys together, so
+   a large group of near copies falls to its centre.  Of those within the
+   distance the nearest is verified on the full sets, and verified links are
+   joined to components.
 4. What is left are keys with members of several components.  Up to ``RUN``
    members are compared in one task; only pairs of different components leave
    it that are within the distance and that the parity bitmaps of the sets allow
    (bits that differ stand for members that differ, so no link is lost), and a
    pair leaves the first of its keys alone.  In a larger key the members outside
-   its largest component meet the others; where they are many, the key is split
-   first by the same argument over the chunks not used yet, and what still is
-   many is dealt in blocks.  What is found is verified.
+   its largest component meet the others; where they are many, the key is cut
+   into cells by size, as only sets of like size can be similar enough, and
+   cells still too large by pairs of tiles.  What is found is verified.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -209,32 +211,30 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     return stash(j.mapInArrow(test, "a binary, b binary, linked boolean"))
 
 
-def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: int = FEW, splits: int = 2, run: int = RUN) -> DataFrame:
+def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: int = FEW, splits: int = 0, run: int = RUN) -> DataFrame:
     """(a, b): all pairs of a key of ``p`` (key, used, id, component) within the distance and of different components.
 
     Keys of up to ``run`` members are compared in one task.  In a larger key the
     members outside its largest component meet all members of other components;
     so a key of one large group and a few others costs few pairs for each
-    member.  Larger keys with more than ``few`` others are split first.
+    member.  Larger keys with more than ``few`` others are cut into cells of
+    about ``run`` members.  ``splits`` times they are split first, which pays
+    only where the members of a key are unlike in most other chunks.
     """
     sizes = p.groupBy("key", "component").agg(F.count("*").alias("c"))
     key = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "component")).alias("top"))
     key = stash(key.select("key", "m", (F.col("m") - F.col("top.c")).alias("others"), F.col("top.component").alias("top")).where("others > 0"))
     full = classes.select("id", "n", *ALL)
-    found = _compared(p.join(key.where(F.col("m") <= run).select("key"), "key").join(full, "id"), least)
+    whole = p.join(key.where(F.col("m") <= run).select("key"), "key").join(full, "id")
+    whole = whole.withColumnRenamed("key", "cell").withColumn("side", F.lit(0)).withColumn("guest", F.lit(False))
     if not key.where(F.col("m") > run).limit(1).count():
-        return found
-    large = stash(p.join(key.where(F.col("m") > run).drop("m"), "key").join(full, "id"))
-    some = large.where(F.col("others") <= few)
+        return _compared(whole, least)
+    large = p.join(key.where(F.col("m") > run).drop("m"), "key")
+    some = large.where(F.col("others") <= few).join(full, "id")
     many = large.where(F.col("others") > few)
-    found = found.union(_met(some, ["key"], least))
-    if not many.limit(1).count():
-        return found
-    if not splits:  # the rest in blocks of the others, which every member meets in turn
-        blocks = F.ceil(F.col("others") / few).cast("int")
-        block = F.when(F.col("component") != F.col("top"), F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        cells = many.withColumn("own", block).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        return found.union(_met(cells, ["key", "block"], least, (F.col("own") == F.col("block"))))
+    if not splits:
+        sized = stash(many.join(classes.select("id", "n"), "id").select("key", "used", "out", "id", "component", "n"))
+        return _compared(whole.unionByName(_cells(sized, least, run).join(full.drop("n"), "id")), least).union(_met(some, least))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,8 +250,29 @@ def pairs_apart(p: DataFrame, classes: DataFrame, least: tuple[int, int], few: i
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((done | (1 << c)).astype(np.int32)), none, more.column(2), more.column(3)],
                                                  names=["key", "used", "out", "id", "component"])
 
-    parts = stash(many.select("key", "used", "id", "component", *SIG).mapInArrow(split, "key long, used int, out int, id binary, component binary"))
-    return found.union(pairs_apart(parts, classes, least, few, splits - 1, run))
+    many = many.join(full, "id").select("key", "used", "id", "component", *SIG)
+    parts = stash(many.mapInArrow(split, "key long, used int, out int, id binary, component binary"))
+    return _compared(whole, least).union(_met(some, least)).union(pairs_apart(parts, classes, least, few, splits - 1, run))
+
+
+def _cells(p: DataFrame, least: tuple[int, int], run: int) -> DataFrame:
+    """``p`` (key, ..., id, n) dealt to cells of about ``run`` rows, in which every pair of a key of like size meets once.
+
+    A set lies in the band of its size and is a guest in the next one, as sets
+    that are similar enough lie in one band or in neighbours; two guests do not
+    meet.  A band of more rows is dealt to tiles, and a cell holds one tile or
+    the two sides of a pair of tiles.
+    """
+    width = max(1e-3, (math.log(least[1]) - math.log(least[0])) * (1 + 1e-9))
+    guest = F.explode(F.array(F.lit(False), F.lit(True))).alias("guest")
+    b = p.select("*", guest).withColumn("band", F.floor(F.log("n") / width) + F.col("guest").cast("int"))
+    per = b.groupBy("key", "band").agg(F.count("*").alias("m"), F.count(F.when(~F.col("guest"), 1)).alias("own"))
+    per = per.where("own > 0 and m > 1").select("key", "band", F.when(F.col("m") <= run, 1).otherwise(F.ceil(2 * F.col("m") / run)).cast("int").alias("tiles"))
+    b = b.join(per, ["key", "band"]).withColumn("tile", F.pmod(F.xxhash64("id", "key"), "tiles").cast("int"))
+    b = b.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    low, high = F.least("tile", "met"), F.greatest("tile", "met")
+    side = F.when(F.col("tile") == F.col("met"), 0).when(F.col("tile") < F.col("met"), 1).otherwise(2)
+    return b.select(F.xxhash64("key", "band", low, high).alias("cell"), side.alias("side"), "guest", "used", "out", "id", "component", "n")
 
 
 def _first_key(differ: np.ndarray, chunk: int, out: int) -> np.ndarray:
@@ -262,35 +283,64 @@ def _first_key(differ: np.ndarray, chunk: int, out: int) -> np.ndarray:
 
 
 def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """(a, b) of different components within the distance, of keys that fit in a task: members lie together by key."""
+    """(a, b) of different components within the distance, of cells that fit in a task: members lie together by cell.
+
+    Members of side 0 meet all of their cell, those of side 1 meet those of side 2; guests do not meet guests.
+    """
     n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kinds = "key long, used int, out int, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in ALL)
+    kinds = "cell long, side int, guest boolean, used int, out int, id binary, component binary, n long, " + ", ".join(f"{s} long" for s in ALL)
     names = [k.split(" ")[0] for k in kinds.split(", ")]
-    d = p.select(*names).repartition(n, "key").sortWithinPartitions("key")
+    d = p.select(*names).repartition(n, "cell").sortWithinPartitions("cell")
+    a, b = least
 
     def pairs(t: pa.Table) -> pa.RecordBatch:
-        """Of whole keys lying one after another."""
+        """Of whole cells lying one after another."""
         t = t.combine_chunks()
-        key, size = t.column("key").to_numpy(), t.column("n").to_numpy()
+        cell, size, side, guest = (t.column(c).to_numpy() for c in ("cell", "n", "side", "guest"))
         sig, fine, bits = (_longs(t.to_batches()[0], c, k) for c, k in ((SIG, np.uint16), (FINE, np.uint8), (MAP, np.uint64)))
         chunk, out = (t.column(c).fill_null(-1).to_numpy() for c in ("used", "out"))
         _, comp = np.unique(np.array(t.column("component").to_pylist(), object), return_inverse=True)
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
         left, right = [], []
-        for s, e in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
-            for i in range(s, e - 1):
-                other = np.arange(i + 1, e)
-                other = other[(comp[other] != comp[i]) & (np.minimum(size[other], size[i]) * least[1] >= np.maximum(size[other], size[i]) * least[0])]
-                if len(other):
-                    differ = sig[other] != sig[i]
-                    apart = differ.sum(axis=1)
-                    near = (apart <= MOST_APART) & bits_allow(np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64), size[other] + size[i], least)
-                    if out[i] >= 0:
-                        near &= _first_key(differ, int(chunk[i]).bit_length() - 1, int(out[i]))
-                    other, apart = other[near], apart[near]
-                    other = other[apart + (fine[other] != fine[i]).sum(axis=1) <= ALL_APART]
-                    left.append(np.full(len(other), i))
-                    right.append(other)
+        for s, e in zip(begin.tolist(), [*begin[1:].tolist(), len(cell)]):
+            order = s + np.argsort(size[s:e], kind="stable")
+            one = not side[s:e].any()
+            x, y = (order, order) if one else (order[side[order] == 1], order[side[order] == 2])
+            n, comps, guests, maps = size[y], comp[y], guest[y], bits[y].T.copy()
+            # sets of like size lie together
+            first, last = np.searchsorted(n * b, size[x] * a, "left"), np.searchsorted(n * a, size[x] * b, "right")
+            if one:
+                first = np.maximum(first, np.arange(1, len(x) + 1))
+            for i, f, l in zip(x.tolist(), first.tolist(), last.tolist()):
+                if f >= l:
+                    continue
+                at = comps[f:l] != comp[i]
+                if guest[i]:
+                    at &= ~guests[f:l]
+                # few of the bitmap's longs tell most pairs apart
+                most = (b - a) * (n[f:l] + size[i]) // (a + b)
+                differ = np.bitwise_count(maps[0, f:l] ^ bits[i, 0]) + np.bitwise_count(maps[1, f:l] ^ bits[i, 1])
+                at = np.flatnonzero(at & (differ <= most))
+                if not len(at):
+                    continue
+                differ, most, at = differ[at].astype(np.int64), most[at], at + f
+                for j in range(2, len(MAP), 2):
+                    differ += np.bitwise_count(maps[j, at] ^ bits[i, j])
+                    differ += np.bitwise_count(maps[j + 1, at] ^ bits[i, j + 1])
+                    near = differ <= most
+                    differ, most, at = differ[near], most[near], at[near]
+                if not len(at):
+                    continue
+                other = y[at]
+                wrong = sig[other] != sig[i]
+                apart = wrong.sum(axis=1)
+                near = apart <= MOST_APART
+                if out[i] >= 0:
+                    near &= _first_key(wrong, int(chunk[i]).bit_length() - 1, int(out[i]))
+                other, apart = other[near], apart[near]
+                other = other[apart + (fine[other] != fine[i]).sum(axis=1) <= ALL_APART]
+                left.append(np.full(len(other), i))
+                right.append(other)
         ids = t.column("id").combine_chunks()
         x, y = (ids.take(pa.array(np.concatenate(z) if z else np.zeros(0, np.int64))) for z in (left, right))
         swap = pc.greater(x, y)
@@ -303,8 +353,8 @@ def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
             t = t if held is None else pa.concat_tables([held, t])
             if not t.num_rows:
                 continue
-            key = t.column("key").to_numpy()
-            last = int(np.searchsorted(key, key[-1]))  # the last key may go on
+            cell = t.column("cell").to_numpy()
+            last = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
             held = t.slice(last)
             if last:
                 yield pairs(t.slice(0, last))
@@ -314,15 +364,12 @@ def _compared(p: DataFrame, least: tuple[int, int]) -> DataFrame:
     return d.mapInArrow(run, "a binary, b binary")
 
 
-def _met(p: DataFrame, on: list[str], least: tuple[int, int], mine: Column | None = None) -> DataFrame:
-    """(a, b) within the distance: members outside the largest component of ``on`` (those that ``mine`` picks) with the members of other components."""
-    other = p.where(F.col("component") != F.col("top"))
-    x, y = (other.where(mine) if mine is not None else other).alias("x"), p.alias("y")
-    cond = (F.col("x.component") != F.col("y.component")) & _sizes_allow("x", "y", least)
-    # two that are both outside meet twice: once is enough where one task sees both ways
-    cond = cond & ((F.col("y.component") == F.col("y.top")) | (F.col("x.id") < F.col("y.id")) | F.lit(mine is not None))
-    for c in on:
-        cond = cond & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+def _met(p: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b) within the distance: members outside the largest component of a key with the members of other components."""
+    x, y = p.where(F.col("component") != F.col("top")).alias("x"), p.alias("y")
+    cond = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow("x", "y", least)
+    # two that are both outside meet twice: once is enough
+    cond = cond & ((F.col("y.component") == F.col("y.top")) | (F.col("x.id") < F.col("y.id")))
     low, high = F.least("x.id", "y.id"), F.greatest("x.id", "y.id")
     return within(x.join(y, cond).select(low.alias("a"), high.alias("b"), F.struct(*[F.col(f"x.{s}") for s in ["n", *ALL]]).alias("x"),
                                          F.struct(*[F.col(f"y.{s}") for s in ["n", *ALL]]).alias("y")), least).select("a", "b")
@@ -346,10 +393,10 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LE
     rows = profile(d, words)
     classes = stash(rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *ALL)]))
     p = stash(posted(classes))
-    shared = p.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    p = stash(p.join(shared, "key", "left_semi"))
+    shared = p.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    p = stash(p.join(shared, "key"))
     x, y = classes.alias("x"), classes.alias("y")
-    hubs = p.groupBy("key").agg(F.min("id").alias("hub"))
+    hubs = p.join(p.groupBy("id").agg(F.sum("m").alias("met")), "id").groupBy("key").agg(F.max(F.struct("met", "id")).alias("x")).select("key", F.col("x.id").alias("hub"))
     star = p.join(hubs, "key").where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     star = within(star.join(y, F.col("b") == F.col("y.id")).join(x, F.col("a") == F.col("x.id")).where(_sizes_allow("x", "y", least)), least)
     nearest = stash(star.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("x")).select("x.a", "b"))
